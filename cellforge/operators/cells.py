@@ -5,6 +5,11 @@ Every loader is one narrow stage: split, derive the row key, ``inline`` an array
 (qualifier, value) structs, filter.  No shuffle, no Python.  Each loader has a
 ``*_parsed`` form that keeps the split fields and a ``reason`` column (NULL for an
 accepted line) so rejects can be counted in the same pass (see ``rejects``).
+
+The accept test sits inside the generator (``inline(when(reason IS NULL, cells))``)
+rather than in a filter: Catalyst pushes a filter below the projection that splits
+the line and inlines the split into every field reference of the test, so the split
+would run once per field instead of once per line.
 """
 
 from __future__ import annotations
@@ -37,9 +42,14 @@ def _key_reason(key: Column) -> Column:
     return F.when(key.isNull(), F.lit(MISSING_KEY)).when(key == "", F.lit(EMPTY_KEY))
 
 
+def accepted(parsed: DataFrame, cells: Column, *keep: Column) -> DataFrame:
+    """Rows of the struct array ``cells`` for accepted lines only (see module notes)."""
+    return parsed.select(*keep, F.inline(F.when(F.col("reason").isNull(), cells)))
+
+
 def _emit(parsed: DataFrame, row: Column, pairs: Sequence[Column], family: str, ts, keep_empty: bool) -> DataFrame:
     """Cells of accepted lines from (qualifier, value) struct columns."""
-    out = parsed.where(F.col("reason").isNull()).select(row.alias("row"), F.inline(F.array(*pairs)))
+    out = accepted(parsed, F.array(*pairs), row.alias("row"))
     cond = F.col("value").isNotNull()
     if not keep_empty:
         cond = cond & (F.col("value") != "")
@@ -64,17 +74,14 @@ def bulk_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
 def bulk_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFrame:
     """Lines of exactly four fields ``row, family, qualifier, value`` as cells."""
     f = F.col("fields")
-    return (
-        bulk_parsed(lines, line_col)
-        .where(F.col("reason").isNull())
-        .select(
-            F.get(f, 0).alias("row"),
-            F.get(f, 1).alias("family"),
-            F.get(f, 2).alias("qualifier"),
-            ts_column(ts).alias("ts"),
-            F.get(f, 3).alias("value"),
-        )
+    cell = F.struct(
+        F.get(f, 0).alias("row"),
+        F.get(f, 1).alias("family"),
+        F.get(f, 2).alias("qualifier"),
+        ts_column(ts).alias("ts"),
+        F.get(f, 3).alias("value"),
     )
+    return accepted(bulk_parsed(lines, line_col), F.array(cell))
 
 
 # --- wide lines: named positions ---------------------------------------------------
@@ -164,17 +171,14 @@ def edge_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
 def edge_cells(lines: DataFrame, family: str, value: str = "", ts=None, line_col: str = "line") -> DataFrame:
     """Edge list ``_, src, dst, ...`` to one cell (row=src, qualifier=dst)."""
     f = F.col("fields")
-    return (
-        edge_parsed(lines, line_col)
-        .where(F.col("reason").isNull())
-        .select(
-            F.get(f, 1).alias("row"),
-            F.lit(family).alias("family"),
-            F.get(f, 2).alias("qualifier"),
-            ts_column(ts).alias("ts"),
-            F.lit(value).alias("value"),
-        )
+    cell = F.struct(
+        F.get(f, 1).alias("row"),
+        F.lit(family).alias("family"),
+        F.get(f, 2).alias("qualifier"),
+        ts_column(ts).alias("ts"),
+        F.lit(value).alias("value"),
     )
+    return accepted(edge_parsed(lines, line_col), F.array(cell))
 
 
 def adjacency_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -185,11 +189,10 @@ def adjacency_cells(lines: DataFrame, family: str, value: str = "", ts=None, lin
     """Adjacency line ``node, n1, n2, ...`` to one cell per neighbour (qualifier);
     an inner empty field is an empty qualifier.  A line with only the node has no cells."""
     f = F.col("fields")
+    neighbours = F.when(F.col("reason").isNull() & (F.size(f) > 1), F.slice(f, 2, F.size(f) - 1))
     return (
         adjacency_parsed(lines, line_col)
-        .where(F.col("reason").isNull())
-        .select(F.get(f, 0).alias("row"), F.posexplode(f))
-        .where(F.col("pos") > 0)
+        .select(F.get(f, 0).alias("row"), F.explode(neighbours).alias("col"))
         .select(
             "row",
             F.lit(family).alias("family"),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import RELATION_FAMILIES, mention_json, relation_family
 from cellforge.functions.split import java_split
+from cellforge.operators.cells import accepted
 from cellforge.operators.rejects import count_rejects
 from cellforge.schema import (
     BAD_RECORD,
@@ -53,11 +54,8 @@ def follow_cells(lines: DataFrame, family: str = "follow", ts=None, line_col: st
         F.struct(F.concat_ws(":", a, b).alias("row"), F.lit("ab").alias("qualifier")),
         F.struct(F.concat_ws(":", b, a).alias("row"), F.lit("ba").alias("qualifier")),
     )
-    return (
-        follow_parsed(lines, line_col)
-        .where(F.col("reason").isNull())
-        .select(F.inline(both))
-        .select("row", F.lit(family).alias("family"), "qualifier", ts_column(ts).alias("ts"), F.lit("").alias("value"))
+    return accepted(follow_parsed(lines, line_col), both).select(
+        "row", F.lit(family).alias("family"), "qualifier", ts_column(ts).alias("ts"), F.lit("").alias("value")
     )
 
 
@@ -81,17 +79,14 @@ def mention_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFram
     """One cell per accepted mention line."""
     fields = F.col("fields")
     rel = F.when(F.size(fields) > 7, F.get(fields, 7))
-    return (
-        mention_parsed(lines, line_col)
-        .where(F.col("reason").isNull())
-        .select(
-            F.concat_ws(":", F.get(fields, 1), F.get(fields, 2)).alias("row"),
-            relation_family(F.get(fields, 3)).alias("family"),
-            F.get(fields, 4).alias("qualifier"),
-            ts_column(ts).alias("ts"),
-            mention_json(F.get(fields, 5), rel).alias("value"),
-        )
+    cell = F.struct(
+        F.concat_ws(":", F.get(fields, 1), F.get(fields, 2)).alias("row"),
+        relation_family(F.get(fields, 3)).alias("family"),
+        F.get(fields, 4).alias("qualifier"),
+        ts_column(ts).alias("ts"),
+        mention_json(F.get(fields, 5), rel).alias("value"),
     )
+    return accepted(mention_parsed(lines, line_col), F.array(cell))
 
 
 def mention_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
