@@ -47,22 +47,22 @@ def _unpack(series: pd.Series, dtype: str, width: int) -> pd.Series:
     return out.where(mask, None)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _double_to_bytes(s: pd.Series) -> pd.Series:
     return _pack(s, ">f8", 8)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _float_to_bytes(s: pd.Series) -> pd.Series:
     return _pack(s, ">f4", 4)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _bytes_to_double(s: pd.Series) -> pd.Series:
     return _unpack(s, ">f8", 8)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _bytes_to_float(s: pd.Series) -> pd.Series:
     return _unpack(s, ">f4", 4)
 

@@ -173,8 +173,8 @@ FROM ({CODEC_ROWS}) WHERE key IS NOT NULL""",
     SELECT *, CAST((row >= '2') AS INTEGER) + CAST((row >= '5') AS INTEGER) + CAST((row >= '8') AS INTEGER) AS region
     FROM ({_scan_rows()})))
 WHERE rn <= {q.REGION_LIMIT}""",
-    "upsert_cells": _latest(EVENTS),
-    "sorted_cells": f"SELECT row, family, qualifier, ts, max(value) AS value FROM ({EVENTS}) GROUP BY row, family, qualifier, ts",
+    "upsert_cells": _latest(EVENT_TABLE),
+    "sorted_cells": f"SELECT row, family, qualifier, ts, max(value) AS value FROM ({EVENT_TABLE}) GROUP BY row, family, qualifier, ts",
     "sampled_cdf": f"""WITH kc AS ({KEY_COUNTS}),
 m AS (SELECT greatest(COALESCE(TRY_CAST(NULLIF(regexp_extract(substr(key, 1, 3), '^\\s*([+-]?\\d+)', 1), '') AS INTEGER), 0), 100) AS prefix,
              sum(COALESCE(TRY_CAST(cnt AS DOUBLE), 0.0)) AS n

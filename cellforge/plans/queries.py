@@ -169,7 +169,7 @@ def scan_region_limit(spark, sf):
 
 
 def upsert_cells(spark, sf):
-    ev = fx.event_cells(spark, sf)
+    ev = _event_table(spark, sf)
     existing_path = shared_path(spark, "upsert_base")
     files.write_sorted_cells(versions.latest_cells(ev.where(F.col("ts") < UPSERT_CUTOFF_MS)), existing_path, 8)
     existing = spark.read.parquet(existing_path)
@@ -177,7 +177,7 @@ def upsert_cells(spark, sf):
 
 
 def sorted_cells(spark, sf):
-    path = files.write_sorted_cells(fx.event_cells(spark, sf), shared_path(spark, "sorted_cells"), 8)
+    path = files.write_sorted_cells(_event_table(spark, sf), shared_path(spark, "sorted_cells"), 8)
     return spark.read.parquet(path)
 
 
