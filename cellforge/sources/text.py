@@ -31,9 +31,9 @@ def read_typed_tsv(spark: SparkSession, path: str | list[str], schema: T.StructT
 
 
 def read_key_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``key string``: one key per line, surrounding whitespace stripped, blank lines
-    skipped."""
-    keys = read_lines(spark, path).select(F.trim(F.col("line")).alias("key"))
+    """``key string``: one key per line, surrounding whitespace (tabs too) stripped,
+    blank lines skipped."""
+    keys = read_lines(spark, path).select(F.regexp_replace("line", r"^[\s\x00]+|[\s\x00]+$", "").alias("key"))
     return keys.where(F.col("key") != "")
 
 
