@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cellforge.functions.codecs import decode_value
 from cellforge.functions.scalars import flat_to_millis, row_json
-from cellforge.operators import audit, cells, files, keyspace, relations, scan, tuples, versions
+from cellforge.operators import audit, cells, files, keyspace, relations, scan, tables, tuples, versions
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
 from cellforge.sources.text import read_typed_tsv, write_lines
@@ -168,12 +168,18 @@ def scan_region_limit(spark, sf):
     return scan.limit_per_region(rows, "region", REGION_LIMIT)
 
 
+UPSERT_BUCKETS = 8
+
+
 def upsert_cells(spark, sf):
+    """Earlier events form the base snapshot (a bucketed table); later events are
+    upserted into it; the query reads the resulting snapshot."""
     ev = _event_table(spark, sf)
-    existing_path = shared_path(spark, "upsert_base")
-    files.write_sorted_cells(versions.latest_cells(ev.where(F.col("ts") < UPSERT_CUTOFF_MS)), existing_path, 8)
-    existing = spark.read.parquet(existing_path)
-    return versions.upsert_cells(existing, ev.where(F.col("ts") >= UPSERT_CUTOFF_MS))
+    base = tables.save_cell_table(
+        versions.latest_cells(ev.where(F.col("ts") < UPSERT_CUTOFF_MS)), tables.new_table_name("base"), UPSERT_BUCKETS
+    )
+    merged = tables.upsert_table(spark, base, ev.where(F.col("ts") >= UPSERT_CUTOFF_MS), UPSERT_BUCKETS)
+    return spark.table(merged)
 
 
 def sorted_cells(spark, sf):
