@@ -21,18 +21,23 @@ from cellforge.session import ensure_checkpoint_dir
 def with_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "n", partitions: int | None = None) -> DataFrame:
     """Adds a consecutive 1-based number in ``order_cols`` order.
 
-    Range-partition + sort, number within each task, then add the count of all earlier
-    partitions.  The ranged data is checkpointed to the shared folder so the numbering
-    pass and the counting pass see the same partitions, and a lost executor recomputes
-    from the checkpoint.  The offset table has one row per partition.
+    Range-partition + sort (with a per-row tiebreaker, so equal keys can span tasks),
+    number within each task, then add the count of all earlier partitions.  The ranged
+    data is checkpointed to the shared folder so the numbering pass and the counting
+    pass see the same partitions, and a lost executor recomputes from the checkpoint.
+    The offset table has one row per partition.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     pid = F.spark_partition_id()
+    # The tiebreaker lets the sampled range bounds fall inside a run of equal keys, so a
+    # key that fills a third of the input is split over several tasks.
+    keys = [*order_cols, "_tie"]
     ranged = (
-        df.repartitionByRange(parts, *order_cols)
-        .sortWithinPartitions(*order_cols)
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(parts, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("_pid", pid)
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33))
         .checkpoint(eager=True)
@@ -46,7 +51,7 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "n", p
     return (
         ranged.join(F.broadcast(offsets), "_pid")
         .withColumn(name, F.col("_off") + F.col("_local") + 1)
-        .drop("_pid", "_local", "_off")
+        .drop("_pid", "_local", "_off", "_tie")
     )
 
 

@@ -28,3 +28,13 @@ def test_key_list_source(spark):
     keys = read_key_list(spark, path)
     assert sorted(r.key for r in keys.collect()) == ["100000031", "100000071", "100000101"]
     assert [r.key for r in key_window(keys, offset=1, limit=1).collect()] == ["100000071"]
+
+
+def test_row_number_splits_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    hot = spark.range(0, 9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    numbered = audit.with_row_number(hot, ["k"], partitions=8)
+    per_task = [r[0] for r in numbered.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 9001))
+    assert max(per_task) < 3000  # the 3,000 copies of "hot" are not in one task
