@@ -19,7 +19,7 @@ def test_loaders_are_one_narrow_stage(spark):
 def test_split_runs_once_per_line(spark):
     for name in ["mention_cells", "follow_cells", "table_cells"]:
         plan = physical_plan(Q.QUERIES[name](spark, SF_SMALL))
-        assert plan.count("split(regexp_replace") == 1, name
+        assert plan.count("split(rtrim(") == 1, name
 
 
 def test_latest_and_named_scan_use_one_shuffle(spark):
