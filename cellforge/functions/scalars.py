@@ -55,6 +55,22 @@ def row_json(cols: list[Column | str], names: str | list[str]) -> Column:
     return F.to_json(F.struct(*[_col(c).alias(n) for c, n in zip(cols, names)]))
 
 
+def tuple_json(df, cols: list[str], names: str | list[str], out: str = "json"):
+    """``row_json`` over named columns of ``df``; map, array and struct values are left
+    out of the object (their names still count by position)."""
+    from pyspark.sql import types as T
+
+    if isinstance(names, str):
+        names = names.split(",")
+    if not cols or len(names) < len(cols):
+        return df.withColumn(out, F.lit(None).cast("string"))
+    nested = (T.MapType, T.ArrayType, T.StructType)
+    kept = [(c, n) for c, n in zip(cols, names) if not isinstance(df.schema[c].dataType, nested)]
+    if not kept:
+        return df.withColumn(out, F.lit("{}"))
+    return df.withColumn(out, F.to_json(F.struct(*[F.col(c).alias(n) for c, n in kept])))
+
+
 def flat_to_millis(s: Column | str, strict: bool = False) -> Column:
     """Epoch milliseconds of a 14-digit ``yyyyMMddHHmmss`` UTC text.
 

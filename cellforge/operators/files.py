@@ -49,6 +49,24 @@ def write_sorted_cells(
     return path
 
 
+def write_partitioned_cells(
+    cells: DataFrame, path: str, n: int, cdf: DataFrame | None = None, chars: int = 3, mode: str = "errorifexists"
+) -> str:
+    """Cell files placed by the key-distribution partitioner instead of sampled ranges:
+    each cell goes to the partition its row key's CDF gives (``keyspace.assign_partition``),
+    moved there by ``repartitionById`` with no re-hashing, then sorted and collapsed
+    within the partition.  Keys under 4 bytes or off the prefix grid all land in
+    partition 0, so the files are not a total order; use ``write_sorted_cells`` for the
+    physical layout and this to reproduce or study the distribution-aware placement."""
+    from cellforge.operators.keyspace import assign_partition, place_by_partition
+
+    placed = place_by_partition(assign_partition(cells.select(*CELL_COLUMNS), "row", n, cdf, chars, out="_part"), n, "_part")
+    collapsed = placed.groupBy(*COORD, (-F.col("ts")).alias("_nts"), "_part").agg(F.max("value").alias("value"))
+    out = collapsed.sortWithinPartitions(*COORD, "_nts").select(*COORD, (-F.col("_nts")).alias("ts"), "value")
+    out.write.mode(mode).parquet(path)
+    return path
+
+
 def file_ranges(spark: SparkSession, path: str) -> DataFrame:
     """``(file, first_row, last_row, cells)`` of every written file."""
     return (

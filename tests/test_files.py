@@ -36,3 +36,19 @@ def test_same_coordinate_collapse(spark):
     df = cells_df(spark, [("r", "f", "q", 2, "a"), ("r", "f", "q", 2, "b"), ("r", "f", "q", 1, "c")])
     out = [tuple(r) for r in files.sorted_cell_partitions(df, 2).collect()]
     assert sorted(out) == [("r", "f", "q", 1, "c"), ("r", "f", "q", 2, "b")]
+
+
+def test_partitioned_files_follow_the_partitioner(spark):
+    from cellforge.operators import keyspace
+    from cellforge.plans.inspect import shuffles
+
+    keys = [str(k) for k in range(1000, 10000, 37)] + ["12", "abcd"]
+    cells = cells_df(spark, [(k, "f", "q", 1, k) for k in keys])
+    path = files.write_partitioned_cells(cells, shared_path(spark, "t_partitioned"), 10)
+    written = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    expected = {r.row: r.partition for r in keyspace.assign_partition(cells, "row", 10).collect()}
+    by_file = {}
+    for r in written.collect():
+        by_file.setdefault(r.file, set()).add(expected[r.row])
+    assert all(len(parts) == 1 for parts in by_file.values())
+    assert sum(1 for _ in written.collect()) == len(keys)

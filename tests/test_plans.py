@@ -71,3 +71,12 @@ def test_partitioner_lookup_is_broadcast_or_closed_form(spark):
     assert count(sampled, "SortMergeJoin") == 0
     placed = keyspace.place_by_partition(sampled.withColumn("partition", F.col("partition")), 360)
     assert shuffles(placed)[0].lower() == "shufflepartitionidpassthrough"
+
+
+def test_partitioner_placement_is_the_only_exchange(spark):
+    from cellforge.operators.files import COORD
+
+    ev = fx.event_cells(spark, SF_SMALL).unionByName(fx.prop_cells(spark, SF_SMALL))
+    placed = keyspace.place_by_partition(keyspace.assign_partition(ev, "row", 10, out="_part"), 10, "_part")
+    collapsed = placed.groupBy(*COORD, (-F.col("ts")).alias("_nts"), "_part").agg(F.max("value").alias("value"))
+    assert [s.lower() for s in shuffles(collapsed)] == ["shufflepartitionidpassthrough"]

@@ -28,3 +28,10 @@ def test_row_json(spark):
     assert df.select(row_json(["x", "y", "z"], "x,y").alias("j")).first().j is None
     quoted = spark.createDataFrame([('say "hi"',)], "x string")
     assert quoted.select(row_json([F.col("x")], ["x"]).alias("j")).first().j == '{"x":"say \\"hi\\""}'
+
+
+def test_tuple_json_leaves_out_nested(spark):
+    from cellforge.functions.scalars import tuple_json
+
+    df = spark.createDataFrame([("a", [1, 2], 5)], "x string, y array<int>, z int")
+    assert tuple_json(df, ["x", "y", "z"], "x,y,z").first().json == '{"x":"a","z":5}'
