@@ -66,6 +66,14 @@ def upsert_plan(existing: DataFrame, incoming: DataFrame, buckets: int, salt: in
     return latest_cells(existing.select(*CELL_COLUMNS).unionByName(aligned))
 
 
+def load_cell_table(cells: DataFrame, buckets: int, name: str | None = None, salt: int = DEFAULT_SALT) -> str:
+    """First load: latest version per coordinate of ``cells`` written as a bucketed
+    snapshot.  Same path as an upsert into an empty table: salted partial merge, then
+    one alignment to the bucket layout, so each task writes exactly one bucket."""
+    aligned = salted_latest(cells.select(*CELL_COLUMNS), salt).repartition(buckets, *COORD)
+    return save_cell_table(latest_cells(aligned), name or new_table_name(), buckets)
+
+
 def upsert_table(
     spark: SparkSession,
     table: str,

@@ -175,9 +175,7 @@ def upsert_cells(spark, sf):
     """Earlier events form the base snapshot (a bucketed table); later events are
     upserted into it; the query reads the resulting snapshot."""
     ev = _event_table(spark, sf)
-    base = tables.save_cell_table(
-        versions.latest_cells(ev.where(F.col("ts") < UPSERT_CUTOFF_MS)), tables.new_table_name("base"), UPSERT_BUCKETS
-    )
+    base = tables.load_cell_table(ev.where(F.col("ts") < UPSERT_CUTOFF_MS), UPSERT_BUCKETS)
     merged = tables.upsert_table(spark, base, ev.where(F.col("ts") >= UPSERT_CUTOFF_MS), UPSERT_BUCKETS)
     return spark.table(merged)
 
