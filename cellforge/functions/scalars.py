@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The flat date layout, and relation code of a mention line -> family.
 FLAT_FORMAT = "yyyyMMddHHmmss"
-
-# Relation code of a mention line -> column family.
 RELATION_FAMILIES = {"re": "reply", "rt": "retweet", "me": "mention"}
 
 

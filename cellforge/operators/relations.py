@@ -29,6 +29,10 @@ from cellforge.schema import (
     ts_column,
 )
 
+# Follow cells' family and the two qualifiers (a->b, b->a).
+FOLLOW_FAMILY = "follow"
+FOLLOW_AB, FOLLOW_BA = "ab", "ba"
+
 FOLLOW_REASONS = [MISSING_A_ID, MISSING_B_ID]
 MENTION_REASONS = [MISSING_A_ID, MISSING_B_ID, MISSING_RELATIONSHIP, MISSING_TWEET_ID]
 
@@ -47,12 +51,12 @@ def follow_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return out.withColumn("reason", reason)
 
 
-def follow_cells(lines: DataFrame, family: str = "follow", ts=None, line_col: str = "line") -> DataFrame:
+def follow_cells(lines: DataFrame, family: str = FOLLOW_FAMILY, ts=None, line_col: str = "line") -> DataFrame:
     """Two cells per accepted follow line: (a:b, ab) and (b:a, ba), value empty."""
     a, b = F.get(F.col("fields"), 1), F.get(F.col("fields"), 2)
     both = F.array(
-        F.struct(F.concat_ws(":", a, b).alias("row"), F.lit("ab").alias("qualifier")),
-        F.struct(F.concat_ws(":", b, a).alias("row"), F.lit("ba").alias("qualifier")),
+        F.struct(F.concat_ws(":", a, b).alias("row"), F.lit(FOLLOW_AB).alias("qualifier")),
+        F.struct(F.concat_ws(":", b, a).alias("row"), F.lit(FOLLOW_BA).alias("qualifier")),
     )
     return accepted(follow_parsed(lines, line_col), both).select(
         "row", F.lit(family).alias("family"), "qualifier", ts_column(ts).alias("ts"), F.lit("").alias("value")

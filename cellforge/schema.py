@@ -18,8 +18,9 @@ CELL = T.StructType(
     ]
 )
 
-# Reason codes of rejected input records.  The first five are the counter names the
-# relation loaders report; the last three name records that the other loaders drop.
+# Reason codes of rejected input records.  The first five are the
+# counter names the relation loaders report; the last three are this engine's names for
+# records that the other loaders drop.
 MISSING_A_ID = "MISSING_A_ID"
 MISSING_B_ID = "MISSING_B_ID"
 MISSING_RELATIONSHIP = "MISSING_RELATIONSHIP"
