@@ -149,6 +149,42 @@ def scan_family(cells: DataFrame, family: str | Sequence[str], gt=None, gte=None
     return latest_cells(narrowed).select("row", "family", "qualifier", "value")
 
 
+def scan_cells(
+    cells: DataFrame,
+    spec: str | Sequence[str],
+    load_key: bool = True,
+    gt=None,
+    gte=None,
+    lt=None,
+    lte=None,
+) -> DataFrame:
+    """The mixed form of a scan: ``"cf:a cf:b g:"`` gives one column per named cell
+    (latest value, empty -> ``"1"``) and one ``array<struct<qualifier, value>>`` bag per
+    whole family (latest values, qualifier order, raw).  Latest per coordinate first
+    (partial + final aggregate), then one ``groupBy(row)``.  A bag holds one row's
+    family, so its size is that row's width; prefer ``scan_family`` for unbounded rows."""
+    specs = parse_spec(spec)
+    narrowed = row_range(cells, gt, gte, lt, lte).where(_spec_filter(specs))
+    latest = latest_cells(narrowed)
+    named = [(f, q) for f, q in specs if q is not None]
+    names = iter(_column_names(named))
+    one = F.lit("1")
+    if isinstance(cells.schema["value"].dataType, T.BinaryType):
+        one = F.encode(one, "UTF-8")
+    aggs, out = [], []
+    for f, q in specs:
+        if q is None:
+            bag = F.when(F.col("family") == f, F.struct("qualifier", "value"))
+            aggs.append(F.sort_array(F.collect_list(bag)).alias(f))
+            out.append(F.col(f))
+        else:
+            n = next(names)
+            aggs.append(F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.col("value"))).alias(n))
+            out.append(F.when(F.octet_length(F.col(n)) == 0, one).otherwise(F.col(n)).alias(n))
+    rows = latest.groupBy("row").agg(*aggs)
+    return rows.select(*(["row"] if load_key else []), *out)
+
+
 def family_bags(pairs: DataFrame, bag_col: str = "bag") -> DataFrame:
     """``(row, family, bag)``: the pairs of ``scan_family`` gathered per row, in
     qualifier order.  Each bag holds one row of the table, so its size is that row's

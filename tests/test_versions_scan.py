@@ -44,3 +44,12 @@ def test_region_limit(spark):
     rows_ = scan.scan_columns(df, "f:a").withColumn("region", scan.region_of("row", ["10", "20"]))
     got = sorted((r.region, r.row) for r in scan.limit_per_region(rows_, "region", 3).collect())
     assert got == [(0, "00"), (0, "01"), (0, "02"), (1, "10"), (1, "11"), (1, "12"), (2, "20"), (2, "21"), (2, "22")]
+
+
+def test_scan_cells_mixed_spec(spark):
+    df = cells_df(spark, [("r1", "f", "a", 1, ""), ("r1", "f", "a", 0, "old"), ("r1", "g", "y", 1, "gy"), ("r1", "g", "x", 2, "gx"),
+                          ("r2", "g", "x", 1, "only"), ("r3", "h", "z", 1, "none")])
+    out = {r.row: r for r in scan.scan_cells(df, "f:a g:").collect()}
+    assert set(out) == {"r1", "r2"}
+    assert out["r1"].a == "1" and [tuple(x) for x in out["r1"].g] == [("x", "gx"), ("y", "gy")]
+    assert out["r2"].a is None and [tuple(x) for x in out["r2"].g] == [("x", "only")]
