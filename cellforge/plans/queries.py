@@ -168,20 +168,24 @@ def scan_region_limit(spark, sf):
     return scan.limit_per_region(rows, "region", REGION_LIMIT)
 
 
-UPSERT_BUCKETS = 8
+def _layout_parts(spark) -> int:
+    """Files of a sorted write and buckets of a snapshot: the session's shuffle
+    partition count, which a cluster sizes to its data (8 in the local tests)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def upsert_cells(spark, sf):
     """Earlier events form the base snapshot (a bucketed table); later events are
     upserted into it; the query reads the resulting snapshot."""
     ev = _event_table(spark, sf)
-    base = tables.load_cell_table(ev.where(F.col("ts") < UPSERT_CUTOFF_MS), UPSERT_BUCKETS)
-    merged = tables.upsert_table(spark, base, ev.where(F.col("ts") >= UPSERT_CUTOFF_MS), UPSERT_BUCKETS)
+    buckets = _layout_parts(spark)
+    base = tables.load_cell_table(ev.where(F.col("ts") < UPSERT_CUTOFF_MS), buckets)
+    merged = tables.upsert_table(spark, base, ev.where(F.col("ts") >= UPSERT_CUTOFF_MS), buckets)
     return spark.table(merged)
 
 
 def sorted_cells(spark, sf):
-    path = files.write_sorted_cells(_event_table(spark, sf), shared_path(spark, "sorted_cells"), 8)
+    path = files.write_sorted_cells(_event_table(spark, sf), shared_path(spark, "sorted_cells"), _layout_parts(spark))
     return spark.read.parquet(path)
 
 
