@@ -79,7 +79,7 @@ def sampled_cdf(samples: DataFrame, key_col: str, count_col: str | None = None,
     return joined.select(
         "prefix",
         "n",
-        (F.coalesce(F.sum("n").over(before), F.lit(0.0)) / F.sum("n").over(total)).alias("cdf"),
+        F.try_divide(F.coalesce(F.sum("n").over(before), F.lit(0.0)), F.sum("n").over(total)).alias("cdf"),
     )
 
 

@@ -65,3 +65,9 @@ def test_histogram_null_bin(spark):
     df = spark.createDataFrame([("100",), ("999",), ("99",), ("x12",)], "key string")
     got = {r.bin: r.n for r in keyspace.partition_histogram(df, "key", bins=10).collect()}
     assert got == {0: 1, 9: 1, None: 2}
+
+
+def test_sampled_cdf_without_samples(spark):
+    empty = spark.createDataFrame([], "key string, cnt long")
+    rows = keyspace.sampled_cdf(empty, "key", "cnt").collect()
+    assert len(rows) == 900 and all(r.cdf is None for r in rows)
