@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellforge.functions.codecs import decode_value
 from cellforge.functions.scalars import flat_to_millis, row_json
 from cellforge.operators import audit, cells, files, keyspace, relations, scan, tables, tuples, versions
 from cellforge.session import shared_path

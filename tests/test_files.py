@@ -40,7 +40,6 @@ def test_same_coordinate_collapse(spark):
 
 def test_partitioned_files_follow_the_partitioner(spark):
     from cellforge.operators import keyspace
-    from cellforge.plans.inspect import shuffles
 
     keys = [str(k) for k in range(1000, 10000, 37)] + ["12", "abcd"]
     cells = cells_df(spark, [(k, "f", "q", 1, k) for k in keys])
