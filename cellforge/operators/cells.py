@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellforge.functions.split import java_split
+from cellforge.operators.rejects import attach
 from cellforge.schema import (
     BAD_FIELD_COUNT,
     CELL_COLUMNS,
@@ -28,6 +29,10 @@ from cellforge.schema import (
     ts_column,
 )
 
+# Reasons each loader can reject a line for (for ``observation`` counters).
+FIELD_COUNT_REASONS = [BAD_FIELD_COUNT, EMPTY_KEY]
+KEY_REASONS = [MISSING_KEY, EMPTY_KEY]
+
 
 def split_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """``(line, fields)`` with the Java tab-split rule."""
@@ -71,7 +76,7 @@ def bulk_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return _fields(lines, line_col).withColumn("reason", reason)
 
 
-def bulk_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFrame:
+def bulk_cells(lines: DataFrame, ts=None, line_col: str = "line", observation: Observation | None = None) -> DataFrame:
     """Lines of exactly four fields ``row, family, qualifier, value`` as cells."""
     f = F.col("fields")
     cell = F.struct(
@@ -81,7 +86,7 @@ def bulk_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFrame:
         ts_column(ts).alias("ts"),
         F.get(f, 3).alias("value"),
     )
-    return accepted(bulk_parsed(lines, line_col), F.array(cell))
+    return accepted(attach(bulk_parsed(lines, line_col), observation, FIELD_COUNT_REASONS), F.array(cell))
 
 
 # --- wide lines: named positions ---------------------------------------------------
@@ -107,13 +112,14 @@ def table_cells(
     key_index: int = 0,
     ts=None,
     line_col: str = "line",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Wide line to cells: one cell per named position with a non-empty value.
 
     A name ``-`` skips its position; the key position is stored too when it has a
     name.  Lines without the key field, or with an empty key, are rejected.
     """
-    parsed = table_parsed(lines, key_index, line_col)
+    parsed = attach(table_parsed(lines, key_index, line_col), observation, KEY_REASONS)
     row = F.get(F.col("fields"), key_index)
     return _emit(parsed, row, _named_pairs(names, set(), True), family, ts, keep_empty=False)
 
@@ -136,10 +142,11 @@ def composite_key_cells(
     ts=None,
     sep: str = ":",
     line_col: str = "line",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """As ``table_cells`` with the row key = key fields joined by ``sep`` in the given
     order; a missing or empty key part rejects the line."""
-    parsed = composite_parsed(lines, key_indexes, line_col)
+    parsed = attach(composite_parsed(lines, key_indexes, line_col), observation, KEY_REASONS)
     row = F.concat_ws(sep, *[F.get(F.col("fields"), k) for k in key_indexes])
     return _emit(parsed, row, _named_pairs(names, set(), True), family, ts, keep_empty=False)
 
@@ -151,10 +158,11 @@ def file_cells(
     key_index: int = 0,
     ts=None,
     line_col: str = "line",
+    observation: Observation | None = None,
 ) -> DataFrame:
     """Wide line to cells for sorted-file output: the key position is not stored and
     ``-`` is an ordinary name."""
-    parsed = table_parsed(lines, key_index, line_col)
+    parsed = attach(table_parsed(lines, key_index, line_col), observation, KEY_REASONS)
     row = F.get(F.col("fields"), key_index)
     return _emit(parsed, row, _named_pairs(names, {key_index}, False), family, ts, keep_empty=False)
 
@@ -168,7 +176,9 @@ def edge_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return _fields(lines, line_col).withColumn("reason", reason)
 
 
-def edge_cells(lines: DataFrame, family: str, value: str = "", ts=None, line_col: str = "line") -> DataFrame:
+def edge_cells(
+    lines: DataFrame, family: str, value: str = "", ts=None, line_col: str = "line", observation: Observation | None = None
+) -> DataFrame:
     """Edge list ``_, src, dst, ...`` to one cell (row=src, qualifier=dst)."""
     f = F.col("fields")
     cell = F.struct(
@@ -178,20 +188,22 @@ def edge_cells(lines: DataFrame, family: str, value: str = "", ts=None, line_col
         ts_column(ts).alias("ts"),
         F.lit(value).alias("value"),
     )
-    return accepted(edge_parsed(lines, line_col), F.array(cell))
+    return accepted(attach(edge_parsed(lines, line_col), observation, FIELD_COUNT_REASONS), F.array(cell))
 
 
 def adjacency_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return _fields(lines, line_col).withColumn("reason", _key_reason(F.get(F.col("fields"), 0)))
 
 
-def adjacency_cells(lines: DataFrame, family: str, value: str = "", ts=None, line_col: str = "line") -> DataFrame:
+def adjacency_cells(
+    lines: DataFrame, family: str, value: str = "", ts=None, line_col: str = "line", observation: Observation | None = None
+) -> DataFrame:
     """Adjacency line ``node, n1, n2, ...`` to one cell per neighbour (qualifier);
     an inner empty field is an empty qualifier.  A line with only the node has no cells."""
     f = F.col("fields")
     neighbours = F.when(F.col("reason").isNull() & (F.size(f) > 1), F.slice(f, 2, F.size(f) - 1))
     return (
-        adjacency_parsed(lines, line_col)
+        attach(adjacency_parsed(lines, line_col), observation, KEY_REASONS)
         .select(F.get(f, 0).alias("row"), F.explode(neighbours).alias("col"))
         .select(
             "row",

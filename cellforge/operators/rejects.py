@@ -32,6 +32,14 @@ def count_rejects(parsed: DataFrame, reasons: Sequence[str], total: str | None =
     return counts.select(F.inline(F.array(*pairs)))
 
 
+def attach(parsed: DataFrame, observation: Observation | None, reasons: Sequence[str], total: str | None = BAD_RECORD) -> DataFrame:
+    """``parsed`` with the reject counters attached to ``observation`` (if given): they
+    are filled by whatever action runs the load, e.g. its write."""
+    if observation is None:
+        return parsed
+    return parsed.observe(observation, *_aggs(reasons, total))
+
+
 def observe_rejects(
     parsed: DataFrame, reasons: Sequence[str], total: str | None = BAD_RECORD, name: str = "rejects"
 ) -> tuple[DataFrame, Observation]:

@@ -13,13 +13,13 @@ also counts as ``BAD_RECORD``.  A field that is absent (the line is too short) i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import RELATION_FAMILIES, mention_json, relation_family
 from cellforge.functions.split import java_split
 from cellforge.operators.cells import accepted
-from cellforge.operators.rejects import count_rejects
+from cellforge.operators.rejects import attach, count_rejects
 from cellforge.schema import (
     BAD_RECORD,
     MISSING_A_ID,
@@ -51,14 +51,22 @@ def follow_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return out.withColumn("reason", reason)
 
 
-def follow_cells(lines: DataFrame, family: str = FOLLOW_FAMILY, ts=None, line_col: str = "line") -> DataFrame:
-    """Two cells per accepted follow line: (a:b, ab) and (b:a, ba), value empty."""
+def follow_cells(
+    lines: DataFrame,
+    family: str = FOLLOW_FAMILY,
+    ts=None,
+    line_col: str = "line",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Two cells per accepted follow line: (a:b, ab) and (b:a, ba), value empty.
+    With ``observation``, the reject counters are collected by the same pass."""
     a, b = F.get(F.col("fields"), 1), F.get(F.col("fields"), 2)
     both = F.array(
         F.struct(F.concat_ws(":", a, b).alias("row"), F.lit(FOLLOW_AB).alias("qualifier")),
         F.struct(F.concat_ws(":", b, a).alias("row"), F.lit(FOLLOW_BA).alias("qualifier")),
     )
-    return accepted(follow_parsed(lines, line_col), both).select(
+    parsed = attach(follow_parsed(lines, line_col), observation, FOLLOW_REASONS)
+    return accepted(parsed, both).select(
         "row", F.lit(family).alias("family"), "qualifier", ts_column(ts).alias("ts"), F.lit("").alias("value")
     )
 
@@ -79,8 +87,11 @@ def mention_parsed(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return out.withColumn("reason", chain)
 
 
-def mention_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFrame:
-    """One cell per accepted mention line."""
+def mention_cells(
+    lines: DataFrame, ts=None, line_col: str = "line", observation: Observation | None = None
+) -> DataFrame:
+    """One cell per accepted mention line.  With ``observation``, the reject counters
+    are collected by the same pass."""
     fields = F.col("fields")
     rel = F.when(F.size(fields) > 7, F.get(fields, 7))
     cell = F.struct(
@@ -90,7 +101,8 @@ def mention_cells(lines: DataFrame, ts=None, line_col: str = "line") -> DataFram
         ts_column(ts).alias("ts"),
         mention_json(F.get(fields, 5), rel).alias("value"),
     )
-    return accepted(mention_parsed(lines, line_col), F.array(cell))
+    parsed = attach(mention_parsed(lines, line_col), observation, MENTION_REASONS)
+    return accepted(parsed, F.array(cell))
 
 
 def mention_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:

@@ -48,3 +48,16 @@ def test_adjacency_cells(spark):
     out = rows(cells.adjacency_cells(df, "adj", ts=TS))
     assert [r[2] for r in out] == ["", "a", "b"]
     assert {r[0] for r in out} == {"n"}
+
+
+def test_loader_counters_in_the_load_pass(spark):
+    from pyspark.sql import Observation
+
+    from tests.conftest import SF_MID
+    from cellforge.sources import fixtures as fx
+
+    obs = Observation("user_table")
+    loaded = cells.table_cells(fx.line_input(spark, SF_MID, "user_lines"), fx.USER_NAMES, "base", key_index=1, ts=TS,
+                               observation=obs)
+    loaded.write.format("noop").mode("overwrite").save()
+    assert obs.get == {MISSING_KEY: 37, EMPTY_KEY: 40, "BAD_RECORD": 77}

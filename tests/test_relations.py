@@ -42,3 +42,13 @@ def test_observed_rejects_same_pass(spark):
     observed, obs = observe_rejects(relations.follow_parsed(lines), relations.FOLLOW_REASONS)
     observed.write.format("noop").mode("overwrite").save()
     assert obs.get == {"MISSING_A_ID": 1, "MISSING_B_ID": 0, "BAD_RECORD": 1}
+
+
+def test_counters_in_the_load_pass(spark):
+    from pyspark.sql import Observation
+
+    lines = fx.line_input(spark, SF_MID, "atsign_lines")
+    obs = Observation("mention_counters")
+    relations.mention_cells(lines, ts=1, observation=obs).write.format("noop").mode("overwrite").save()
+    assert obs.get == {"MISSING_A_ID": 527, "MISSING_B_ID": 412, "MISSING_RELATIONSHIP": 1818,
+                       "MISSING_TWEET_ID": 241, "BAD_RECORD": 2998}
