@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from cellforge.schema import KEY_SEP, MENTION_CREATED_AT, MENTION_REL_TW_ID
+
 # The flat date layout, and relation code of a mention line -> family.
 FLAT_FORMAT = "yyyyMMddHHmmss"
 RELATION_FAMILIES = {"re": "reply", "rt": "retweet", "me": "mention"}
@@ -21,7 +23,7 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def join_key(*parts: Column | str, sep: str = ":") -> Column:
+def join_key(*parts: Column | str, sep: str = KEY_SEP) -> Column:
     """Row key of several fields joined by ``sep`` (NULL parts are skipped)."""
     return F.concat_ws(sep, *[_col(p) for p in parts])
 
@@ -34,9 +36,9 @@ def relation_family(code: Column | str) -> Column:
 
 def mention_json(created_at: Column | str, rel_tw_id: Column | str | None = None) -> Column:
     """``{"created_at":"..."[,"rel_tw_id":"..."]}``; a NULL ``rel_tw_id`` is left out."""
-    parts = [_col(created_at).alias("created_at")]
+    parts = [_col(created_at).alias(MENTION_CREATED_AT)]
     if rel_tw_id is not None:
-        parts.append(_col(rel_tw_id).alias("rel_tw_id"))
+        parts.append(_col(rel_tw_id).alias(MENTION_REL_TW_ID))
     return F.to_json(F.struct(*parts))
 
 

@@ -25,7 +25,9 @@ from cellforge.schema import (
     BAD_FIELD_COUNT,
     CELL_COLUMNS,
     EMPTY_KEY,
+    KEY_SEP,
     MISSING_KEY,
+    SKIP_NAME,
     ts_column,
 )
 
@@ -95,7 +97,7 @@ def bulk_cells(lines: DataFrame, ts=None, line_col: str = "line", observation: O
 def _named_pairs(names: Sequence[str], skip: set[int], skip_dash: bool) -> list[Column]:
     pairs = []
     for i, name in enumerate(names):
-        if i in skip or (skip_dash and name == "-"):
+        if i in skip or (skip_dash and name == SKIP_NAME):
             continue
         pairs.append(_pair(name, F.get(F.col("fields"), i)))
     return pairs
@@ -140,7 +142,7 @@ def composite_key_cells(
     family: str,
     key_indexes: Sequence[int],
     ts=None,
-    sep: str = ":",
+    sep: str = KEY_SEP,
     line_col: str = "line",
     observation: Observation | None = None,
 ) -> DataFrame:

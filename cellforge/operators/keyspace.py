@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import key_prefix, numeric_prefix
+from cellforge.schema import CDF_DIGITS, MIN_KEY_BYTES
 
 MAX_BROADCAST_CHARS = 5  # 90,000 prefixes x (int, double): ~2 MB
 
@@ -112,9 +113,9 @@ def partition_id(key: Column, cdf: Column, n: int) -> Column:
         raise ValueError("n must be >= 1")
     if n == 1:
         return F.lit(0)
-    part = (F.round(cdf, 7).cast("float") * F.lit(float(n)).cast("float")).cast("int")
+    part = (F.round(cdf, CDF_DIGITS).cast("float") * F.lit(float(n)).cast("float")).cast("int")
     return (
-        F.when(F.octet_length(key) < 4, F.lit(0))
+        F.when(F.octet_length(key) < MIN_KEY_BYTES, F.lit(0))
         .when(cdf.isNull(), F.lit(0))
         .otherwise(F.least(part, F.lit(n - 1)))
     )
@@ -139,7 +140,7 @@ def partition_histogram(
     """``(bin int, n bigint)``: records per bin ``int(cdf * bins)``; keys whose prefix is
     not on the grid form the NULL bin."""
     keyed = with_cdf(df.select(key_col), key_col, cdf, chars, out="_cdf")
-    binned = keyed.select((F.round("_cdf", 7) * F.lit(float(bins))).cast("int").alias("bin"))
+    binned = keyed.select((F.round("_cdf", CDF_DIGITS) * F.lit(float(bins))).cast("int").alias("bin"))
     return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -22,6 +22,7 @@ from cellforge.operators.cells import accepted
 from cellforge.operators.rejects import attach, count_rejects
 from cellforge.schema import (
     BAD_RECORD,
+    KEY_SEP,
     MISSING_A_ID,
     MISSING_B_ID,
     MISSING_RELATIONSHIP,
@@ -62,8 +63,8 @@ def follow_cells(
     With ``observation``, the reject counters are collected by the same pass."""
     a, b = F.get(F.col("fields"), 1), F.get(F.col("fields"), 2)
     both = F.array(
-        F.struct(F.concat_ws(":", a, b).alias("row"), F.lit(FOLLOW_AB).alias("qualifier")),
-        F.struct(F.concat_ws(":", b, a).alias("row"), F.lit(FOLLOW_BA).alias("qualifier")),
+        F.struct(F.concat_ws(KEY_SEP, a, b).alias("row"), F.lit(FOLLOW_AB).alias("qualifier")),
+        F.struct(F.concat_ws(KEY_SEP, b, a).alias("row"), F.lit(FOLLOW_BA).alias("qualifier")),
     )
     parsed = attach(follow_parsed(lines, line_col), observation, FOLLOW_REASONS)
     return accepted(parsed, both).select(
@@ -95,7 +96,7 @@ def mention_cells(
     fields = F.col("fields")
     rel = F.when(F.size(fields) > 7, F.get(fields, 7))
     cell = F.struct(
-        F.concat_ws(":", F.get(fields, 1), F.get(fields, 2)).alias("row"),
+        F.concat_ws(KEY_SEP, F.get(fields, 1), F.get(fields, 2)).alias("row"),
         relation_family(F.get(fields, 3)).alias("family"),
         F.get(fields, 4).alias("qualifier"),
         ts_column(ts).alias("ts"),

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from cellforge.functions.codecs import Caster, decode_value
 from cellforge.operators.versions import latest_cells
+from cellforge.schema import EMPTY_CELL_MARKER
 
 TYPE_NAMES = {
     "string": T.StringType(),
@@ -111,7 +112,7 @@ def scan_columns(
         for (f, q), n in zip(specs, names)
     ]
     rows = narrowed.groupBy("row").agg(*aggs)
-    one = F.lit("1")
+    one = F.lit(EMPTY_CELL_MARKER)
     if isinstance(cells.schema["value"].dataType, T.BinaryType):
         one = F.encode(one, "UTF-8")
     out = []
@@ -168,7 +169,7 @@ def scan_cells(
     latest = latest_cells(narrowed)
     named = [(f, q) for f, q in specs if q is not None]
     names = iter(_column_names(named))
-    one = F.lit("1")
+    one = F.lit(EMPTY_CELL_MARKER)
     if isinstance(cells.schema["value"].dataType, T.BinaryType):
         one = F.encode(one, "UTF-8")
     aggs, out = [], []

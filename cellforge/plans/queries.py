@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import flat_to_millis, row_json
 from cellforge.operators import audit, cells, files, keyspace, relations, scan, tables, tuples, versions
+from cellforge.schema import CDF_DIGITS
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
 from cellforge.sources.text import read_typed_tsv, write_lines
@@ -210,7 +211,7 @@ def benford_cdf(spark, sf):
     )
     theory = keyspace.benford_cdf(spark, PREFIX_CHARS)
     return theory.join(F.broadcast(observed), "prefix", "left").select(
-        "prefix", F.round("cdf", 7).alias("cdf"), F.coalesce("keys", F.lit(0)).alias("keys")
+        "prefix", F.round("cdf", CDF_DIGITS).alias("cdf"), F.coalesce("keys", F.lit(0)).alias("keys")
     ).where(F.col("prefix").between(lo, hi))
 
 

@@ -18,6 +18,14 @@ CELL = T.StructType(
     ]
 )
 
+# Fixed values of the cell format and loaders, as the reference defines them:
+KEY_SEP = ":"  # joins composite and pair row keys
+SKIP_NAME = "-"  # a column name that means "do not store this position"
+EMPTY_CELL_MARKER = "1"  # what a named-column read returns for a stored empty value
+MIN_KEY_BYTES = 4  # shorter keys go to partition 0
+CDF_DIGITS = 7  # CDF values are kept to 7 decimal digits (and multiplied as float32)
+MENTION_CREATED_AT, MENTION_REL_TW_ID = "created_at", "rel_tw_id"  # mention JSON fields
+
 # Reason codes of rejected input records.  The first five are the
 # counter names the relation loaders report; the last three are this engine's names for
 # records that the other loaders drop.
