@@ -105,6 +105,14 @@ def key_prefix(key: Column | str, chars: int = 3) -> Column:
     return F.substring(_col(key), 1, chars)
 
 
+def leading_number(s: Column | str) -> Column:
+    """Double value of the number a text starts with (after blanks): ``"12abc"`` -> 12.0,
+    ``"1.5e3x"`` -> 1500.0; no leading number -> 0.0.  Numeric columns pass through."""
+    text = _col(s).cast("string")
+    head = F.regexp_extract(text, r"^\s*([+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?)", 1)
+    return F.coalesce(F.nullif(head, F.lit("")).try_cast("double"), F.lit(0.0))
+
+
 def numeric_prefix(s: Column | str, chars: int) -> Column:
     """Integer value of the first ``chars`` characters, as a sample prefix.
 

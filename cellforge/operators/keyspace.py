@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellforge.functions.scalars import key_prefix, numeric_prefix
+from cellforge.functions.scalars import key_prefix, leading_number, numeric_prefix
 from cellforge.schema import CDF_DIGITS, MIN_KEY_BYTES
 
 MAX_BROADCAST_CHARS = 5  # 90,000 prefixes x (int, double): ~2 MB
@@ -52,8 +52,9 @@ def benford_cdf(spark: SparkSession, chars: int = 3) -> DataFrame:
 def prefix_mass(samples: DataFrame, key_col: str, count_col: str | None = None, chars: int = 3) -> DataFrame:
     """``(prefix int, n double)``: summed counts per numeric prefix of the sample keys;
     keys with a smaller (or no) numeric prefix are lumped into the first prefix.
-    Without ``count_col`` every sample row counts 1."""
-    weight = F.lit(1.0) if count_col is None else F.coalesce(F.col(count_col).try_cast("double"), F.lit(0.0))
+    Without ``count_col`` every sample row counts 1; a text count is read by its
+    leading number (``"12abc"`` counts 12, no number counts 0)."""
+    weight = F.lit(1.0) if count_col is None else leading_number(F.col(count_col))
     return (
         samples.select(numeric_prefix(F.col(key_col), chars).alias("prefix"), weight.alias("w"))
         .groupBy("prefix")

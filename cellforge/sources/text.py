@@ -46,6 +46,7 @@ def key_window(keys: DataFrame, offset: int = 0, limit: int | None = None, key_c
 
 
 def read_sample_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(key string, cnt double)`` samples from tab-separated text."""
-    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("cnt", T.DoubleType())])
+    """``(key string, cnt string)`` samples from tab-separated text; the count stays
+    text so ``keyspace.prefix_mass`` can read its leading number."""
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("cnt", T.StringType())])
     return read_typed_tsv(spark, path, schema)

@@ -18,3 +18,24 @@ def test_read_cells_by_name_or_path(spark):
     path = files.write_sorted_cells(df, shared_path(spark, "cells"), 1)
     assert [tuple(r) for r in read_cells(spark, name).collect()] == [("r", "f", "q", 1, "v")]
     assert [tuple(r) for r in read_cells(spark, path).collect()] == [("r", "f", "q", 1, "v")]
+
+
+def test_sample_counts_source_feeds_the_cdf(spark):
+    from cellforge.operators.keyspace import sampled_cdf
+    from cellforge.sources.text import read_sample_counts
+
+    path = write_lines(lines_df(spark, ["150\t3", "1\t1", "999x\t2", "abc\tnot-a-number"]), shared_path(spark, "samples"))
+    samples = read_sample_counts(spark, path)
+    cdf = {r.prefix: (r.n, r.cdf) for r in sampled_cdf(samples, "key", "cnt").collect()}
+    assert cdf[100] == (1.0, 0.0)
+    assert cdf[150] == (3.0, 1 / 6)
+    assert cdf[999] == (2.0, 4 / 6)
+
+
+def test_leading_number(spark):
+    from pyspark.sql import functions as F
+
+    from cellforge.functions.scalars import leading_number
+
+    df = spark.createDataFrame([("12abc",), (" 1.5e3x",), ("x",), (None,), ("-2",)], "s string")
+    assert [r.v for r in df.select(leading_number(F.col("s")).alias("v")).collect()] == [12.0, 1500.0, 0.0, 0.0, -2.0]
