@@ -147,7 +147,7 @@ def latest_cells(spark, sf):
 
 
 def _event_table(spark, sf):
-    return fx.event_cells(spark, sf).unionByName(fx.prop_cells(spark, sf))
+    return fx.event_table(spark, sf)
 
 
 def scan_columns(spark, sf):

@@ -121,6 +121,20 @@ def prop_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both families (``ev`` and ``props``) from one scan of ``events``: each event
+    becomes two cells through ``inline``, so the table is read once, not once per family."""
+    ev = table(spark, sf_dir, "events")
+    row = F.col("user_id").cast("string")
+    ts = ntz_to_millis(F.col("ts"))
+
+    def cell(family, value):
+        return F.struct(row.alias("row"), F.lit(family).alias("family"), F.col("event_type").alias("qualifier"),
+                        ts.alias("ts"), value.alias("value"))
+
+    return ev.select(F.inline(F.array(cell("ev", F.col("event_id").cast("string")), cell("props", F.col("props")))))
+
+
 PROP_CELLS_SQL = """
 select cast(user_id as varchar) as row, 'props' as family, event_type as qualifier,
        epoch_us(ts)//1000 as ts, props as value

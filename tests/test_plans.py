@@ -80,3 +80,11 @@ def test_partitioner_placement_is_the_only_exchange(spark):
     placed = keyspace.place_by_partition(keyspace.assign_partition(ev, "row", 10, out="_part"), 10, "_part")
     collapsed = placed.groupBy(*COORD, (-F.col("ts")).alias("_nts"), "_part").agg(F.max("value").alias("value"))
     assert [s.lower() for s in shuffles(collapsed)] == ["shufflepartitionidpassthrough"]
+
+
+def test_two_family_table_scans_events_once(spark):
+    df = fx.event_table(spark, SF_SMALL)
+    assert physical_plan(df).count("FileScan parquet") == 1
+    path = files.write_sorted_cells(df, Q.shared_path(spark, "t_once"), 2)
+    assert spark.read.parquet(path).count() > 0
+    assert shuffles(files.sorted_cell_partitions(df, 4)) == ["rangepartitioning"]
