@@ -114,10 +114,12 @@ def encode_value(c: Column, dtype: T.DataType, caster: Caster = "text") -> Colum
 
 
 def decode_text(v: Column, dtype: T.DataType) -> Column:
-    """Typed value of a text cell; text that does not parse gives NULL."""
+    """Typed value of a text cell (a string, or UTF-8 bytes in a binary value column);
+    text that does not parse gives NULL."""
+    text = v.cast("string")
     if isinstance(dtype, T.StringType):
-        return v.cast("string")
-    return v.try_cast(dtype)
+        return text
+    return text.try_cast(dtype)
 
 
 def decode_binary(v: Column, dtype: T.DataType) -> Column:

@@ -126,19 +126,21 @@ def scan_typed(
     cells: DataFrame,
     columns: str | Sequence[str],
     types: Sequence[str | T.DataType],
-    caster: Caster = "text",
+    caster: Caster | Sequence[Caster] = "text",
     load_key: bool = True,
     **bounds,
 ) -> DataFrame:
-    """``scan_columns`` with every column decoded to its type by the caster (a text
-    value that does not parse, or a binary value of the wrong length, gives NULL)."""
+    """``scan_columns`` with every column decoded to its type by the caster, one for
+    all columns or one per column (a text value that does not parse, or a binary value
+    of the wrong length, gives NULL)."""
     specs = parse_spec(columns)
     names = _column_names(specs)
     dtypes = [TYPE_NAMES[t] if isinstance(t, str) else t for t in types]
     if len(dtypes) != len(names):
         raise ValueError("one type per column")
+    casters = list(caster) if isinstance(caster, (list, tuple)) else [caster] * len(names)
     raw = scan_columns(cells, columns, load_key=load_key, names=names, **bounds)
-    decoded = [decode_value(F.col(n), t, caster).alias(n) for n, t in zip(names, dtypes)]
+    decoded = [decode_value(F.col(n), t, c).alias(n) for n, t, c in zip(names, dtypes, casters)]
     return raw.select(*(["row"] if load_key else []), *decoded)
 
 

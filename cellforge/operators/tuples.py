@@ -18,7 +18,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cellforge.functions.codecs import Caster, encode_value
 from cellforge.operators.files import sort_cells
@@ -36,11 +35,14 @@ def _integer_or_null(c: Column) -> Column:
 def store_rows(
     df: DataFrame,
     columns: str | Sequence[str],
-    caster: Caster = "text",
+    caster: Caster | Sequence[Caster] = "text",
     timestamp_field: int | None = None,
     now=None,
 ) -> DataFrame:
-    """Rows ``(key, v1, ..., vn)`` with a spec of n ``family:qualifier`` columns to cells."""
+    """Rows ``(key, v1, ..., vn)`` with a spec of n ``family:qualifier`` columns to cells.
+
+    ``caster`` is one caster for all columns or one per column; when any column is
+    binary the value column is binary and text values are stored as UTF-8 bytes."""
     specs = parse_spec(columns)
     fields = df.schema.fields
     if any(q is None for _, q in specs):
@@ -50,14 +52,19 @@ def store_rows(
     ts = ts_column(now)
     if timestamp_field is not None:
         ts = F.coalesce(_integer_or_null(F.col(fields[timestamp_field].name)), ts)
+    casters = list(caster) if isinstance(caster, (list, tuple)) else [caster] * len(specs)
+    if len(casters) != len(specs):
+        raise ValueError("one caster per column")
+    as_bytes = any(c == "binary" for c in casters)
     key = encode_value(F.col(fields[0].name), fields[0].dataType, "text")
+
+    def value(fld, c):
+        v = encode_value(F.col(fld.name), fld.dataType, c)
+        return F.encode(v, "UTF-8") if as_bytes and c == "text" else v
+
     pairs = [
-        F.struct(
-            F.lit(f).alias("family"),
-            F.lit(q).alias("qualifier"),
-            encode_value(F.col(fld.name), fld.dataType, caster).alias("value"),
-        )
-        for (f, q), fld in zip(specs, fields[1:])
+        F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier"), value(fld, c).alias("value"))
+        for (f, q), fld, c in zip(specs, fields[1:], casters)
     ]
     return (
         df.select(key.alias("row"), ts.alias("ts"), F.inline(F.array(*pairs)))
@@ -117,6 +124,3 @@ def store_bag(
     )
     return sort_cells(cells)
 
-
-def value_types(df: DataFrame) -> dict[str, T.DataType]:
-    return {f.name: f.dataType for f in df.schema.fields}

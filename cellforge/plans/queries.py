@@ -130,13 +130,16 @@ def encode_values(spark, sf):
 
 
 def decode_values(spark, sf):
-    rows = _codec_rows(spark, sf)
-    binary = tuples.store_rows(rows.drop("stamp"), "b:name b:size b:delta b:big", caster="binary", now=fx.LOAD_TS)
-    text = tuples.store_rows(rows.select("key", "stamp"), "t:stamp", now=fx.LOAD_TS)
-    types = {"name": "string", "size": "int", "delta": "int", "big": "bigint"}
-    loaded_b = scan.scan_typed(binary, [f"b:{c}" for c in types], list(types.values()), caster="binary")
-    loaded_t = scan.scan_typed(text, ["t:stamp"], ["bigint"], caster="text").withColumnRenamed("stamp", "stamp_num")
-    return loaded_b.join(loaded_t, "row", "full")
+    """Store four columns big-endian and the stamp as text, then load them back typed:
+    the stamp is read as a number, so the non-numeric ones become NULL."""
+    casters = ["binary", "binary", "binary", "binary", "text"]
+    stored = tuples.store_rows(
+        _codec_rows(spark, sf), "b:name b:size b:delta b:big b:stamp", caster=casters, now=fx.LOAD_TS
+    )
+    loaded = scan.scan_typed(
+        stored, "b:name b:size b:delta b:big b:stamp", ["string", "int", "int", "bigint", "bigint"], caster=casters
+    )
+    return loaded.withColumnRenamed("stamp", "stamp_num")
 
 
 # --- versions, scans, upserts -----------------------------------------------------

@@ -77,3 +77,13 @@ def test_text_decode_bad_is_null(spark):
     df = spark.createDataFrame([("12",), ("bad",)], "v string")
     got = [r.y for r in df.select(decode_value(F.col("v"), T.IntegerType(), "text").alias("y")).collect()]
     assert got == [12, None]
+
+
+def test_per_column_casters(spark):
+    from cellforge.operators import scan
+
+    df = spark.createDataFrame([("k", 7, "12"), ("j", -1, "x")], "k string, n int, s string")
+    stored = tuples.store_rows(df, "f:n f:s", caster=["binary", "text"], now=1)
+    assert stored.schema["value"].dataType == T.BinaryType()
+    back = scan.scan_typed(stored, "f:n f:s", ["int", "bigint"], caster=["binary", "text"])
+    assert sorted(tuple(r) for r in back.collect()) == [("j", -1, None), ("k", 7, 12)]
