@@ -52,3 +52,11 @@ def test_counters_in_the_load_pass(spark):
     relations.mention_cells(lines, ts=1, observation=obs).write.format("noop").mode("overwrite").save()
     assert obs.get == {"MISSING_A_ID": 527, "MISSING_B_ID": 412, "MISSING_RELATIONSHIP": 1818,
                        "MISSING_TWEET_ID": 241, "BAD_RECORD": 2998}
+
+
+def test_mentions_with_related_tweet(spark):
+    from pyspark.sql import functions as F
+
+    cells = relations.mention_cells(fx.line_input(spark, SF_MID, "atsign_lines"), ts=1)
+    assert cells.count() == 7002
+    assert cells.where(F.col("value").contains('"rel_tw_id"')).count() == 2324
