@@ -61,7 +61,11 @@ def salted_latest(cells: DataFrame, salt: int = DEFAULT_SALT) -> DataFrame:
 
 
 def upsert_plan(existing: DataFrame, incoming: DataFrame, buckets: int, salt: int = DEFAULT_SALT) -> DataFrame:
-    """Latest cells of a bucketed snapshot plus incoming cells (see module notes)."""
+    """Latest cells of a bucketed snapshot plus incoming cells (see module notes).
+
+    The incoming side always reaches the union through an exchange, so the union runs
+    row by row and keeps bucket i with bucket i.  A union of columnar bucketed scans
+    alone would not (see ``versions.upsert_cells``)."""
     aligned = salted_latest(incoming.select(*CELL_COLUMNS), salt).repartition(buckets, *COORD)
     return latest_cells(existing.select(*CELL_COLUMNS).unionByName(aligned))
 

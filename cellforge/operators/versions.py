@@ -51,8 +51,16 @@ def collapse_cells(cells: DataFrame) -> DataFrame:
 
 
 def upsert_cells(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Table state after writing ``incoming`` over ``existing``: latest of both."""
-    return latest_cells(existing.select(*CELL_COLUMNS).unionByName(incoming.select(*CELL_COLUMNS)))
+    """Table state after writing ``incoming`` over ``existing``: latest of both.
+
+    Each side is reduced to its latest cells first and the union is taken of those.
+    The result is the same (latest is associative), and the union never has only
+    columnar table scans below it: in Spark 4.1 such a union of two tables bucketed
+    alike reports the bucket partitioning but concatenates the partitions, so an
+    aggregate directly above it would merge the wrong partitions."""
+    mine = latest_cells(existing.select(*CELL_COLUMNS))
+    theirs = latest_cells(incoming.select(*CELL_COLUMNS))
+    return latest_cells(mine.unionByName(theirs))
 
 
 def table_rows(cells: DataFrame) -> DataFrame:
