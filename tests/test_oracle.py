@@ -32,6 +32,18 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(rows, df.columns) == digest(orows, ocols)
 
 
+SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
+                 "DoubleType()": "DOUBLE", "BinaryType()": "BLOB"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["row", "family", "qualifier", "ts", "value"]
