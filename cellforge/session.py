@@ -23,7 +23,9 @@ LOCAL_CONF = {
 def local_session(cores: int | str = "*", app: str = "cellforge", conf: dict | None = None) -> SparkSession:
     """A ``local[cores]`` session configured like the tests and the bench."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in {**LOCAL_CONF, **(conf or {})}.items():
+    # Local runs keep the catalog's warehouse out of the working directory.
+    local = {"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cellforge-warehouse-")}
+    for key, value in {**LOCAL_CONF, **local, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
