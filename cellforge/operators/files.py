@@ -49,6 +49,28 @@ def write_sorted_cells(
     return path
 
 
+def write_region_cells(
+    cells: DataFrame,
+    path: str,
+    boundaries: list[str],
+    num_files: int,
+    whole_rows: bool = False,
+    mode: str = "errorifexists",
+) -> str:
+    """Sorted cell files in one directory per key region (``region=i``), regions given by
+    their start keys (e.g. ``keyspace.region_starts`` of a sampled CDF).  A range scan
+    then skips whole regions by partition pruning (``scan.scan_regions``).  The range
+    exchange and the sort are those of ``write_sorted_cells``; the region is monotone in
+    the row key, so sorting by region first keeps the cell order and the writer adds no
+    sort of its own."""
+    from cellforge.operators.scan import region_of
+
+    ordered = sorted_cell_partitions(cells, num_files, whole_rows).withColumn("region", region_of("row", boundaries))
+    ordered = ordered.sortWithinPartitions("region", *COORD, F.desc("ts"))
+    ordered.write.mode(mode).partitionBy("region").parquet(path)
+    return path
+
+
 def write_partitioned_cells(
     cells: DataFrame, path: str, n: int, cdf: DataFrame | None = None, chars: int = 3, mode: str = "errorifexists"
 ) -> str:

@@ -135,6 +135,21 @@ def place_by_partition(df: DataFrame, n: int, partition_col: str = "partition")
     return df.repartitionById(n, F.col(partition_col))
 
 
+def region_starts(cdf: DataFrame, n: int, chars: int = 3) -> list[str]:
+    """Start keys of regions 1..n-1 from a prefix CDF: region i begins at the first
+    prefix whose partition id (as ``partition_id`` computes it) is i.  At most ``n``
+    values reach the driver (one per region)."""
+    lo, hi = _grid(chars)
+    part = (F.round("cdf", CDF_DIGITS).cast("float") * F.lit(float(n)).cast("float")).cast("int")
+    firsts = (
+        cdf.where(F.col("prefix").between(lo, hi) & F.col("cdf").isNotNull())
+        .groupBy(F.least(part, F.lit(n - 1)).alias("part"))
+        .agg(F.min("prefix").alias("start"))
+        .where(F.col("part") >= 1)
+    )
+    return [str(r.start) for r in sorted(firsts.collect(), key=lambda r: r.part)]
+
+
 def partition_histogram(
     df: DataFrame, key_col: str, bins: int = 10, cdf: DataFrame | None = None, chars: int = 3
 ) -> DataFrame:

@@ -208,6 +208,35 @@ def region_of(key: Column | str, boundaries: Sequence[str]) -> Column:
     return region
 
 
+def regions_in_range(boundaries: Sequence[str], gt=None, gte=None, lt=None, lte=None) -> list[int]:
+    """Regions (as ``region_of`` numbers them) that can hold keys within the bounds.
+    Region i spans [start_i, start_i+1) with start_0 the empty key; the row filter still
+    applies exactly, so a region at the edge may be included needlessly, never missed."""
+    starts = [""] + sorted(unescape_bound(b) for b in boundaries)
+    low = max([unescape_bound(b) for b in (gt, gte) if b is not None], default=None)
+    below = unescape_bound(lt) if lt is not None else None
+    upto = unescape_bound(lte) if lte is not None else None
+    keep = []
+    for i, start in enumerate(starts):
+        end = starts[i + 1] if i + 1 < len(starts) else None
+        if (below is not None and start >= below) or (upto is not None and start > upto):
+            continue
+        if low is not None and end is not None and end <= low:
+            continue
+        keep.append(i)
+    return keep
+
+
+def scan_regions(
+    cells: DataFrame, boundaries: Sequence[str], region_col: str = "region", gt=None, gte=None, lt=None, lte=None
+) -> DataFrame:
+    """Key-range scan of region-partitioned cell files: the bounds become a filter on
+    the region partition column (whole directories are skipped without opening their
+    files) and the exact row filter, which Parquet receives as ``PushedFilters``."""
+    regions = regions_in_range(boundaries, gt, gte, lt, lte)
+    return row_range(cells.where(F.col(region_col).isin(*regions)), gt, gte, lt, lte)
+
+
 def limit_per_region(rows: DataFrame, region: Column | str, limit: int, key_col: str = "row") -> DataFrame:
     """At most ``limit`` rows per region, the first ones in key order.  Counts rows,
     not cells.  Spark plans a partial per-task limit before the exchange, so a large

@@ -175,6 +175,8 @@ FROM ({CODEC_ROWS}) WHERE key IS NOT NULL""",
 WHERE rn <= {q.REGION_LIMIT}""",
     "upsert_cells": _latest(EVENT_TABLE),
     "sorted_cells": f"SELECT row, family, qualifier, ts, max(value) AS value FROM ({EVENT_TABLE}) GROUP BY row, family, qualifier, ts",
+    "scan_region_files": f"""SELECT key AS row, 'k' AS family, 'n' AS qualifier, {TS} AS ts, CAST(cnt AS VARCHAR) AS value
+FROM ({KEY_COUNTS}) WHERE key >= '{q.REGION_SCAN[0]}' AND key < '{q.REGION_SCAN[1]}'""",
     "sampled_cdf": f"""WITH kc AS ({KEY_COUNTS}),
 m AS (SELECT greatest(COALESCE(TRY_CAST(NULLIF(regexp_extract(substr(key, 1, 3), '^\\s*([+-]?\\d+)', 1), '') AS INTEGER), 0), 100) AS prefix,
              sum(COALESCE(TRY_CAST(cnt AS DOUBLE), 0.0)) AS n

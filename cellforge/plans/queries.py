@@ -187,6 +187,25 @@ def upsert_cells(spark, sf):
     return spark.table(merged)
 
 
+REGIONS = 8
+REGION_SCAN = ("300", "700")
+
+
+def scan_region_files(spark, sf):
+    """Order-key cells written as region directories (region starts from the keys'
+    sampled distribution), then a key-range scan that prunes whole regions."""
+    kc = _key_counts(spark, sf)
+    cells_ = kc.select(
+        F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
+        F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"),
+    )
+    starts = keyspace.region_starts(keyspace.sampled_cdf(kc, "key", "cnt", chars=PREFIX_CHARS), REGIONS)
+    path = files.write_region_cells(cells_, shared_path(spark, "region_cells"), starts, _layout_parts(spark))
+    stored = spark.read.parquet(path)
+    lo, hi = REGION_SCAN
+    return scan.scan_regions(stored, starts, gte=lo, lt=hi).select("row", "family", "qualifier", "ts", "value")
+
+
 def sorted_cells(spark, sf):
     path = files.write_sorted_cells(_event_table(spark, sf), shared_path(spark, "sorted_cells"), _layout_parts(spark))
     return spark.read.parquet(path)
@@ -268,6 +287,7 @@ QUERIES: dict[str, Query] = {
     "scan_region_limit": scan_region_limit,
     "upsert_cells": upsert_cells,
     "sorted_cells": sorted_cells,
+    "scan_region_files": scan_region_files,
     "sampled_cdf": sampled_cdf,
     "benford_cdf": benford_cdf,
     "assign_partition": assign_partition,

@@ -51,3 +51,29 @@ def test_partitioned_files_follow_the_partitioner(spark):
         by_file.setdefault(r.file, set()).add(expected[r.row])
     assert all(len(parts) == 1 for parts in by_file.values())
     assert sum(1 for _ in written.collect()) == len(keys)
+
+
+def test_region_files_prune_by_range(spark):
+    from cellforge.operators import keyspace, scan
+    from cellforge.plans.inspect import physical_plan
+
+    kc = fx.line_input(spark, SF_SMALL, "key_counts")
+    starts = keyspace.region_starts(keyspace.sampled_cdf(kc, "key", "cnt"), 4)
+    assert starts == sorted(starts) and len(starts) == 3
+    cells = kc.select(F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
+                      F.lit(1).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"))
+    path = files.write_region_cells(cells, shared_path(spark, "t_regions"), starts, 4)
+    stored = spark.read.parquet(path)
+    lo, hi = starts[0], starts[1]
+    pruned = scan.scan_regions(stored, starts, gte=lo, lt=hi)
+    expected = sorted(r.row for r in cells.where((F.col("row") >= lo) & (F.col("row") < hi)).collect())
+    assert sorted(r.row for r in pruned.collect()) == expected
+    plan = physical_plan(pruned, "formatted")
+    import re
+
+    assert re.search(r"PartitionFilters: \[[^\]]*region", plan)
+    assert scan.regions_in_range(starts, gte=lo, lt=hi) == [1]
+    # within every file the cells keep their order
+    for fname in [r.f for r in stored.select(F.input_file_name().alias("f")).distinct().collect()]:
+        part = [r.row for r in stored.where(F.input_file_name() == fname).collect()]
+        assert part == sorted(part)
