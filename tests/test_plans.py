@@ -88,3 +88,18 @@ def test_two_family_table_scans_events_once(spark):
     path = files.write_sorted_cells(df, Q.shared_path(spark, "t_once"), 2)
     assert spark.read.parquet(path).count() > 0
     assert shuffles(files.sorted_cell_partitions(df, 4)) == ["rangepartitioning"]
+
+
+def test_scans_read_only_the_columns_they_use(spark):
+    import re
+
+    expected = {
+        "follow_cells": {"o_orderkey", "o_custkey"},
+        "latest_cells": {"event_id", "ts", "user_id", "event_type"},
+        "partition_histogram": {"l_orderkey"},
+        "flat_ts_millis": {"o_orderkey", "o_orderdate"},
+    }
+    for name, cols in expected.items():
+        plan = physical_plan(Q.QUERIES[name](spark, SF_SMALL), "formatted")
+        schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
+        assert {c.split(":")[0] for c in schema.split(",")} == cols, name
