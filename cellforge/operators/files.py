@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellforge.schema import CELL_COLUMNS
+from cellforge.session import ensure_checkpoint_dir
 
 COORD = ["row", "family", "qualifier"]
 
@@ -41,10 +42,26 @@ def sorted_cell_partitions(cells: DataFrame, num_files: int, whole_rows: bool =
     )
 
 
+def _materialized(cells: DataFrame, materialize: bool) -> DataFrame:
+    """The range partitioner runs its input once more to sample split points; with
+    ``materialize`` the cells are first checkpointed to the shared folder, so an
+    expensive input (e.g. text parsed by a loader) is computed once."""
+    if not materialize:
+        return cells
+    ensure_checkpoint_dir(cells.sparkSession)
+    return cells.select(*CELL_COLUMNS).checkpoint(eager=True)
+
+
 def write_sorted_cells(
-    cells: DataFrame, path: str, num_files: int, whole_rows: bool = False, mode: str = "errorifexists"
+    cells: DataFrame,
+    path: str,
+    num_files: int,
+    whole_rows: bool = False,
+    mode: str = "errorifexists",
+    materialize: bool = False,
 ) -> str:
     """Writes range-partitioned, key-sorted cell files to ``path``; returns ``path``."""
+    cells = _materialized(cells, materialize)
     sorted_cell_partitions(cells, num_files, whole_rows).write.mode(mode).parquet(path)
     return path
 
@@ -56,6 +73,7 @@ def write_region_cells(
     num_files: int,
     whole_rows: bool = False,
     mode: str = "errorifexists",
+    materialize: bool = False,
 ) -> str:
     """Sorted cell files in one directory per key region (``region=i``), regions given by
     their start keys (e.g. ``keyspace.region_starts`` of a sampled CDF).  A range scan
@@ -65,6 +83,7 @@ def write_region_cells(
     sort of its own."""
     from cellforge.operators.scan import region_of
 
+    cells = _materialized(cells, materialize)
     ordered = sorted_cell_partitions(cells, num_files, whole_rows).withColumn("region", region_of("row", boundaries))
     ordered = ordered.sortWithinPartitions("region", *COORD, F.desc("ts"))
     ordered.write.mode(mode).partitionBy("region").parquet(path)

@@ -77,3 +77,13 @@ def test_region_files_prune_by_range(spark):
     for fname in [r.f for r in stored.select(F.input_file_name().alias("f")).distinct().collect()]:
         part = [r.row for r in stored.where(F.input_file_name() == fname).collect()]
         assert part == sorted(part)
+
+
+def test_materialized_sorted_write(spark):
+    from cellforge.operators import relations
+
+    lines = fx.line_input(spark, SF_SMALL, "follow_lines")
+    path = files.write_sorted_cells(relations.follow_cells(lines, ts=1), shared_path(spark, "t_mat"), 4, materialize=True)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
+    want = sorted(tuple(r) for r in files.sorted_cell_partitions(relations.follow_cells(lines, ts=1), 2).collect())
+    assert got == want
