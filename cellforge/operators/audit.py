@@ -57,8 +57,12 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "n", p
 
 def lookup_audit(keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col: str = "row", numbered: bool = True) -> DataFrame:
     """``(n, key, missed)`` for every listed key against the table's row keys."""
-    present = rows.select(F.col(row_col).alias("_row")).distinct()
     listed = keys.select(F.col(key_col).cast("string").alias("key"))
+    # Only table rows that are listed matter: a semi join with the distinct keys first
+    # lets Spark (or AQE at run time, by measured size) broadcast a short key list and
+    # filter the table in its map tasks, so only matching rows reach the shuffle.
+    wanted = listed.select(F.col("key").alias("_row")).distinct()
+    present = rows.select(F.col(row_col).alias("_row")).join(wanted, "_row", "left_semi").distinct()
     checked = listed.join(present, listed["key"] == present["_row"], "left").select(
         "key", F.when(F.col("_row").isNull(), 1).otherwise(0).alias("missed")
     )
