@@ -15,8 +15,11 @@ TAB = "\t"
 
 
 def java_split(line: Column | str) -> Column:
-    """``array<string>`` of the tab-separated fields of ``line`` (Java split rule)."""
+    """``array<string>`` of the tab-separated fields of ``line`` (Java split rule).
+    A NULL line (never read from text, possible in other frames) splits like an empty
+    line, so every loader rejects it instead of emitting a cell without a key."""
     line = F.col(line) if isinstance(line, str) else line
+    line = F.coalesce(line, F.lit(""))
     stripped = F.rtrim(line, F.lit(TAB))
     return F.when((stripped == "") & (line != ""), F.array().cast("array<string>")).otherwise(
         F.split(stripped, TAB)

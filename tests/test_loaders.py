@@ -61,3 +61,15 @@ def test_loader_counters_in_the_load_pass(spark):
                                observation=obs)
     loaded.write.format("noop").mode("overwrite").save()
     assert obs.get == {MISSING_KEY: 37, EMPTY_KEY: 40, "BAD_RECORD": 77}
+
+
+def test_null_line_is_rejected_everywhere(spark):
+    from cellforge.operators import relations
+
+    df = spark.createDataFrame([(None,), ("r\tf\tq\tv",)], "line string")
+    assert [r.row for r in cells.bulk_cells(df, ts=TS).collect()] == ["r"]
+    assert cells.table_cells(df, ["k", "v"], "f", key_index=0, ts=TS).where("row is null").count() == 0
+    assert cells.edge_cells(df, "g", ts=TS).where("row is null").count() == 0
+    assert cells.adjacency_cells(df, "a", ts=TS).where("row is null").count() == 0
+    assert relations.follow_cells(df, ts=TS).where("row is null or row = ''").count() == 0
+    assert relations.mention_cells(df, ts=TS).count() == 0
