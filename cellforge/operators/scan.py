@@ -41,13 +41,14 @@ TYPE_NAMES = {
 
 
 def parse_spec(spec: str | Sequence[str]) -> list[tuple[str, str | None]]:
-    """``"cf:a cf:b g:"`` -> ``[("cf","a"), ("cf","b"), ("g", None)]``."""
+    """``"cf:a cf:b g: h"`` -> ``[("cf","a"), ("cf","b"), ("g", None), ("h", None)]``:
+    a name with no qualifier (with or without the colon) means the whole family."""
     items = spec.split() if isinstance(spec, str) else list(spec)
     out = []
     for item in items:
-        family, sep, qualifier = item.partition(":")
-        if not sep or not family:
-            raise ValueError(f"column spec {item!r} is not family:qualifier or family:")
+        family, _, qualifier = item.partition(":")
+        if not family:
+            raise ValueError(f"column spec {item!r} has no family")
         out.append((family, qualifier or None))
     return out
 

@@ -43,10 +43,9 @@ def store_rows(
 
     ``caster`` is one caster for all columns or one per column; when any column is
     binary the value column is binary and text values are stored as UTF-8 bytes."""
-    specs = parse_spec(columns)
+    # a family-only name stores under the empty qualifier
+    specs = [(f, q or "") for f, q in parse_spec(columns)]
     fields = df.schema.fields
-    if any(q is None for _, q in specs):
-        raise ValueError("store_rows needs family:qualifier for every column")
     if len(specs) != len(fields) - 1:
         raise ValueError(f"{len(specs)} column names for {len(fields) - 1} value fields")
     ts = ts_column(now)

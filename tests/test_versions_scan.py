@@ -67,3 +67,13 @@ def test_upsert_of_two_bucketed_tables(spark):
     assert rows(versions.upsert_cells(spark.table(a), spark.table(b))) == expected
     merged = tables.upsert_table(spark, a, spark.table(b), 4)
     assert rows(spark.table(merged)) == expected
+
+
+def test_family_specs_without_colon(spark):
+    from cellforge.operators import tuples
+
+    assert scan.parse_spec("cf:a g: h") == [("cf", "a"), ("g", None), ("h", None)]
+    df = cells_df(spark, [("r", "h", "x", 1, "v")])
+    assert rows(scan.scan_family(df, "h")) == [("r", "h", "x", "v")]
+    stored = tuples.store_rows(spark.createDataFrame([("k", "v")], "k string, v string"), "fam", now=1)
+    assert rows(stored) == [("k", "fam", "", 1, "v")]
