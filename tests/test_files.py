@@ -87,3 +87,21 @@ def test_materialized_sorted_write(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(path).collect())
     want = sorted(tuple(r) for r in files.sorted_cell_partitions(relations.follow_cells(lines, ts=1), 2).collect())
     assert got == want
+
+
+def test_follow_load_to_partitioner_files(spark):
+    """The follow-load job: lines -> two cells per line -> distribution-aware partitions
+    (a CDF sampled from the row keys themselves) -> per-partition sorted files."""
+    from cellforge.operators import keyspace, relations
+
+    lines = fx.line_input(spark, SF_SMALL, "follow_lines")
+    cells = relations.follow_cells(lines, ts=1)
+    cdf = keyspace.sampled_cdf(cells.select("row"), "row")
+    path = files.write_partitioned_cells(cells, shared_path(spark, "t_follow_files"), 16, cdf=cdf)
+    written = spark.read.parquet(path)
+    assert written.count() == cells.dropDuplicates(["row", "family", "qualifier", "ts"]).count()
+    expected = {r.row: r.partition for r in keyspace.assign_partition(cells.select("row").distinct(), "row", 16, cdf=cdf).collect()}
+    per_file = {}
+    for r in written.select("row", F.input_file_name().alias("f")).collect():
+        per_file.setdefault(r.f, set()).add(expected[r.row])
+    assert all(len(p) == 1 for p in per_file.values())
