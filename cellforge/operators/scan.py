@@ -99,10 +99,12 @@ def scan_columns(
     lt=None,
     lte=None,
     names: Sequence[str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row key that has at least one requested column; one output column
     per ``family:qualifier`` holding its latest value (empty -> ``"1"``, absent -> NULL).
-    ``load_key`` keeps the row key as the first column."""
+    ``load_key`` keeps the row key as the first column; ``carry`` keeps columns that the
+    row key determines (such as the ``region`` of region files)."""
     specs = parse_spec(columns)
     if any(q is None for _, q in specs):
         raise ValueError("scan_columns takes family:qualifier specs; use scan_family for families")
@@ -112,7 +114,7 @@ def scan_columns(
         F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.struct("ts", "value"))).alias(n)
         for (f, q), n in zip(specs, names)
     ]
-    rows = narrowed.groupBy("row").agg(*aggs)
+    rows = narrowed.groupBy("row", *carry).agg(*aggs)
     one = F.lit(EMPTY_CELL_MARKER)
     if isinstance(cells.schema["value"].dataType, T.BinaryType):
         one = F.encode(one, "UTF-8")
@@ -120,7 +122,7 @@ def scan_columns(
     for n in names:
         v = F.col(f"{n}.value")
         out.append(F.when(F.octet_length(v) == 0, one).otherwise(v).alias(n))
-    return rows.select(*(["row"] if load_key else []), *out)
+    return rows.select(*(["row"] if load_key else []), *carry, *out)
 
 
 def scan_typed(

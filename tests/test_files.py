@@ -105,3 +105,15 @@ def test_follow_load_to_partitioner_files(spark):
     for r in written.select("row", F.input_file_name().alias("f")).collect():
         per_file.setdefault(r.f, set()).add(expected[r.row])
     assert all(len(p) == 1 for p in per_file.values())
+
+
+def test_limit_per_physical_region(spark):
+    from cellforge.operators import scan
+
+    starts = ["3", "6"]
+    cells = cells_df(spark, [(f"{i:03d}", "f", "a", 1, str(i)) for i in range(0, 900, 7)])
+    path = files.write_region_cells(cells, shared_path(spark, "t_region_limit"), starts, 3)
+    stored = spark.read.parquet(path)
+    rows = scan.scan_columns(stored, "f:a", carry=["region"])
+    got = sorted((r.region, r.row) for r in scan.limit_per_region(rows, "region", 2).collect())
+    assert got == [(0, "000"), (0, "007"), (1, "301"), (1, "308"), (2, "602"), (2, "609")]
