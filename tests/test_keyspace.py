@@ -71,3 +71,9 @@ def test_sampled_cdf_without_samples(spark):
     empty = spark.createDataFrame([], "key string, cnt long")
     rows = keyspace.sampled_cdf(empty, "key", "cnt").collect()
     assert len(rows) == 900 and all(r.cdf is None for r in rows)
+
+
+def test_multibyte_short_key_goes_to_partition_zero(spark):
+    # 4 or more bytes but fewer than 3 characters
+    df = spark.createDataFrame([("é√",), ("ü1",)], "key string")
+    assert {r.partition for r in keyspace.assign_partition(df, "key", 10).collect()} == {0}

@@ -87,3 +87,11 @@ def test_per_column_casters(spark):
     assert stored.schema["value"].dataType == T.BinaryType()
     back = scan.scan_typed(stored, "f:n f:s", ["int", "bigint"], caster=["binary", "text"])
     assert sorted(tuple(r) for r in back.collect()) == [("j", -1, None), ("k", 7, 12)]
+
+
+def test_record_without_values_writes_nothing_and_short_records_fail(spark):
+    df = spark.createDataFrame([("k", None, None)], "k string, a string, b int")
+    assert tuples.store_rows(df, "f:a f:b", now=1).count() == 0  # F11
+    three = spark.createDataFrame([("r", "f", "q")], "a string, b string, c string")
+    with pytest.raises(ValueError):  # F12
+        tuples.store_dynamic(three)
