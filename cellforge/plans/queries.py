@@ -30,12 +30,14 @@ PREFIX_CHARS = 3
 
 
 def tsv_fields(spark, sf):
+    """The follow lines split by the Java rule; field count and the first four fields."""
     split = cells.split_lines(fx.line_input(spark, sf, "follow_lines"))
     f = F.col("fields")
     return split.select("line", F.size(f).alias("n_fields"), *[F.get(f, i).alias(f"f{i}") for i in range(4)])
 
 
 def typed_tsv_load(spark, sf):
+    """name/number lines written as text, loaded back with a typed schema."""
     path = write_lines(fx.typed_tsv_lines(spark, sf), shared_path(spark, "typed_tsv"))
     return read_typed_tsv(spark, path, "field_1 string, field_2 int")
 
@@ -44,6 +46,7 @@ def typed_tsv_load(spark, sf):
 
 
 def bulk_cells(spark, sf):
+    """Generic four-field lines to cells."""
     return cells.bulk_cells(fx.line_input(spark, sf, "cell_lines"), ts=fx.LOAD_TS)
 
 
@@ -52,44 +55,53 @@ def _user_lines(spark, sf):
 
 
 def table_cells(spark, sf):
+    """User-table lines to cells (key position stored, ``-`` skipped)."""
     return cells.table_cells(
         _user_lines(spark, sf), fx.USER_NAMES, fx.USER_FAMILY, key_index=fx.USER_KEY_INDEX, ts=fx.LOAD_TS
     )
 
 
 def composite_key_cells(spark, sf):
+    """User-table lines with the row key custkey:nationkey."""
     return cells.composite_key_cells(
         _user_lines(spark, sf), fx.USER_NAMES, fx.USER_FAMILY, key_indexes=fx.USER_COMPOSITE_KEY, ts=fx.LOAD_TS
     )
 
 
 def file_cells(spark, sf):
+    """User-table lines to cells for file output (key position not stored)."""
     return cells.file_cells(
         _user_lines(spark, sf), fx.USER_NAMES, fx.USER_FAMILY, key_index=fx.USER_KEY_INDEX, ts=fx.LOAD_TS
     )
 
 
 def edge_cells(spark, sf):
+    """P5: follow lines as an edge list."""
     return cells.edge_cells(fx.line_input(spark, sf, "follow_lines"), family="edge", ts=fx.LOAD_TS)
 
 
 def adjacency_cells(spark, sf):
+    """Per order, the order key and its part keys as an adjacency line."""
     return cells.adjacency_cells(fx.adjacency_lines(spark, sf), family="adj", ts=fx.LOAD_TS)
 
 
 def follow_cells(spark, sf):
+    """Two cells per accepted follow line."""
     return relations.follow_cells(fx.line_input(spark, sf, "follow_lines"), ts=fx.LOAD_TS)
 
 
 def follow_rejects(spark, sf):
+    """A1: follow reject counters."""
     return relations.follow_rejects(fx.line_input(spark, sf, "follow_lines"))
 
 
 def mention_cells(spark, sf):
+    """Mention lines to reply/retweet/mention cells with JSON values."""
     return relations.mention_cells(fx.line_input(spark, sf, "atsign_lines"), ts=fx.LOAD_TS)
 
 
 def mention_rejects(spark, sf):
+    """A1: mention reject counters."""
     return relations.mention_rejects(fx.line_input(spark, sf, "atsign_lines"))
 
 
@@ -97,11 +109,13 @@ def mention_rejects(spark, sf):
 
 
 def store_row_cells(spark, sf):
+    """Typed part rows to cells, ts from the stamp field (else now)."""
     rows = fx.part_rows(spark, sf)
     return tuples.store_rows(rows, "p:name p:brand p:size p:stamp", timestamp_field=4, now=fx.LOAD_TS)
 
 
 def store_dynamic_cells(spark, sf):
+    """P10: (row, family, qualifier, value, ts) records to cells."""
     rows = fx.part_rows(spark, sf).select(
         "key", F.lit("attr").alias("family"), F.lit("brand").alias("qualifier"), "brand",
         (F.coalesce(F.col("key"), F.lit(0)) * 1000).cast("string").alias("ts"),
@@ -110,6 +124,7 @@ def store_dynamic_cells(spark, sf):
 
 
 def store_bag_cells(spark, sf):
+    """(key, bag) records to sorted cells; rows with a NULL are dropped."""
     rows = fx.part_rows(spark, sf).select(
         "key", F.array(F.col("key").cast("string"), "name", "brand").alias("bag")
     )
@@ -124,6 +139,7 @@ def _codec_rows(spark, sf):
 
 
 def encode_values(spark, sf):
+    """Big-endian binary values, shown as hex."""
     rows = _codec_rows(spark, sf).drop("stamp")
     stored = tuples.store_rows(rows, "b:name b:size b:delta b:big", caster="binary", now=fx.LOAD_TS)
     return stored.select("row", "family", "qualifier", "ts", F.hex("value").alias("value_hex"))
@@ -146,6 +162,7 @@ def decode_values(spark, sf):
 
 
 def latest_cells(spark, sf):
+    """A2: latest version per coordinate of the event cells."""
     return versions.latest_cells(fx.event_cells(spark, sf))
 
 
@@ -154,18 +171,22 @@ def _event_table(spark, sf):
 
 
 def scan_columns(spark, sf):
+    """Three named columns of the two-family event table."""
     return scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS)
 
 
 def scan_family(spark, sf):
+    """The whole ``ev`` family, long form."""
     return scan.scan_family(_event_table(spark, sf), "ev")
 
 
 def scan_range(spark, sf):
+    """The named-column scan limited to row keys in ['12', '5')."""
     return scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS, gte="12", lt="5")
 
 
 def scan_region_limit(spark, sf):
+    """At most five rows per key region."""
     rows = scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS)
     rows = rows.withColumn("region", scan.region_of("row", REGION_STARTS))
     return scan.limit_per_region(rows, "region", REGION_LIMIT)
@@ -219,10 +240,12 @@ def _key_counts(spark, sf):
 
 
 def sampled_cdf(spark, sf):
+    """Sampled CDF of the order keys over the 3-digit prefix grid."""
     return keyspace.sampled_cdf(_key_counts(spark, sf), "key", "cnt", chars=PREFIX_CHARS)
 
 
 def benford_cdf(spark, sf):
+    """Benford CDF of the prefix grid, with the number of order keys per prefix."""
     lo, hi = 10 ** (PREFIX_CHARS - 1), 10**PREFIX_CHARS - 1
     prefix = F.substring("key", 1, PREFIX_CHARS)
     observed = (
@@ -238,10 +261,12 @@ def benford_cdf(spark, sf):
 
 
 def assign_partition(spark, sf):
+    """Partition of every order key among 360 by the Benford CDF."""
     return keyspace.assign_partition(_key_counts(spark, sf), "key", PARTITIONS, chars=PREFIX_CHARS)
 
 
 def partition_histogram(spark, sf):
+    """A4: order keys per bin (10 bins; unknown prefixes in the NULL bin)."""
     return keyspace.partition_histogram(_key_counts(spark, sf), "key", bins=HISTOGRAM_BINS, chars=PREFIX_CHARS)
 
 
@@ -249,15 +274,18 @@ def partition_histogram(spark, sf):
 
 
 def lookup_audit(spark, sf):
+    """Every listed key checked against the user table's rows, numbered."""
     return audit.lookup_audit(fx.audit_keys(spark, sf), table_cells(spark, sf))
 
 
 def row_json_q(spark, sf):
+    """Name, brand and size of every part as a JSON object."""
     rows = fx.part_rows(spark, sf)
     return rows.select("key", row_json(["name", "brand", "size"], "name,brand,size").alias("json"))
 
 
 def flat_ts_millis(spark, sf):
+    """Order dates as flat text and back to epoch milliseconds."""
     d = fx.flat_dates(spark, sf)
     return d.select("o_orderkey", "flat", flat_to_millis("flat").alias("millis"))
 
