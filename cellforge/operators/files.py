@@ -27,6 +27,18 @@ from cellforge.session import ensure_checkpoint_dir
 COORD = ["row", "family", "qualifier"]
 
 
+def cell_writer(df: DataFrame, bloom: bool = True):
+    """``df.write`` for cell files.  With ``bloom`` every file carries a Parquet bloom
+    filter on ``row`` (sized to the keys it holds), so a point lookup ``row = k`` skips
+    row groups that cannot contain the key -- min/max statistics only help ranges."""
+    writer = df.write
+    if bloom:
+        writer = writer.option("parquet.bloom.filter.enabled#row", "true").option(
+            "parquet.bloom.filter.adaptive.enabled", "true"
+        )
+    return writer
+
+
 def sort_cells(cells: DataFrame) -> DataFrame:
     """Cells sorted within each partition by row, family, qualifier, newest first."""
     return cells.sortWithinPartitions(*COORD, F.desc("ts"))
@@ -62,7 +74,7 @@ def write_sorted_cells(
 ) -> str:
     """Writes range-partitioned, key-sorted cell files to ``path``; returns ``path``."""
     cells = _materialized(cells, materialize)
-    sorted_cell_partitions(cells, num_files, whole_rows).write.mode(mode).parquet(path)
+    cell_writer(sorted_cell_partitions(cells, num_files, whole_rows)).mode(mode).parquet(path)
     return path
 
 
@@ -86,7 +98,7 @@ def write_region_cells(
     cells = _materialized(cells, materialize)
     ordered = sorted_cell_partitions(cells, num_files, whole_rows).withColumn("region", region_of("row", boundaries))
     ordered = ordered.sortWithinPartitions("region", *COORD, F.desc("ts"))
-    ordered.write.mode(mode).partitionBy("region").parquet(path)
+    cell_writer(ordered).mode(mode).partitionBy("region").parquet(path)
     return path
 
 
@@ -104,7 +116,7 @@ def write_partitioned_cells(
     placed = place_by_partition(assign_partition(cells.select(*CELL_COLUMNS), "row", n, cdf, chars, out="_part"), n, "_part")
     collapsed = placed.groupBy(*COORD, (-F.col("ts")).alias("_nts"), "_part").agg(F.max("value").alias("value"))
     out = collapsed.sortWithinPartitions(*COORD, "_nts").select(*COORD, (-F.col("_nts")).alias("ts"), "value")
-    out.write.mode(mode).parquet(path)
+    cell_writer(out).mode(mode).parquet(path)
     return path
 
 

@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellforge.operators.files import cell_writer
 from cellforge.operators.versions import COORD, latest_cells
 from cellforge.schema import CELL_COLUMNS
 from cellforge.session import shared_path
@@ -39,8 +40,8 @@ def save_cell_table(cells: DataFrame, name: str, buckets: int, path: str | None
     """Writes ``cells`` (one version per coordinate) as a bucketed, sorted table."""
     spark = cells.sparkSession
     (
-        cells.select(*CELL_COLUMNS)
-        .write.format("parquet")
+        cell_writer(cells.select(*CELL_COLUMNS))
+        .format("parquet")
         .bucketBy(buckets, *COORD)
         .sortBy(*COORD)
         .option("path", path or shared_path(spark, name))

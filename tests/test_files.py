@@ -117,3 +117,18 @@ def test_limit_per_physical_region(spark):
     rows = scan.scan_columns(stored, "f:a", carry=["region"])
     got = sorted((r.region, r.row) for r in scan.limit_per_region(rows, "region", 2).collect())
     assert got == [(0, "000"), (0, "007"), (1, "301"), (1, "308"), (2, "602"), (2, "609")]
+
+
+def test_cell_files_carry_a_row_bloom_filter(spark):
+    import glob
+    import os
+
+    df = cells_df(spark, [(f"{i:09d}", "f", "q", 1, "v") for i in range(5000)]).coalesce(1)
+    sizes = {}
+    for bloom in (False, True):
+        path = shared_path(spark, f"t_bloom_{bloom}")
+        files.cell_writer(df, bloom=bloom).parquet(path)
+        local = path.replace("file:", "")
+        sizes[bloom] = sum(os.path.getsize(f) for f in glob.glob(local + "/*.parquet"))
+    assert sizes[True] > sizes[False]  # the filter's bytes
+    assert spark.read.parquet(path).where(F.col("row") == "000001234").count() == 1
