@@ -28,7 +28,15 @@ from cellforge.operators.keyspace import (
 )
 from cellforge.operators.rejects import count_rejects
 from cellforge.operators.relations import follow_cells, follow_rejects, mention_cells, mention_rejects
-from cellforge.operators.scan import limit_per_region, region_of, scan_cells, scan_columns, scan_family, scan_typed
+from cellforge.operators.scan import (
+    get_row,
+    limit_per_region,
+    region_of,
+    scan_cells,
+    scan_columns,
+    scan_family,
+    scan_typed,
+)
 from cellforge.operators.tables import load_cell_table, save_cell_table, upsert_table
 from cellforge.operators.tuples import store_bag, store_dynamic, store_rows
 from cellforge.operators.versions import collapse_cells, latest_cells, upsert_cells
@@ -49,6 +57,7 @@ __all__ = [
     "edge_cells",
     "file_cells",
     "flat_to_millis",
+    "get_row",
     "follow_cells",
     "follow_rejects",
     "java_split",

@@ -191,6 +191,12 @@ def scan_cells(
     return rows.select(*(["row"] if load_key else []), *out)
 
 
+def get_row(cells: DataFrame, key: str | bytes, spec: str | Sequence[str]) -> DataFrame:
+    """One row by key (a get): an equality filter, which Parquet can answer from min/max
+    statistics and row bloom filters, then the mixed-spec scan of that row."""
+    return scan_cells(cells.where(F.col("row") == F.lit(unescape_bound(key))), spec)
+
+
 def family_bags(pairs: DataFrame, bag_col: str = "bag") -> DataFrame:
     """``(row, family, bag)``: the pairs of ``scan_family`` gathered per row, in
     qualifier order.  Each bag holds one row of the table, so its size is that row's

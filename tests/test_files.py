@@ -132,3 +132,15 @@ def test_cell_files_carry_a_row_bloom_filter(spark):
         sizes[bloom] = sum(os.path.getsize(f) for f in glob.glob(local + "/*.parquet"))
     assert sizes[True] > sizes[False]  # the filter's bytes
     assert spark.read.parquet(path).where(F.col("row") == "000001234").count() == 1
+
+
+def test_get_row_pushes_an_equality(spark):
+    from cellforge.operators import scan
+    from cellforge.plans.inspect import physical_plan
+
+    ev = fx.event_table(spark, SF_SMALL)
+    path = files.write_sorted_cells(ev, shared_path(spark, "t_get"), 2)
+    stored = spark.read.parquet(path)
+    got = scan.get_row(stored, "7", "ev:click props:").collect()
+    assert [r.row for r in got] == ["7"]
+    assert "EqualTo(row,7)" in physical_plan(scan.get_row(stored, "7", "ev:click"), "formatted")
