@@ -39,3 +39,19 @@ def test_leading_number(spark):
 
     df = spark.createDataFrame([("12abc",), (" 1.5e3x",), ("x",), (None,), ("-2",)], "s string")
     assert [r.v for r in df.select(leading_number(F.col("s")).alias("v")).collect()] == [12.0, 1500.0, 0.0, 0.0, -2.0]
+
+
+def test_published_example_flow(spark):
+    """Typed TSV load, then store: field 0 is the row key, the rest are named columns."""
+    import pytest
+
+    from cellforge.operators import scan, tuples
+
+    path = write_lines(lines_df(spark, ["alice\t3", "bob\tx", "carol\t5"]), shared_path(spark, "example"))
+    data = read_typed_tsv(spark, path, "field_1 string, field_2 int")
+    cells = tuples.store_rows(data, "cf:field_2", now=1)
+    assert sorted(tuple(r) for r in cells.collect()) == [("alice", "cf", "field_2", 1, "3"), ("carol", "cf", "field_2", 1, "5")]
+    back = scan.scan_typed(cells, "cf:field_2", ["int"])
+    assert sorted(tuple(r) for r in back.collect()) == [("alice", 3), ("carol", 5)]
+    with pytest.raises(ValueError):  # D14: two names for one value field
+        tuples.store_rows(data, "cf:field_1 cf:field_2", now=1)
