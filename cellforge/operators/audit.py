@@ -88,7 +88,13 @@ def miss_rate(audit: DataFrame) -> DataFrame:
     )
 
 
-def write_audit(audit: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    """Tab-separated audit rows, no header."""
+def write_audit(audit: DataFrame, path: str, mode: str = "errorifexists", stamp: bool = False) -> str:
+    """Tab-separated audit rows, no header.  With ``stamp`` each row also carries the
+    audit time as 14-digit UTC flat text (one ``current_timestamp()`` per run), after ``n``."""
+    if stamp:
+        from cellforge.functions.scalars import flat_from_millis
+
+        at = flat_from_millis(F.unix_millis(F.current_timestamp())).alias("audited_at")
+        audit = audit.select("n", at, *[c for c in audit.columns if c != "n"])
     audit.write.mode(mode).option("sep", "\t").csv(path)
     return path

@@ -38,3 +38,13 @@ def test_row_number_splits_a_hot_key(spark):
     per_task = [r[0] for r in numbered.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sorted(r.n for r in numbered.collect()) == list(range(1, 9001))
     assert max(per_task) < 3000  # the 3,000 copies of "hot" are not in one task
+
+
+def test_stamped_audit_sink(spark):
+    import re
+
+    keys = spark.createDataFrame([("1",), ("2",)], "key string")
+    rows = spark.createDataFrame([("1",)], "row string")
+    path = audit.write_audit(audit.lookup_audit(keys, rows), shared_path(spark, "audit_stamped"), stamp=True)
+    lines = sorted(r.value for r in spark.read.text(path).collect())
+    assert all(re.fullmatch(r"\d\t\d{14}\t\d\t[01]", line) for line in lines)
