@@ -37,7 +37,14 @@ from cellforge.operators.scan import (
     scan_family,
     scan_typed,
 )
-from cellforge.operators.tables import load_cell_table, save_cell_table, upsert_table
+from cellforge.operators.tables import (
+    append_delta,
+    compact,
+    load_cell_table,
+    read_merged,
+    save_cell_table,
+    upsert_table,
+)
 from cellforge.operators.tuples import store_bag, store_dynamic, store_rows
 from cellforge.operators.versions import collapse_cells, latest_cells, upsert_cells
 from cellforge.schema import CELL, CELL_COLUMNS
@@ -48,10 +55,12 @@ __all__ = [
     "CELL",
     "CELL_COLUMNS",
     "adjacency_cells",
+    "append_delta",
     "assign_partition",
     "benford_cdf",
     "bulk_cells",
     "collapse_cells",
+    "compact",
     "composite_key_cells",
     "count_rejects",
     "edge_cells",
@@ -72,6 +81,7 @@ __all__ = [
     "read_cells",
     "read_key_list",
     "read_lines",
+    "read_merged",
     "read_sample_counts",
     "read_typed_tsv",
     "region_of",

@@ -90,3 +90,33 @@ def upsert_table(
     """Writes the snapshot after ``incoming`` as a new bucketed table; returns its name."""
     new_name = new_name or new_table_name()
     return save_cell_table(upsert_plan(spark.table(table), incoming, buckets, salt), new_name, buckets)
+
+
+# --- deltas: upserts that write only the batch ----------------------------------------
+
+
+def append_delta(cells: DataFrame, path: str | None = None) -> str:
+    """Writes a batch of incoming cells as a delta (plain cell files); the cost is that
+    of the batch, not of the table.  Returns the path."""
+    from cellforge.operators.files import cell_writer
+
+    spark = cells.sparkSession
+    path = path or shared_path(spark, "delta")
+    cell_writer(cells.select(*CELL_COLUMNS)).parquet(path)
+    return path
+
+
+def read_merged(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int, salt: int = DEFAULT_SALT) -> DataFrame:
+    """Table state = latest of a bucketed snapshot and its deltas.  The deltas are the
+    incoming side of ``upsert_plan``: they are merged and aligned to the buckets (a
+    shuffle of the deltas only) while the snapshot is read bucket by bucket, unshuffled."""
+    if not deltas:
+        return spark.table(snapshot).select(*CELL_COLUMNS)
+    incoming = spark.read.parquet(*deltas)
+    return upsert_plan(spark.table(snapshot), incoming, buckets, salt)
+
+
+def compact(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int, new_name: str | None = None) -> str:
+    """Folds the deltas into a new bucketed snapshot; returns its name."""
+    return save_cell_table(read_merged(spark, snapshot, deltas, buckets), new_name or new_table_name(), buckets)
+

@@ -103,3 +103,20 @@ def test_scans_read_only_the_columns_they_use(spark):
         plan = physical_plan(Q.QUERIES[name](spark, SF_SMALL), "formatted")
         schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
         assert {c.split(":")[0] for c in schema.split(",")} == cols, name
+
+
+def test_merged_read_of_snapshot_and_deltas(spark):
+    ev = fx.event_table(spark, SF_SMALL)
+    base = tables.load_cell_table(ev.where("ts < 1705000000000"), 4)
+    d1 = tables.append_delta(ev.where("ts >= 1705000000000 and ts < 1706000000000"))
+    d2 = tables.append_delta(ev.where("ts >= 1706000000000"))
+    merged = tables.read_merged(spark, base, [d1, d2], 4)
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, versions.latest_cells(ev).collect()))
+    text = physical_plan(merged)
+    assert "Bucketed: true" in text
+    lines = text.splitlines()
+    scan_at = next(i for i, line in enumerate(lines) if base in line)
+    merge_at = max(i for i, line in enumerate(lines[:scan_at]) if "Union" in line)
+    assert not any("Exchange" in line for line in lines[merge_at:scan_at + 1])
+    compacted = tables.compact(spark, base, [d1, d2], 4)
+    assert sorted(map(tuple, spark.table(compacted).collect())) == sorted(map(tuple, merged.collect()))
