@@ -174,6 +174,7 @@ FROM ({CODEC_ROWS}) WHERE key IS NOT NULL""",
     FROM ({_scan_rows()})))
 WHERE rn <= {q.REGION_LIMIT}""",
     "upsert_cells": _latest(EVENT_TABLE),
+    "merged_delta_cells": _latest(EVENT_TABLE),
     "sorted_cells": f"SELECT row, family, qualifier, ts, max(value) AS value FROM ({EVENT_TABLE}) GROUP BY row, family, qualifier, ts",
     "scan_region_files": f"""SELECT key AS row, 'k' AS family, 'n' AS qualifier, {TS} AS ts, CAST(cnt AS VARCHAR) AS value
 FROM ({KEY_COUNTS}) WHERE key >= '{q.REGION_SCAN[0]}' AND key < '{q.REGION_SCAN[1]}'""",

@@ -208,6 +208,23 @@ def upsert_cells(spark, sf):
     return spark.table(merged)
 
 
+DELTA_CUTS_MS = (1705000000000, 1706000000000)  # snapshot | delta 1 | delta 2 by event time
+
+
+def merged_delta_cells(spark, sf):
+    """K1 as deltas: the earliest events form a bucketed snapshot, two later slices are
+    appended as deltas, and the table state is the merged read (snapshot not shuffled)."""
+    ev = _event_table(spark, sf)
+    lo, hi = DELTA_CUTS_MS
+    buckets = _layout_parts(spark)
+    base = tables.load_cell_table(ev.where(F.col("ts") < lo), buckets)
+    deltas = [
+        tables.append_delta(ev.where((F.col("ts") >= lo) & (F.col("ts") < hi))),
+        tables.append_delta(ev.where(F.col("ts") >= hi)),
+    ]
+    return tables.read_merged(spark, base, deltas, buckets)
+
+
 REGIONS = 8
 REGION_SCAN = ("300", "700")
 
@@ -314,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "scan_range": scan_range,
     "scan_region_limit": scan_region_limit,
     "upsert_cells": upsert_cells,
+    "merged_delta_cells": merged_delta_cells,
     "sorted_cells": sorted_cells,
     "scan_region_files": scan_region_files,
     "sampled_cdf": sampled_cdf,
