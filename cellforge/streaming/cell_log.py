@@ -5,7 +5,10 @@ DataFrame of text lines.  Their cells are appended to a Parquet log with Spark's
 sink, which commits every micro-batch exactly once through its own metadata log and
 the query checkpoint (kept in the shared folder, so a restarted driver or a lost
 executor resumes where it stopped).  Readers merge versions on read (latest per
-coordinate); ``compact_cell_log`` writes the merged state as a bucketed snapshot.
+coordinate); ``compact_cell_log`` writes the merged state as a bucketed snapshot.  A
+log is also a set of deltas: ``tables.read_merged(spark, snapshot, [log_path], buckets)``
+serves the live table with the snapshot read unshuffled and only the streamed cells
+merged in.
 
 Reject counters on a stream are a running global aggregate (complete mode), or the
 ``observe_rejects`` metrics of each micro-batch (``query.lastProgress``).

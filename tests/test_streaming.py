@@ -59,3 +59,20 @@ def test_restart_from_checkpoint_loads_each_file_once(spark):
     run()  # only the new file is loaded
     batch = relations.follow_cells(lines, ts=1)
     assert rows(spark.read.parquet(log)) == rows(batch)
+
+
+def test_streamed_log_as_deltas_of_a_snapshot(spark):
+    from cellforge.operators import tables
+
+    lines = fx.line_input(spark, SF_SMALL, "user_lines")
+    first, rest = lines.where("line < 'twitter_user\t5'"), lines.where("line >= 'twitter_user\t5'")
+    snapshot = tables.load_cell_table(cells.table_cells(first, fx.USER_NAMES, "base", key_index=1, ts=1), 4)
+    src = shared_path(spark, "stream_delta_src")
+    write_lines(rest, os.path.join(src, "a"))
+    log = shared_path(spark, "stream_delta_log")
+    stream = read_line_stream(spark, os.path.join(src, "*"))
+    start_cell_log(cells.table_cells(stream, fx.USER_NAMES, "base", key_index=1, ts=2), log).awaitTermination(120)
+    merged = tables.read_merged(spark, snapshot, [log], 4)
+    whole = versions.upsert_cells(cells.table_cells(first, fx.USER_NAMES, "base", key_index=1, ts=1),
+                                  cells.table_cells(rest, fx.USER_NAMES, "base", key_index=1, ts=2))
+    assert rows(merged) == rows(whole)
