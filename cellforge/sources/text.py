@@ -30,16 +30,24 @@ def read_typed_tsv(spark: SparkSession, path: str | list[str], schema: T.StructT
     )
 
 
-def read_key_list(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_key_list(spark: SparkSession, path: str | list[str], with_position: bool = False) -> DataFrame:
     """``key string``: one key per line, surrounding whitespace (tabs too) stripped,
-    blank lines skipped."""
-    keys = read_lines(spark, path).select(F.regexp_replace("line", r"^[\s\x00]+|[\s\x00]+$", "").alias("key"))
+    blank lines skipped.  ``with_position`` adds ``pos``, increasing in file order
+    (splits of a file are read in offset order), for windows in file order."""
+    lines = read_lines(spark, path)
+    cols = [F.regexp_replace("line", r"^[\s\x00]+|[\s\x00]+$", "").alias("key")]
+    if with_position:
+        cols.append(F.monotonically_increasing_id().alias("pos"))
+    keys = lines.select(*cols)
     return keys.where(F.col("key") != "")
 
 
-def key_window(keys: DataFrame, offset: int = 0, limit: int | None = None, key_col: str = "key") -> DataFrame:
-    """The keys from place ``offset`` on in key order, at most ``limit`` of them."""
-    ordered = keys.orderBy(key_col)
+def key_window(
+    keys: DataFrame, offset: int = 0, limit: int | None = None, key_col: str = "key", order_col: str | None = None
+) -> DataFrame:
+    """The keys from place ``offset`` on, at most ``limit`` of them, in key order or in
+    ``order_col`` order (``pos`` from ``read_key_list(with_position=True)`` is file order)."""
+    ordered = keys.orderBy(order_col or key_col)
     if offset:
         ordered = ordered.offset(offset)
     return ordered.limit(limit) if limit is not None else ordered

@@ -48,3 +48,11 @@ def test_stamped_audit_sink(spark):
     path = audit.write_audit(audit.lookup_audit(keys, rows), shared_path(spark, "audit_stamped"), stamp=True)
     lines = sorted(r.value for r in spark.read.text(path).collect())
     assert all(re.fullmatch(r"\d\t\d{14}\t\d\t[01]", line) for line in lines)
+
+
+def test_key_window_in_file_order(spark):
+    lines = spark.createDataFrame([("300\t",), ("100\t",), ("200\t",)], "line string").coalesce(1)
+    path = write_lines(lines, shared_path(spark, "keys_file_order"))
+    keys = read_key_list(spark, path, with_position=True)
+    assert [r.key for r in key_window(keys, offset=1, order_col="pos").collect()] == ["100", "200"]
+    assert [r.key for r in key_window(keys, offset=1).collect()] == ["200", "300"]
