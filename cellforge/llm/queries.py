@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellforge.llm import chat, containment, hilbert, mixing, quality, reputation
+from cellforge.llm import chat, containment, hilbert, hyperlang, mixing, ordinal, quality, reputation, simhash
 from cellforge.llm.tables import table, word_count
 
 SHARDS = 24
@@ -71,6 +71,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the component that links of 3 bits lead to."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the sources' target words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -78,6 +84,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's odds of toxicity, expected severity and likeliest grade."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = ordinal.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = ordinal.score_toxicity(docs, model)
+    return scored.select("doc_id", "toxic_odds", "severity", "grade", (F.col("toxic_odds") >= ordinal.REJECT).alias("toxic"))
+
+
 def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged; a page's outcome is bad where its label says low quality or
     toxic (labels share the pages' ids; most pages have none)."""
@@ -96,9 +110,19 @@ def op9_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.withColumnRenamed("doc", "doc_id").withColumnRenamed("item", "item_id")
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language; those with remainder 2 teach nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = hyperlang.fit_prototypes(docs.where(~held_out))
+    told = hyperlang.identify(docs.select("doc_id", "text"), model)
+    return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op5_mixing, op8_url_reputation, op9_benchmark_containment,
+        op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op4_simhash, op5_mixing, op7_toxicity,
+        op8_url_reputation, op9_benchmark_containment, op10_language,
     )
 }
