@@ -7,9 +7,10 @@ the item's shingles occur in it, however long the document is.
 Items are partitioned by their number q of shingles.  A document that holds at least
 m = ceil(share * q) of them misses at most q - m, so it holds one of any q - m + 1.  Each
 size partition therefore keeps, as the item's MinHash sketch, its q - m + 1 smallest
-hashes; a document is a candidate if one of its own hashes is a sketch value.  Unlike
-banded MinHash, whose chance falls with the length of the document, this loses no item in
-a long document.  Candidates are verified by exact comparison of the shingles themselves.
+hashes; a document is a candidate if one of its shingles is in the sketch.  Unlike banded
+MinHash, whose chance falls with the length of the document, this loses no item in a long
+document.  Candidates are verified exactly: the shingles themselves are met and counted, in
+the same pass, so only those that a document shares with an item are ever shuffled.
 
 Defined cases: null, empty or blank texts have no words and hold and match nothing; a
 repeated document or item row gives its pairs once; documents shorter than the item's
@@ -37,18 +38,14 @@ def _starts(words: Column, width: Column | int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def shingle_hashes(words: Column, width: int) -> Column:
-    return F.transform(_starts(words, width), lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(width)]))
+def shingle_hash(shingle: Column) -> Column:
+    return F.xxhash64(shingle)
 
 
 def shingle_texts(words: Column, width: int) -> Column:
     return F.transform(_starts(words, width), lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(width)]))
 
 
-def _of_width(wanted: Column, width: int) -> Column:
-    return F.filter(wanted, lambda i: i["width"] == width)
-
-
 def item_sketches(items: DataFrame, item: str, text: str, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
     """``item, width, shingles (distinct), least, sketch``: the shingles of each item, how
     many a document must hold, and the hashes of which it then holds one at least."""
@@ -56,12 +53,12 @@ def item_sketches(items: DataFrame, item: str, text: str, shingle: int = SHINGLE
     width = F.least(F.size("_words"), F.lit(shingle))
     rows = items.select(F.col(f"`{item}`").alias("item"), words.alias("_words")).where(F.element_at("_words", 1) != "").distinct()
     rows = rows.withColumn("width", width)
-    texts, hashes = None, None
+    texts = None
     for w in range(1, shingle + 1):
-        t, h = shingle_texts(F.col("_words"), w), shingle_hashes(F.col("_words"), w)
+        t = shingle_texts(F.col("_words"), w)
         texts = F.when(F.col("width") == w, t) if texts is None else texts.when(F.col("width") == w, t)
-        hashes = F.when(F.col("width") == w, h) if hashes is None else hashes.when(F.col("width") == w, h)
-    made = rows.withColumn("shingles", F.array_distinct(texts)).withColumn("hashes", F.array_sort(F.array_distinct(hashes)))
+    made = rows.withColumn("shingles", F.array_distinct(texts))
+    made = made.withColumn("hashes", F.array_sort(F.transform("shingles", shingle_hash)))
     least = F.ceil(F.lit(share) * F.size("shingles") - 1e-9).cast("int")
     made = made.withColumn("least", F.greatest(least, F.lit(1)))
     size = F.size("shingles") - F.col("least") + 1
@@ -76,37 +73,20 @@ def contained_items(
     sketches = stash(item_sketches(items, item, text, shingle, share), "item-sketches")
     widths = sorted(r[0] for r in sketches.select("width").distinct().collect())  # at most ``shingle`` values
     texts = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
-    texts = texts.withColumn("copy", F.xxhash64("text"))  # tells rows of one id apart
-    probes = sketches.select(F.col("width").alias("_width"), F.explode("sketch").alias("hash"), "item", "shingles", "least")
-    spread = texts.withColumn("words", words_of(F.col("text")))
-    hashed = None
-    for w in widths or [shingle]:
-        part = spread.select("doc", "copy", F.lit(w).alias("width"), F.explode(shingle_hashes(F.col("words"), w)).alias("hash"))
-        hashed = part if hashed is None else hashed.unionByName(part)
-    keys = probes.select("_width", "hash", "item", "shingles", "least")
-    found = hashed.join(keys.select("_width", "hash", "item", "least"), "hash").where(F.col("width") == F.col("_width"))
-    found = found.select("doc", "copy", "item", "width", "least").distinct()
-    found = found.withColumnRenamed("item", "_item").withColumnRenamed("width", "_w").withColumnRenamed("least", "_least")
-    wanted = F.struct(F.col("_item").alias("item"), F.col("width"), F.col("shingles"), F.col("least"))
-    candidates = found.join(
-        sketches, F.col("_item").eqNullSafe(F.col("item")) & (F.col("_w") == F.col("width")) & (F.col("_least") == F.col("least"))
-    )
-    candidates = stash(
-        candidates.groupBy(F.col("doc").alias("_doc"), F.col("copy").alias("_copy")).agg(F.collect_list(wanted).alias("wanted")),
-        "contained-candidates",
-    )
-    both = texts.join(candidates, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("copy") == F.col("_copy")))
-    both = both.withColumn("words", words_of(F.col("text")))
+    spread = texts.select("doc", F.xxhash64("text").alias("copy"), words_of(F.col("text")).alias("words"))  # copy: tells rows of one id apart
     held = None
     for w in widths or [shingle]:
-        one = F.array_distinct(shingle_texts(F.col("words"), w))
-        own = _of_width(F.col("wanted"), w)
-        part = both.where(F.size(own) > 0).select("doc", "copy", one.alias("held"), F.explode(own).alias("i"))
+        part = spread.select("doc", "copy", F.explode(shingle_texts(F.col("words"), w)).alias("shingle"))
         held = part if held is None else held.unionByName(part)
-    counted = held.select(
-        "doc", F.col("i.item").alias("item"), F.size("i.shingles").cast("long").alias("n_shingles"), F.col("i.least").alias("least"),
-        F.size(F.array_intersect("i.shingles", "held")).cast("long").alias("n_found"),
+    # Each shingle of an item, and whether its hash is in the item's sketch.
+    number = F.size("shingles").cast("long").alias("n_shingles")
+    probes = sketches.select("item", "least", number, F.xxhash64("shingles").alias("set"), "sketch", F.explode("shingles").alias("shingle"))
+    in_sketch = F.array_contains("sketch", shingle_hash(F.col("shingle"))).alias("in_sketch")
+    probes = probes.select("item", "set", "least", "n_shingles", "shingle", in_sketch)
+    found = held.join(probes, "shingle").distinct()
+    counted = found.groupBy("doc", "copy", "item", "set", "least", "n_shingles").agg(
+        F.max("in_sketch").alias("candidate"), F.count(F.lit(1)).alias("n_found")
     )
-    return counted.where(F.col("n_found") >= F.col("least")).select(
+    return counted.where(F.col("candidate") & (F.col("n_found") >= F.col("least"))).select(
         "doc", "item", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment")
     ).distinct()
