@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellforge.llm import chat, containment, hilbert, hyperlang, mixing, ordinal, quality, reputation, simhash
+from cellforge.llm import chat, containment, hilbert, hyperlang, lm, mixing, ordinal, quality, reputation, simhash
 from cellforge.llm.tables import table, word_count
 
 SHARDS = 24
@@ -84,6 +84,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the model of the documents with another remainder than 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    scored = lm.score_documents(docs.withColumn("train", ~held_out), "train")
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's odds of toxicity, expected severity and likeliest grade."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -122,7 +132,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op4_simhash, op5_mixing, op7_toxicity,
+        op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op4_simhash, op5_mixing, op6_lm_scoring, op7_toxicity,
         op8_url_reputation, op9_benchmark_containment, op10_language,
     )
 }

@@ -35,19 +35,34 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def unstash(df: DataFrame) -> None:
+    """Deletes a table of ``stash`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ranked(df: DataFrame, keys: list, name: str) -> tuple[DataFrame, int]:
     """``df`` with ``_rank`` (0 to n-1 in the order of ``keys``), and n.
 
-    Rows are range-partitioned on ``keys`` and written with their place in their
-    partition; only the row count of each partition is summed up.  No task gets more than
-    its range.  ``keys`` must order all but identical rows.
+    Rows are range-partitioned on ``keys``; no task gets more than its range.  ``keys`` must
+    order all but identical rows.
+    """
+    return numbered(df.repartitionByRange(*keys).sortWithinPartitions(*keys), name)
+
+
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``df`` with ``_rank`` (0 to n-1 in the order of its partitions and their rows), and n.
+
+    Rows are written with their place in their partition; only the row count of each
+    partition is summed up.
     """
-    placed = stash(
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id()), name
-    )
+    placed = stash(df.withColumn("_place", F.monotonically_increasing_id()), name)
     part = F.shiftright("_place", ROW_BITS)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row for each partition
