@@ -41,12 +41,13 @@ SPREAD = 8  # a context of over SHARD / SPREAD occurrences is spread over shards
 END, START, UNKNOWN = 0, 1, -1  # ids; words have 2 and up
 LOW = 0xFFFFFFFF  # a pair is context << 32 | word
 
+PACKED_ROWS = 500_000  # word rows packed at a time
 CHUNK_ROWS = "chunk long, doc_ids array<long>, train binary, lengths binary, tokens binary, words array<binary>, counts array<int>"
 RESOLVED_ROWS = "chunk long, doc_ids array<long>, train binary, lengths binary, tokens binary, ids binary, counts binary"
 
 
-def _pack(values: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+def _pack(values: np.ndarray, level: int = 1) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values).tobytes(), level)
 
 
 def _unpack(data: bytes, kind: str) -> np.ndarray:
@@ -71,7 +72,7 @@ def write_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.bincount(tokens[trained], minlength=len(seen) + 1)[1:]
         return pd.DataFrame(
             [((part << 32) + number, docs, np.array(train, dtype=np.uint8).tobytes(), _pack(np.array([len(x) for x in lines], dtype="<i4")),
-              _pack(tokens), list(seen), counts.astype(np.int32))],
+              _pack(tokens, 4), list(seen), counts.astype(np.int32))],
             columns=["chunk", "doc_ids", "train", "lengths", "tokens", "words", "counts"],
         )
 
@@ -95,25 +96,48 @@ def write_chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield chunk()
 
 
+def batched(body, rows: int):
+    """``body`` on frames of about ``rows`` rows, put together from smaller ones."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def joined() -> Iterator[pd.DataFrame]:
+            held, size = [], 0
+            for frame in frames:
+                held.append(frame)
+                size += len(frame)
+                if size >= rows:
+                    yield pd.concat(held, ignore_index=True)
+                    held, size = [], 0
+            if size:
+                yield pd.concat(held, ignore_index=True)
+
+        return body(joined())
+
+    return run
+
+
 class Bigrams:
     """A chunk's tokens as global ids, and its distinct known bigrams in order."""
 
     def __init__(self, row, starts: int, mu: float, total: int, kinds: int) -> None:
         tokens, self.lengths = _unpack(row.tokens, "<i4"), _unpack(row.lengths, "<i4").astype(np.int64)
         self.train = np.frombuffer(row.train, dtype=np.uint8).astype(bool)
-        self.ids, self.counts = _unpack(row.ids, "<i4").astype(np.int64)[tokens], _unpack(row.counts, "<i8")[tokens]
         self.first = np.cumsum(self.lengths) - self.lengths
-        context = np.concatenate(([START], self.ids[:-1]))
-        seen = np.concatenate(([starts], self.counts[:-1]))  # occurrences of the context
+        ids, self.counts = _unpack(row.ids, "<i4")[tokens], _unpack(row.counts, "<i8")[tokens]
+        context, seen = np.empty_like(ids), np.empty_like(self.counts)  # the token before, and its occurrences
+        context[1:], seen[1:] = ids[:-1], self.counts[:-1]
         context[self.first], seen[self.first] = START, starts
-        self.known = (self.ids >= 0) & (context >= 0) & (seen > 0)
-        keys = (context[self.known] << 32) | self.ids[self.known]
+        self.known = (ids >= 0) & (context >= 0) & (seen > 0)
+        keys = (context[self.known].astype(np.int64) << 32) | ids[self.known]
+        del ids, context, tokens
         self.pairs, index, self.where = np.unique(keys, return_index=True, return_inverse=True)
+        del keys
+        self.where = self.where.astype(np.int32)
         self.context_counts = seen[self.known][index]
         trained = np.repeat(self.train, self.lengths)[self.known]
         self.trained = np.bincount(self.where[trained], minlength=len(self.pairs))
-        lower = (self.counts + 1.0) / (total + kinds + 1.0)
-        self.backed = np.where(seen > 0, mu / (seen + mu), 1.0) * lower
+        self.backed = (self.counts + 1.0) / (total + kinds + 1.0)
+        self.backed *= np.where(seen > 0, mu / (seen + mu), 1.0)
 
     def by_shard(self, shards: int) -> Iterator[tuple[int, np.ndarray]]:
         """(shard, places of its pairs in order); a pair's shard depends on the pair and
@@ -157,17 +181,29 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
         row = left.iloc[0]
         ids, counts = np.full(row["kinds"] + 1, UNKNOWN, dtype="<i4"), np.zeros(row["kinds"] + 1, dtype="<i8")
         ids[0], counts[0] = END if starts else UNKNOWN, starts
-        at = right["pos"].to_numpy() + 1
-        ids[at], counts[at] = right["id"].to_numpy(), right["c"].to_numpy()
+        for at, of, c in zip(right["pos"], right["id"], right["c"]):
+            at = _unpack(at, "<i4") + 1
+            ids[at], counts[at] = _unpack(of, "<i4"), _unpack(c, "<i8")
         return left.drop(columns="kinds").assign(ids=[_pack(ids)], counts=[_pack(counts)])
 
+    def pack_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """``of, pos, id, c`` rows as one row of arrays for each chunk and batch."""
+        for frame in frames:
+            frame = frame.sort_values(["of", "id"])
+            first = np.flatnonzero(np.diff(frame["of"].to_numpy(), prepend=-1))
+            cut = [np.split(frame[k].to_numpy().astype(t), first[1:]) for k, t in (("pos", "<i4"), ("id", "<i4"), ("c", "<i8"))]
+            packed = [[_pack(x) for x in parts] for parts in cut]
+            yield pd.DataFrame({"of": frame["of"].to_numpy()[first], "pos": packed[0], "id": packed[1], "c": packed[2]})
+
     told = spelled.join(vocabulary, "word").select(
         F.col("chunk").alias("of"), "pos", (F.col("_rank") + 2).alias("id"), "c"
     )
+    told = told.mapInPandas(batched(pack_words, PACKED_ROWS), "of long, pos binary, id binary, c binary")
     bare = chunks.select("chunk", "doc_ids", "train", "lengths", "tokens", F.size("words").alias("kinds"))
     resolved = bare.groupBy("chunk").cogroup(told.groupBy("of")).applyInPandas(resolve, RESOLVED_ROWS)
     resolved = stash(resolved, "lm-resolved")
-    unstash(chunks)
+    for done in (chunks, counted, vocabulary):
+        unstash(done)
 
     def bigrams(row) -> Bigrams:
         return Bigrams(row, starts, mu, total, kinds)

@@ -71,7 +71,9 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     rank = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     # Broadcast bound: one row for each partition of the exchange above.
     joined = placed.withColumn("_part", part).join(F.broadcast(offsets.drop("_n")), "_part")
-    return joined.withColumn("_rank", rank).drop("_part", "_place", "_before"), int(total)
+    out = joined.withColumn("_rank", rank).drop("_part", "_place", "_before")
+    out.stash_path = placed.stash_path
+    return out, int(total)
 
 
 def lower_ascii(text: Column) -> Column:
