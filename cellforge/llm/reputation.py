@@ -30,7 +30,7 @@ URL_PATTERN = r"://([^/?#]*)([^?#]*)"
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gov", "net", "org")
 COUNTRY_CHARS = 2
 
-LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0  # pseudo-counts of a prior
+LEAST_STRENGTH, MOST_STRENGTH = 5.0, 1000.0  # pseudo-counts of a prior
 Z, BAD_LIMIT = 1.645, 0.5
 
 
