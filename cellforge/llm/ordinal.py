@@ -8,9 +8,8 @@ Features are lower-cased words and their beginnings (stems of 4 and 5 letters).
 keeps the features that are much commoner in the toxic texts of the training sample, with
 weights of 0 or more, so a long clean text cannot outweigh an insult; x is log(1 + count).
 
-Labels only say toxic or not, so the grades of toxic training documents are graded by how
-dense they are in telling features (``GRADE_SHARES``): grade 1 below the first share, up to
-K at or above the last.
+Labels only say toxic or not, so toxic training documents are graded by how many telling
+words they have (``GRADE_COUNTS``): grade 1 below the first number, up to K from the last.
 
 The training sample is bounded by ``MOST_CLEAN`` and ``MOST_TOXIC`` labelled documents, the
 first by a hash of the id; all documents are scored, on whole texts.
@@ -37,10 +36,11 @@ from cellforge.llm.tables import stash
 
 MOST_CLEAN, MOST_TOXIC = 5000, 3000
 MOST_FEATURES = 2000
-LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 3, 0.005, 8.0  # toxic sample documents with a feature; its odds
+LEAST_DOCS, LEAST_SHARE = 3, 0.005  # of the toxic sample documents have a chosen feature, at least
+LEAST_ODDS, SURE = 6.0, 1.28  # odds of a chosen feature in toxic texts, less so many standard errors
 STEMS = (4, 5)
-GRADE_SHARES = (0.02, 0.05)  # of a text's words; grades 1, 2, 3
-REJECT = 0.4  # probability of any toxicity from which a document is rejected
+GRADE_COUNTS = (3, 10)  # telling words; grades 1, 2, 3
+REJECT = 0.5  # probability of any toxicity from which a document is rejected
 
 TOKEN = re.compile(r"[^\W\d_]+")
 
@@ -84,12 +84,15 @@ class OrdinalModel:
 
     def grade_odds(self, scores: np.ndarray) -> np.ndarray:
         """P(y > k) for each score and threshold."""
-        return 1.0 / (1.0 + np.exp(np.clip(np.array(self.thresholds)[None, :] - scores[:, None], -500, 500)))
+        with np.errstate(over="ignore"):  # an infinite threshold gives 0
+            return 1.0 / (1.0 + np.exp(np.array(self.thresholds)[None, :] - scores[:, None]))
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l2: float = 1e-3, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, prior: float = 5.0, rounds: int = 300) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) of the cumulative-link model by Adam on the mean negative
-    log-likelihood; thresholds stay ordered as a first value and positive steps, weights 0 or more."""
+    log-likelihood; thresholds stay ordered as a first value and positive steps, weights 0 or more.
+    ``prior``: precision of the weights' Gaussian prior, which counts less the larger the
+    sample."""
     n, d = x.shape
     w, first, steps = np.zeros(d), 1.0, np.zeros(grades - 1)
     share = np.array([max((y == g).mean(), 1e-9) for g in range(grades + 1)])
@@ -105,7 +108,7 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int, l2: float = 1e-3, rou
         dhi, dlo = hi * (1 - hi), lo * (1 - lo)
         gs = cost * (dhi - dlo) / p  # of the loss by s
         g_theta = np.array([-(cost * dhi / p)[y == k].sum() + (cost * dlo / p)[y == k + 1].sum() for k in range(grades)])
-        g = np.concatenate((x.T @ gs + l2 * w, [g_theta.sum()], np.exp(steps) * np.cumsum(g_theta[::-1])[::-1][1:]))
+        g = np.concatenate((x.T @ gs + prior / n * w, [g_theta.sum()], np.exp(steps) * np.cumsum(g_theta[::-1])[::-1][1:]))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
         w, first, steps = np.maximum(w - move[:d], 0.0), first - move[d], np.clip(steps - move[d + 1 :], -5, 5)
@@ -141,10 +144,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)
     if not n_toxic or not n_clean:
-        return OrdinalModel({}, (np.inf,) * (len(GRADE_SHARES) + 1))
+        return OrdinalModel({}, (np.inf,) * (len(GRADE_COUNTS) + 1))
     summed = sample.mapInPandas(stats, "feature string, a long, b long").groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("b") + 0.5) / (n_clean + 1.0))
-    telling = summed.where(F.col("a") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)).withColumn("odds", odds).where(F.col("odds") > float(np.log(LEAST_ODDS)))
+    sure = F.col("odds") - F.lit(SURE) * F.sqrt(1.0 / (F.col("a") + 0.5) + 1.0 / (F.col("b") + 0.5))
+    telling = summed.where(F.col("a") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)).withColumn("odds", odds).where(sure > float(np.log(LEAST_ODDS)))
     chosen = telling.orderBy(F.desc(F.col("odds") * F.sqrt("a")), "feature").limit(MOST_FEATURES).toPandas()
     place = {f: i for i, f in enumerate(chosen["feature"])}
 
@@ -152,9 +156,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         for frame in frames:
             out = []
             for row, t in zip(frame["row"], frame["text"]):
-                counts = feature_counts(t)
-                out.append((row, -1, sum(n for f, n in counts.items() if f[-1] != "~")))
-                out += [(row, place[f], n) for f, n in counts.items() if f in place]
+                out += [(row, place[f], n) for f, n in feature_counts(t).items() if f in place]
             yield pd.DataFrame(out, columns=["row", "place", "n"])
 
     # Rows of the sample are numbered by id and text, so the matrix is the same in any run.
@@ -163,17 +165,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     cells = keyed.select("row", "text").mapInPandas(cells_of, "row long, place int, n long").toPandas()
     doc = pd.Series(np.arange(len(listed)), index=listed["row"]).groupby(level=0).first()
     r, c, n = doc.loc[cells["row"]].to_numpy(), cells["place"].to_numpy(), cells["n"].to_numpy()
-    words = np.ones(len(listed))
-    words[r[c < 0]] = np.maximum(n[c < 0], 1)
-    r, c, n = r[c >= 0], c[c >= 0], n[c >= 0]
     x = np.zeros((len(listed), len(place)), dtype=np.float32)
     x[r, c] = np.log1p(n)
-    dense, whole = np.zeros(len(listed)), ~chosen["feature"].str.endswith("~").to_numpy(dtype=bool)
-    np.add.at(dense, r[whole[c]], n[whole[c]])
-    share = dense / words
-    grades = 1 + np.searchsorted(np.array(GRADE_SHARES), share, side="right")
+    many, whole = np.zeros(len(listed)), ~chosen["feature"].str.endswith("~").to_numpy(dtype=bool)
+    np.add.at(many, r[whole[c]], n[whole[c]])
+    grades = 1 + np.searchsorted(np.array(GRADE_COUNTS), many, side="right")
     y = np.where(listed["toxic"].to_numpy(), grades, 0)
-    w, thresholds = fit_ordinal(x, y, len(GRADE_SHARES) + 1)
+    w, thresholds = fit_ordinal(x, y, len(GRADE_COUNTS) + 1)
     return OrdinalModel({f: float(w[i]) for f, i in place.items() if abs(w[i]) > 1e-6}, tuple(float(t) for t in thresholds))
 
 
