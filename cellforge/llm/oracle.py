@@ -42,6 +42,7 @@ def _strength(level: str) -> str:
     )
 
 
+_SHRUNK = "n + least(c, known) AS w, (k + least(c, known) * mean) / (n + least(c, known)) AS rate"
 _SECOND = ", ".join(f"'{s}'" for s in reputation.SECOND_LEVEL)
 ORACLE["op8_url_reputation"] = f"""
 WITH bad AS (SELECT doc_id, max(CAST(quality = 0 OR toxic = 1 AS INTEGER)) AS bad FROM labels GROUP BY doc_id),
@@ -56,13 +57,14 @@ parsed AS (
   SELECT host, n, k, l, CASE WHEN len(l) >= 3 AND length(l[-1]) = 2 AND l[-2] IN ({_SECOND}) THEN 2 ELSE 1 END AS s FROM labels_of
 ), hosts AS (
   SELECT host, n, k, array_to_string(l[-s:], '.') AS suffix, array_to_string(l[-least(s + 1, len(l)):], '.') AS domain FROM counts
-), g AS (SELECT (coalesce(sum(k), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) AS mean FROM hosts),
-s1 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(mean) AS mean FROM hosts, g GROUP BY suffix),
-s2 AS (SELECT suffix, (k + c * mean) / (n + c) AS mean FROM s1, (SELECT {_strength("s1")} AS c)),
-d1 AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k, any_value(mean) AS mean FROM hosts JOIN s2 USING (suffix) GROUP BY suffix, domain),
-d2 AS (SELECT suffix, domain, (k + c * mean) / (n + c) AS mean FROM d1, (SELECT {_strength("d1")} AS c)),
-h1 AS (SELECT host, n, k, mean FROM hosts JOIN d2 USING (suffix, domain)),
-h2 AS (SELECT host, n + c AS w, (k + c * mean) / (n + c) AS rate FROM h1, (SELECT {_strength("h1")} AS c))
+), g AS (SELECT (coalesce(sum(k), 0) + 0.5) / (coalesce(sum(n), 0) + 1.0) AS mean, coalesce(sum(n), 0) + 1.0 AS known FROM hosts),
+s1 AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(mean) AS mean, any_value(known) AS known FROM hosts, g GROUP BY suffix),
+s2 AS (SELECT suffix, {_SHRUNK} FROM s1, (SELECT {_strength("s1")} AS c)),
+d1 AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k, any_value(mean) AS mean, any_value(known) AS known
+  FROM hosts JOIN (SELECT suffix, rate AS mean, w AS known FROM s2) USING (suffix) GROUP BY suffix, domain),
+d2 AS (SELECT suffix, domain, {_SHRUNK} FROM d1, (SELECT {_strength("d1")} AS c)),
+h1 AS (SELECT host, n, k, mean, known FROM hosts JOIN (SELECT suffix, domain, rate AS mean, w AS known FROM d2) USING (suffix, domain)),
+h2 AS (SELECT host, {_SHRUNK} FROM h1, (SELECT {_strength("h1")} AS c))
 SELECT page_id, host, path,
   CASE {" ".join(f"WHEN {_fits(r)} THEN '{r}'" for _, r in _RULES)} END AS rule,
   CASE {" ".join(f"WHEN {_fits(r)} THEN '{v}'" for v, r in _RULES)}

@@ -82,12 +82,13 @@ def _strength(level: DataFrame) -> Column:
 
 
 def _shrunk(level: DataFrame) -> DataFrame:
-    """``n, k, mean`` (the parent's) with ``strength`` and the level's own ``rate``."""
+    """``n, k, mean, known`` (the parent's rate and its pseudo-counts) with ``weight`` and the
+    level's own ``rate``.  A prior counts no more than what its parent is known by."""
     strength = level.where("n > 0").agg(F.coalesce(_strength(level), F.lit(MOST_STRENGTH)).alias("strength"))
     # One row, an aggregate without keys: the join is a lookup of one value.
     with_strength = level.join(F.broadcast(strength))
-    rate = (F.col("k") + F.col("strength") * F.col("mean")) / (F.col("n") + F.col("strength"))
-    return with_strength.withColumn("rate", rate)
+    with_strength = with_strength.withColumn("strength", F.least("strength", "known")).withColumn("weight", F.col("n") + F.col("strength"))
+    return with_strength.withColumn("rate", (F.col("k") + F.col("strength") * F.col("mean")) / F.col("weight"))
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
@@ -96,14 +97,14 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     hosts = outcomes.groupBy("host").agg(F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).cast("double").alias("k"))
     hosts = stash(hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", host_suffix(F.col("host"))), "hosts")
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    overall = hosts.agg(((F.coalesce(F.sum("k"), F.lit(0.0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias("mean"))
+    n, k = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0.0))
+    overall = hosts.agg(((k + 0.5) / (n + 1.0)).alias("mean"), (n + 1.0).alias("known"))
     suffixes = _shrunk(suffixes.join(F.broadcast(overall)))  # one row, as above
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    domains = _shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("mean")), "suffix"))
-    judged = hosts.join(domains.select("domain", "suffix", F.col("rate").alias("mean")), ["domain", "suffix"])
+    domains = _shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("mean"), F.col("weight").alias("known")), "suffix"))
+    judged = hosts.join(domains.select("domain", "suffix", F.col("rate").alias("mean"), F.col("weight").alias("known")), ["domain", "suffix"])
     judged = stash(_shrunk(judged), "reputation")
-    weight = F.col("n") + F.col("strength")
-    spread = Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (weight + 1))
+    spread = Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("weight") + 1))
     return judged.select(
         "host", "domain", "suffix", "n", "k", F.col("mean").alias("prior"), "rate",
         F.greatest(F.col("rate") - spread, F.lit(0.0)).alias("low"), F.least(F.col("rate") + spread, F.lit(1.0)).alias("high"),
