@@ -2,9 +2,9 @@
 
 ``text`` writes a value as its string form (nested values as JSON) and reads with a
 ``try_cast``.  ``binary`` writes strings as UTF-8 and numbers big-endian: int as 4
-bytes, long as 8, float as IEEE 4, double as IEEE 8.  Integers go through built-in
-hex functions (Spark refuses integer-to-binary casts under ANSI); floats have no
-built-in bit view, so they are the one place an Arrow-batched pandas UDF is used.
+bytes, long as 8, float as IEEE 4, double as IEEE 8, NaN included.  All are built-in
+functions: integers go through hex (Spark refuses integer-to-binary casts under ANSI),
+floats through the JVM's own bit views (``java_method``).
 A caster may also be any callable ``(Column, DataType) -> Column``.
 """
 
@@ -12,8 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,44 +25,22 @@ def _raise_type(dtype: T.DataType) -> None:
     raise TypeError(f"no cell encoding for type {dtype.simpleString()}")
 
 
-# --- float / double bit views (Arrow batches) -------------------------------------
+# --- float / double bit views -------------------------------------------------------
 
+HEX_BYTE = 2  # hex digits of a byte
 
-def _pack(series: pd.Series, dtype: str, width: int) -> pd.Series:
-    out = pd.Series([None] * len(series), index=series.index, dtype=object)
-    mask = series.notna().to_numpy()
-    if mask.any():
-        raw = series[mask].to_numpy(dtype="float64").astype(dtype).tobytes()
-        out[mask] = [raw[i : i + width] for i in range(0, len(raw), width)]
-    return out
 
+def _bits(c: Column, kind: str, method: str, width: int) -> Column:
+    """Big-endian bytes of a floating value's bits; NaN has bits, NULL has none."""
+    zero = F.lit(0.0).cast("float" if kind == "java.lang.Float" else "double")
+    bits = F.java_method(F.lit(kind), F.lit(method), F.coalesce(c, zero)).cast("bigint")
+    digits = F.right(F.lpad(F.hex(bits), F.lit(16), F.lit("0")), F.lit(HEX_BYTE * width))
+    return F.when(c.isNotNull(), F.unhex(digits))
 
-def _unpack(series: pd.Series, dtype: str, width: int) -> pd.Series:
-    out = pd.Series(np.nan, index=series.index, dtype="float64")
-    mask = series.map(lambda b: b is not None and len(b) == width).to_numpy(dtype=bool)
-    if mask.any():
-        out[mask] = np.frombuffer(b"".join(series[mask]), dtype=dtype).astype("float64")
-    return out.where(mask, None)
 
-
-@F.pandas_udf(T.BinaryType())
-def _double_to_bytes(s: pd.Series) -> pd.Series:
-    return _pack(s, ">f8", 8)
-
-
-@F.pandas_udf(T.BinaryType())
-def _float_to_bytes(s: pd.Series) -> pd.Series:
-    return _pack(s, ">f4", 4)
-
-
-@F.pandas_udf(T.DoubleType())
-def _bytes_to_double(s: pd.Series) -> pd.Series:
-    return _unpack(s, ">f8", 8)
-
-
-@F.pandas_udf(T.DoubleType())
-def _bytes_to_float(s: pd.Series) -> pd.Series:
-    return _unpack(s, ">f4", 4)
+def _from_bits(v: Column, kind: str, method: str, width: int, bits: Column, to: str) -> Column:
+    right = F.octet_length(v) == width
+    return F.when(right, F.java_method(F.lit(kind), F.lit(method), F.when(right, bits).otherwise(F.lit(0))).cast(to))
 
 
 # --- encode -----------------------------------------------------------------------
@@ -94,9 +70,9 @@ def encode_binary(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.LongType):
         return F.unhex(F.lpad(F.hex(c), 16, "0"))
     if isinstance(dtype, T.DoubleType):
-        return _double_to_bytes(c)
+        return _bits(c, "java.lang.Double", "doubleToRawLongBits", 8)
     if isinstance(dtype, T.FloatType):
-        return _float_to_bytes(c)
+        return _bits(c, "java.lang.Float", "floatToRawIntBits", 4)
     _raise_type(dtype)
 
 
@@ -119,6 +95,8 @@ def decode_text(v: Column, dtype: T.DataType) -> Column:
     text = v.cast("string")
     if isinstance(dtype, T.StringType):
         return text
+    if isinstance(dtype, _NESTED):
+        return F.from_json(text, dtype)
     return text.try_cast(dtype)
 
 
@@ -129,16 +107,16 @@ def decode_binary(v: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.decode(v, "UTF-8")
     h = F.hex(v)
-    if isinstance(dtype, T.IntegerType):
+    if isinstance(dtype, (T.IntegerType, T.FloatType)):
         sign = F.when(F.substring(h, 1, 1) >= F.lit("8"), F.lit("FFFFFFFF")).otherwise(F.lit("00000000"))
         signed = F.conv(F.concat(sign, h), 16, -10).cast("bigint").cast("int")
+        if isinstance(dtype, T.FloatType):
+            return _from_bits(v, "java.lang.Float", "intBitsToFloat", 4, signed, "float")
         return F.when(F.octet_length(v) == 4, signed)
     if isinstance(dtype, T.LongType):
         return F.when(F.octet_length(v) == 8, F.conv(h, 16, -10).cast("bigint"))
     if isinstance(dtype, T.DoubleType):
-        return _bytes_to_double(v)
-    if isinstance(dtype, T.FloatType):
-        return _bytes_to_float(v).cast("float")
+        return _from_bits(v, "java.lang.Double", "longBitsToDouble", 8, F.conv(h, 16, -10).cast("bigint"), "double")
     _raise_type(dtype)
 
 

@@ -34,9 +34,10 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "n", p
     # The tiebreaker lets the sampled range bounds fall inside a run of equal keys, so a
     # key that fills a third of the input is split over several tasks.
     keys = [*order_cols, "_tie"]
+    # It is checkpointed first: over shuffled input a rerun task could number rows anew.
+    tied = df.withColumn("_tie", F.monotonically_increasing_id()).checkpoint(eager=True)
     ranged = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(parts, *keys)
+        tied.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", pid)
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33))
@@ -62,7 +63,8 @@ def lookup_audit(keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col
     # lets Spark (or AQE at run time, by measured size) broadcast a short key list and
     # filter the table in its map tasks, so only matching rows reach the shuffle.
     wanted = listed.select(F.col("key").alias("_row")).distinct()
-    present = rows.select(F.col(row_col).alias("_row")).join(wanted, "_row", "left_semi").distinct()
+    # The row keys are deduplicated in the map tasks, so a long list costs a shuffle of keys.
+    present = rows.select(F.col(row_col).alias("_row")).distinct().join(wanted, "_row", "left_semi")
     checked = listed.join(present, listed["key"] == present["_row"], "left").select(
         "key", F.when(F.col("_row").isNull(), 1).otherwise(0).alias("missed")
     )
@@ -96,5 +98,6 @@ def write_audit(audit: DataFrame, path: str, mode: str = "errorifexists", stamp:
 
         at = flat_from_millis(F.unix_millis(F.current_timestamp())).alias("audited_at")
         audit = audit.select("n", at, *[c for c in audit.columns if c != "n"])
-    audit.write.mode(mode).option("sep", "\t").csv(path)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in audit.columns]
+    audit.select(F.concat_ws("\t", *fields).alias("value")).write.mode(mode).text(path)
     return path

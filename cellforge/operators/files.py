@@ -6,8 +6,9 @@
    points, so no hand-made CDF is needed and the files have ordered, non-overlapping
    key ranges;
 2. cells with equal (row, family, qualifier, ts) are kept once; the range exchange
-   already clusters equal coordinates, so this adds no shuffle;
-3. ``sortWithinPartitions(row, family, qualifier, ts desc)``, which spills to disk;
+   already clusters equal coordinates, so this adds no shuffle, whatever the loader (the
+   coordinate is one struct key);
+3. ``sortWithinPartitions`` on the same key, which spills to disk;
 4. Parquet write; one file per range.
 
 By default the range key is the full cell order, so a very hot row is split over
@@ -45,12 +46,23 @@ def sort_cells(cells: DataFrame) -> DataFrame:
 
 
 def sorted_cell_partitions(cells: DataFrame, num_files: int, whole_rows: bool = False) -> DataFrame:
-    """Range-partitioned, collapsed and sorted cells, ready to write."""
-    keys = [F.col("row")] if whole_rows else [F.col("row"), F.col("family"), F.col("qualifier"), F.col("_nts")]
-    ranged = cells.select(*CELL_COLUMNS).withColumn("_nts", -F.col("ts")).repartitionByRange(num_files, *keys)
-    collapsed = ranged.groupBy(*COORD, "_nts").agg(F.max("value").alias("value"))
-    return collapsed.sortWithinPartitions(*COORD, "_nts").select(
-        *COORD, (-F.col("_nts")).alias("ts"), "value"
+    """Range-partitioned, collapsed and sorted cells, ready to write.
+
+    The coordinate is one struct column, by which the cells are exchanged, grouped and
+    sorted: a part of it may be a literal (a loader's family), which Spark would fold out
+    of a list of grouping keys and then exchange once more."""
+    rest = [F.col("family"), F.col("qualifier"), (-F.col("ts")).alias("nts")]
+    keyed = cells.select("row", F.struct(*rest).alias("_rest"), "value")
+    if whole_rows:
+        ranged, keys = keyed.repartitionByRange(num_files, "row"), ["row", "_rest"]
+    else:
+        keyed = keyed.select(F.struct("row", "_rest").alias("_key"), "value")
+        ranged, keys = keyed.repartitionByRange(num_files, "_key"), ["_key"]
+    collapsed = ranged.groupBy(*keys).agg(F.max("value").alias("value")).sortWithinPartitions(*keys)
+    row, rest = ("row", "_rest") if whole_rows else ("_key.row", "_key._rest")
+    return collapsed.select(
+        F.col(row).alias("row"), F.col(f"{rest}.family").alias("family"), F.col(f"{rest}.qualifier").alias("qualifier"),
+        (-F.col(f"{rest}.nts")).alias("ts"), "value",
     )
 
 

@@ -140,6 +140,8 @@ def region_starts(cdf: DataFrame, n: int, chars: int = 3) -> list[str]:
     prefix whose partition id (as ``partition_id`` computes it) is i.  At most ``n``
     values reach the driver (one per region)."""
     lo, hi = _grid(chars)
+    if n > hi - lo + 1:
+        raise ValueError(f"{n} regions asked, {hi - lo + 1} prefixes of {chars} characters: use more characters")
     part = (F.round("cdf", CDF_DIGITS).cast("float") * F.lit(float(n)).cast("float")).cast("int")
     firsts = (
         cdf.where(F.col("prefix").between(lo, hi) & F.col("cdf").isNotNull())

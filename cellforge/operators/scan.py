@@ -111,16 +111,16 @@ def scan_columns(
     names = list(names) if names else _column_names(specs)
     narrowed = row_range(cells, gt, gte, lt, lte).where(_spec_filter(specs))
     aggs = [
-        F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.struct("ts", "value"))).alias(n)
-        for (f, q), n in zip(specs, names)
-    ]
+        F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.struct("ts", "value"))).alias(f"_c{i}")
+        for i, (f, q) in enumerate(specs)
+    ]  # by place: a qualifier may hold a dot, be named "row", or be asked for twice
     rows = narrowed.groupBy("row", *carry).agg(*aggs)
     one = F.lit(EMPTY_CELL_MARKER)
     if isinstance(cells.schema["value"].dataType, T.BinaryType):
         one = F.encode(one, "UTF-8")
     out = []
-    for n in names:
-        v = F.col(f"{n}.value")
+    for i, n in enumerate(names):
+        v = F.col(f"_c{i}.value")
         out.append(F.when(F.octet_length(v) == 0, one).otherwise(v).alias(n))
     return rows.select(*(["row"] if load_key else []), *carry, *out)
 
@@ -142,8 +142,8 @@ def scan_typed(
     if len(dtypes) != len(names):
         raise ValueError("one type per column")
     casters = list(caster) if isinstance(caster, (list, tuple)) else [caster] * len(names)
-    raw = scan_columns(cells, columns, load_key=load_key, names=names, **bounds)
-    decoded = [decode_value(F.col(n), t, c).alias(n) for n, t, c in zip(names, dtypes, casters)]
+    raw = scan_columns(cells, columns, load_key=load_key, names=[f"_v{i}" for i in range(len(names))], **bounds)
+    decoded = [decode_value(F.col(f"_v{i}"), t, c).alias(n) for i, (n, t, c) in enumerate(zip(names, dtypes, casters))]
     return raw.select(*(["row"] if load_key else []), *decoded)
 
 
@@ -178,15 +178,15 @@ def scan_cells(
     if isinstance(cells.schema["value"].dataType, T.BinaryType):
         one = F.encode(one, "UTF-8")
     aggs, out = [], []
-    for f, q in specs:
+    for i, (f, q) in enumerate(specs):
+        at = f"_c{i}"
         if q is None:
             bag = F.when(F.col("family") == f, F.struct("qualifier", "value"))
-            aggs.append(F.sort_array(F.collect_list(bag)).alias(f))
-            out.append(F.col(f))
+            aggs.append(F.sort_array(F.collect_list(bag)).alias(at))
+            out.append(F.col(at).alias(f))
         else:
-            n = next(names)
-            aggs.append(F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.col("value"))).alias(n))
-            out.append(F.when(F.octet_length(F.col(n)) == 0, one).otherwise(F.col(n)).alias(n))
+            aggs.append(F.max(F.when((F.col("family") == f) & (F.col("qualifier") == q), F.col("value"))).alias(at))
+            out.append(F.when(F.octet_length(F.col(at)) == 0, one).otherwise(F.col(at)).alias(next(names)))
     rows = latest.groupBy("row").agg(*aggs)
     return rows.select(*(["row"] if load_key else []), *out)
 
@@ -211,10 +211,17 @@ def region_of(key: Column | str, boundaries: Sequence[str]) -> Column:
     (region 0 starts at the empty key)."""
     key = F.col(key) if isinstance(key, str) else key
     bounds = sorted(unescape_bound(b) for b in boundaries)
-    region = F.lit(0)
-    for b in bounds:
-        region = region + F.when(key >= F.lit(b), 1).otherwise(0)
-    return region
+    if not bounds:
+        return F.lit(0)
+    # One literal array, searched by halving: a step more for twice the regions.
+    between = next(c for c in map(chr, range(1, 0x10000)) if not any(c in b for b in bounds))
+    starts = F.split(F.lit(between.join(bounds)), "\\Q" + between + "\\E", -1)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+
+    def step(below: Column, n: Column) -> Column:
+        return F.when(F.coalesce(F.get(starts, below + n - 1) <= key, F.lit(False)), below + n).otherwise(below)
+
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def regions_in_range(boundaries: Sequence[str], gt=None, gte=None, lt=None, lte=None) -> list[int]:

@@ -3,9 +3,8 @@
 A snapshot holds one version per (row, family, qualifier), stored as a catalog table
 bucketed and sorted on that coordinate.  An upsert
 
-1. pre-aggregates the incoming cells on (coordinate, salt): the salt spreads a hot
-   coordinate over several tasks, and the partial aggregate in every map task has
-   already collapsed it before the exchange;
+1. reduces the incoming cells to their latest: the partial aggregate in every map task
+   has collapsed a hot coordinate before the exchange;
 2. hash-partitions the (now small) incoming side to the snapshot's bucket layout;
 3. takes the latest of the union -- both children have the same hash partitioning, so
    Spark needs no exchange for the existing table: each bucket file is merged with
@@ -27,9 +26,7 @@ from pyspark.sql import functions as F
 from cellforge.operators.files import cell_writer
 from cellforge.operators.versions import COORD, latest_cells
 from cellforge.schema import CELL_COLUMNS
-from cellforge.session import shared_path
-
-DEFAULT_SALT = 16
+from cellforge.session import remove_path, shared_path
 
 
 def new_table_name(prefix: str = "cells") -> str:
@@ -50,46 +47,61 @@ def save_cell_table(cells: DataFrame, name: str, buckets: int, path: str | None
     return name
 
 
-def salted_latest(cells: DataFrame, salt: int = DEFAULT_SALT) -> DataFrame:
-    """Per (coordinate, salt) latest version: a hot coordinate is reduced in up to
-    ``salt`` tasks instead of one.  The final latest per coordinate is taken later."""
-    bucket = F.pmod(F.hash("ts", "value"), F.lit(salt))
-    return (
-        cells.groupBy(*COORD, bucket.alias("_salt"))
-        .agg(F.max(F.struct("ts", "value")).alias("_v"))
-        .select(*COORD, F.col("_v.ts").alias("ts"), F.col("_v.value").alias("value"))
-    )
+def aligned_latest(cells: DataFrame, buckets: int) -> DataFrame:
+    """The latest version of each coordinate, in the bucket layout.
+
+    Every map task first reduces its own cells, so a hot coordinate sends one row a task.
+    The coordinate is grouped as one struct: a part of it that is a literal (a loader's
+    family) then stays a column of the bucket partitioning instead of being folded out."""
+    coordinate = F.struct(*COORD).alias("_at")
+    latest = cells.select(coordinate, "ts", "value").groupBy("_at").agg(F.max(F.struct("ts", "value")).alias("_v"))
+    flat = latest.select(*[F.col(f"_at.{c}").alias(c) for c in COORD], F.col("_v.ts").alias("ts"), F.col("_v.value").alias("value"))
+    return flat.repartition(buckets, *COORD)
 
 
-def upsert_plan(existing: DataFrame, incoming: DataFrame, buckets: int, salt: int = DEFAULT_SALT) -> DataFrame:
+def upsert_plan(existing: DataFrame, incoming: DataFrame, buckets: int) -> DataFrame:
     """Latest cells of a bucketed snapshot plus incoming cells (see module notes).
 
     The incoming side always reaches the union through an exchange, so the union runs
     row by row and keeps bucket i with bucket i.  A union of columnar bucketed scans
     alone would not (see ``versions.upsert_cells``)."""
-    aligned = salted_latest(incoming.select(*CELL_COLUMNS), salt).repartition(buckets, *COORD)
-    return latest_cells(existing.select(*CELL_COLUMNS).unionByName(aligned))
+    return latest_cells(existing.select(*CELL_COLUMNS).unionByName(aligned_latest(incoming, buckets)))
 
 
-def load_cell_table(cells: DataFrame, buckets: int, name: str | None = None, salt: int = DEFAULT_SALT) -> str:
+def load_cell_table(cells: DataFrame, buckets: int, name: str | None = None) -> str:
     """First load: latest version per coordinate of ``cells`` written as a bucketed
-    snapshot.  Same path as an upsert into an empty table: salted partial merge, then
-    one alignment to the bucket layout, so each task writes exactly one bucket."""
-    aligned = salted_latest(cells.select(*CELL_COLUMNS), salt).repartition(buckets, *COORD)
-    return save_cell_table(latest_cells(aligned), name or new_table_name(), buckets)
+    snapshot, each task exactly one bucket."""
+    return save_cell_table(aligned_latest(cells, buckets), name or new_table_name(), buckets)
 
 
 def upsert_table(
-    spark: SparkSession,
-    table: str,
-    incoming: DataFrame,
-    buckets: int,
-    new_name: str | None = None,
-    salt: int = DEFAULT_SALT,
+    spark: SparkSession, table: str, incoming: DataFrame, buckets: int, new_name: str | None = None
 ) -> str:
     """Writes the snapshot after ``incoming`` as a new bucketed table; returns its name."""
     new_name = new_name or new_table_name()
-    return save_cell_table(upsert_plan(spark.table(table), incoming, buckets, salt), new_name, buckets)
+    return save_cell_table(upsert_plan(spark.table(table), incoming, buckets), new_name, buckets)
+
+
+def table_path(spark: SparkSession, table: str) -> str:
+    """Where a snapshot's files lie, to register it again in another session."""
+    found = spark.sql(f"DESCRIBE EXTENDED `{table}`").where("col_name = 'Location'").first()
+    return found["data_type"]
+
+
+def register_cell_table(spark: SparkSession, name: str, path: str, buckets: int) -> str:
+    """Makes the files of a snapshot a table of this session's catalog again."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+    by = ", ".join(COORD)
+    spark.sql(
+        f"CREATE TABLE `{name}` ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return name
+
+
+def drop_cell_table(spark: SparkSession, table: str) -> None:
+    """Drops a snapshot that an upsert has replaced, with its files."""
+    remove_path(spark, table_path(spark, table))
+    spark.sql(f"DROP TABLE `{table}`")
 
 
 # --- deltas: upserts that write only the batch ----------------------------------------
@@ -106,17 +118,23 @@ def append_delta(cells: DataFrame, path: str | None = None) -> str:
     return path
 
 
-def read_merged(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int, salt: int = DEFAULT_SALT) -> DataFrame:
-    """Table state = latest of a bucketed snapshot and its deltas.  The deltas are the
-    incoming side of ``upsert_plan``: they are merged and aligned to the buckets (a
-    shuffle of the deltas only) while the snapshot is read bucket by bucket, unshuffled."""
+def read_merged(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int) -> DataFrame:
+    """Table state = latest of a bucketed snapshot and its deltas.  The deltas are merged
+    and aligned to the buckets (a shuffle of the deltas only) and are the build side of a
+    hash join; the snapshot is read bucket by bucket, neither shuffled nor sorted.  The
+    deltas of one bucket have to fit in a task; ``compact`` keeps them small."""
+    mine = spark.table(snapshot).select(*CELL_COLUMNS)
     if not deltas:
-        return spark.table(snapshot).select(*CELL_COLUMNS)
-    incoming = spark.read.parquet(*deltas)
-    return upsert_plan(spark.table(snapshot), incoming, buckets, salt)
+        return mine
+    new = aligned_latest(spark.read.parquet(*deltas), buckets)
+    new = new.select(*[F.col(c).alias(f"_{c}") for c in COORD], F.struct("ts", "value").alias("_new"))
+    same = [mine[c] == new[f"_{c}"] for c in COORD]
+    joined = mine.join(new.hint("shuffle_hash"), same, "full_outer")
+    old = F.when(F.col("row").isNotNull(), F.struct("ts", "value"))
+    latest = F.greatest(old, F.col("_new")).alias("_v")
+    return joined.select(*[F.coalesce(c, f"_{c}").alias(c) for c in COORD], latest).select(*COORD, "_v.ts", "_v.value")
 
 
 def compact(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int, new_name: str | None = None) -> str:
     """Folds the deltas into a new bucketed snapshot; returns its name."""
     return save_cell_table(read_merged(spark, snapshot, deltas, buckets), new_name or new_table_name(), buckets)
-

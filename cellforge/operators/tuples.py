@@ -95,6 +95,7 @@ def store_dynamic(df: DataFrame, caster: Caster = "text", now=None) -> DataFrame
             encode_value(val, fields[3].dataType, caster).alias("value"),
         )
         .where(F.col("row").isNotNull() & F.col("value").isNotNull())
+        .where(F.col("family").isNotNull() & F.col("qualifier").isNotNull())  # no cell has none
     )
 
 

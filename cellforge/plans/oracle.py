@@ -113,7 +113,7 @@ ORACLE: dict[str, str] = {
 SELECT line, CAST(len(f) AS INTEGER) AS n_fields, f[1] AS f0, f[2] AS f1, f[3] AS f2, f[4] AS f3
 FROM (SELECT line, {split()} AS f FROM l)""",
     "typed_tsv_load": """SELECT c_name AS field_1, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS field_2
-FROM customer""",
+FROM customer UNION ALL SELECT NULL, NULL FROM customer WHERE c_custkey % 25 IN (0, 1)""",
     "bulk_cells": f"""WITH {_parsed(CELLS)}
 SELECT f[1] AS row, f[2] AS family, f[3] AS qualifier, {TS} AS ts, f[4] AS value
 FROM s WHERE len(f) = 4 AND f[1] <> ''""",
@@ -192,7 +192,8 @@ o AS (SELECT CAST(substr(key, 1, 3) AS INTEGER) AS prefix, count(*) AS keys FROM
       WHERE regexp_matches(substr(key, 1, 3), '^[1-9][0-9]{{2}}$') GROUP BY 1),
 g AS (SELECT CAST(range AS INTEGER) AS prefix FROM range(100, 1000))
 SELECT g.prefix, round(log10(g.prefix / 100.0), 7) AS cdf, COALESCE(o.keys, 0) AS keys
-FROM g LEFT JOIN o ON g.prefix = o.prefix""",
+FROM g LEFT JOIN o ON g.prefix = o.prefix
+UNION ALL SELECT NULL, NULL, n FROM (SELECT count(*) AS n FROM kc WHERE NOT regexp_matches(substr(key, 1, 3), '^[1-9][0-9]{{2}}$')) WHERE n > 0""",
     "assign_partition": f"""WITH kc AS ({KEY_COUNTS}), c AS (SELECT key, cnt, {_theory("substr(key, 1, 3)")} AS cdf FROM kc)
 SELECT key, cnt,
   CASE WHEN strlen(key) < 4 THEN 0 WHEN cdf IS NULL THEN 0
@@ -211,3 +212,23 @@ FROM ({fx.PART_ROWS_SQL})""",
     "flat_ts_millis": f"""SELECT o_orderkey, flat, epoch_ms(try_strptime(NULLIF(flat, '0'), '%Y%m%d%H%M%S')) AS millis
 FROM ({fx.FLAT_DATES_SQL})""",
 }
+
+ORACLE |= {
+    "loaded_sorted_files": f"""SELECT count(*) AS cells, CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS breaks
+FROM (SELECT DISTINCT row, family, qualifier, ts FROM ({ORACLE["follow_cells"]}))""",
+    "collapsed_cells": f"""SELECT CAST(l_orderkey AS VARCHAR) AS row, 'l' AS family, l_returnflag AS qualifier, {TS} AS ts,
+  max(CAST(l_linenumber AS VARCHAR)) AS value FROM lineitem GROUP BY 1, 2, 3""",
+    "float_values": """SELECT CAST(p_partkey AS VARCHAR) AS row, CASE WHEN p_partkey % 7 = 0 THEN 'nan' ELSE format('{:,.2f}', -p_retailprice) END AS d,
+  CASE WHEN p_partkey % 7 = 0 THEN 'nan' ELSE format('{:,.2f}', CAST(-p_retailprice AS FLOAT)) END AS f,
+  CAST(16 AS BIGINT) AS d_digits, CAST(8 AS BIGINT) AS f_digits FROM part WHERE p_partkey % 11 > 0""",
+    "dynamic_columns": f"""SELECT CAST(p_partkey AS VARCHAR) AS row, p_brand AS family, 'q.' || p_size AS qualifier, {TS} AS ts, p_name AS value
+FROM part WHERE p_size % 9 > 0 AND p_size % 7 > 0""",
+    "sampled_partition": f"""WITH c AS ({ORACLE["sampled_cdf"]}), kc AS ({KEY_COUNTS})
+SELECT key, cnt, CASE WHEN strlen(key) < 4 OR cdf IS NULL THEN 0
+  ELSE least(CAST(trunc(CAST(round(cdf, 7) AS FLOAT) * CAST({q.PARTITIONS} AS FLOAT)) AS INTEGER), {q.PARTITIONS - 1}) END AS partition
+FROM kc LEFT JOIN c ON substr(key, 1, 3) = CAST(prefix AS VARCHAR)""",
+    "audit_key_file": f"""WITH k AS ({fx.AUDIT_KEYS_SQL}), listed AS (SELECT key FROM k UNION ALL SELECT '' FROM k WHERE key LIKE '%7'),
+w AS (SELECT key FROM (SELECT key, row_number() OVER (ORDER BY key) AS i FROM listed) WHERE i > {q.AUDIT_OFFSET} AND i <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT}),
+rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
+SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed FROM w LEFT JOIN rows r ON w.key = r.row""",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import flat_to_millis, row_json
@@ -13,7 +13,7 @@ from cellforge.operators import audit, cells, files, keyspace, relations, scan,
 from cellforge.schema import CDF_DIGITS
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
-from cellforge.sources.text import read_typed_tsv, write_lines
+from cellforge.sources.text import key_window, read_key_list, read_typed_tsv, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -249,6 +249,85 @@ def sorted_cells(spark, sf):
     return spark.read.parquet(path)
 
 
+def loaded_sorted_files(spark, sf):
+    """K2/O4 for a loader: follow lines -> cells -> sorted files; the cells in all files,
+    the neighbouring files that overlap and the rows out of order in their file."""
+    path = files.write_sorted_cells(follow_cells(spark, sf), shared_path(spark, "loaded_files"), _layout_parts(spark))
+    key = F.struct("row", "family", "qualifier", (-F.col("ts")).alias("nts"))
+    stored = spark.read.parquet(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"), key.alias("key")
+    )
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    per_file = stored.withColumn("breaks", (before >= F.col("key")).cast("long")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("cells"), F.sum("breaks").alias("breaks"), F.min("key").alias("first"), F.max("key").alias("last")
+    )
+    overlap = (F.lag("last").over(Window.orderBy("first")) >= F.col("first")).cast("long")  # one row for each file
+    return per_file.withColumn("overlap", overlap).agg(
+        F.sum("cells").alias("cells"), F.coalesce(F.sum("overlap"), F.lit(0)).alias("overlaps"),
+        F.coalesce(F.sum("breaks"), F.lit(0)).alias("breaks"),
+    )
+
+
+def collapsed_cells(spark, sf):
+    """A3: cells with true duplicates of a coordinate (row, family, qualifier, ts) in sorted
+    files, kept once."""
+    li = fx.table(spark, sf, "lineitem")
+    dup = li.select(
+        F.col("l_orderkey").cast("string").alias("row"), F.lit("l").alias("family"), F.col("l_returnflag").alias("qualifier"),
+        F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("l_linenumber").cast("string").alias("value"),
+    )
+    return spark.read.parquet(files.write_sorted_cells(dup, shared_path(spark, "collapsed"), _layout_parts(spark)))
+
+
+def float_values(spark, sf):
+    """Retail prices as doubles and floats, every 7th NaN, every 11th NULL, stored
+    big-endian and loaded back, with the number of hex digits stored."""
+    part = fx.table(spark, sf, "part")
+    price = F.when(F.col("p_partkey") % 11 == 0, None).when(F.col("p_partkey") % 7 == 0, F.lit(float("nan"))).otherwise(-F.col("p_retailprice"))
+    rows = part.select(F.col("p_partkey").alias("key"), price.cast("double").alias("d"), price.cast("float").alias("f"))
+    stored = tuples.store_rows(rows, "v:d v:f", caster="binary", now=fx.LOAD_TS)
+    back = scan.scan_typed(stored, "v:d v:f", ["double", "float"], caster="binary")
+    raw = scan.scan_columns(stored, "v:d v:f")
+    shown = raw.select("row", F.octet_length("d").alias("d_bytes"), F.octet_length("f").alias("f_bytes"))
+    named = lambda c: F.when(F.isnan(c), F.lit("nan")).otherwise(F.format_number(c, 2))
+    return back.join(shown, "row").select(
+        "row", named(F.col("d")).alias("d"), named(F.col("f")).alias("f"),
+        (2 * F.col("d_bytes")).cast("long").alias("d_digits"), (2 * F.col("f_bytes")).cast("long").alias("f_digits"),
+    )
+
+
+def dynamic_columns(spark, sf):
+    """P10 with family and qualifier from the data; records without one are no cells."""
+    part = fx.table(spark, sf, "part")
+    rows = part.select(
+        F.col("p_partkey").alias("key"), F.when(F.col("p_size") % 9 > 0, F.col("p_brand")).alias("family"),
+        F.when(F.col("p_size") % 7 > 0, F.concat(F.lit("q."), F.col("p_size").cast("string"))).alias("qualifier"), F.col("p_name").alias("value"),
+    )
+    return tuples.store_dynamic(rows, now=fx.LOAD_TS)
+
+
+def sampled_partition(spark, sf):
+    """Partition of every order key among 360 by the sampled CDF (the join)."""
+    counts = _key_counts(spark, sf)
+    cdf = keyspace.sampled_cdf(counts, "key", "cnt", chars=PREFIX_CHARS)
+    return keyspace.assign_partition(counts, "key", PARTITIONS, cdf=cdf, chars=PREFIX_CHARS)
+
+
+AUDIT_OFFSET, AUDIT_LIMIT = 3, 40
+
+
+def audit_key_file(spark, sf):
+    """A key file with blank lines -> window of keys -> audit -> TSV, read back."""
+    keys = fx.audit_keys(spark, sf)
+    padded = keys.select(F.concat(F.lit(" "), F.col("key"), F.lit("\t")).alias("line")).unionByName(
+        keys.where("key like '%7'").select(F.lit("  ").alias("line"))
+    )
+    path = write_lines(padded, shared_path(spark, "key_file"))
+    window = key_window(read_key_list(spark, path), AUDIT_OFFSET, AUDIT_LIMIT)
+    out = audit.write_audit(audit.lookup_audit(window, table_cells(spark, sf)), shared_path(spark, "audit"))
+    return read_typed_tsv(spark, out, "n bigint, key string, missed int").select("n", F.coalesce("key", F.lit("")).alias("key"), "missed")
+
+
 # --- key space ----------------------------------------------------------------------
 
 
@@ -262,19 +341,15 @@ def sampled_cdf(spark, sf):
 
 
 def benford_cdf(spark, sf):
-    """Benford CDF of the prefix grid, with the number of order keys per prefix."""
-    lo, hi = 10 ** (PREFIX_CHARS - 1), 10**PREFIX_CHARS - 1
+    """Benford CDF of the prefix grid, with the number of order keys per prefix; keys
+    off the grid are counted in the NULL row."""
     prefix = F.substring("key", 1, PREFIX_CHARS)
-    observed = (
-        _key_counts(spark, sf)
-        .where(prefix.rlike(f"^[1-9][0-9]{{{PREFIX_CHARS - 1}}}$"))
-        .groupBy(prefix.cast("int").alias("prefix"))
-        .agg(F.count(F.lit(1)).alias("keys"))
-    )
+    on_grid = prefix.rlike(f"^[1-9][0-9]{{{PREFIX_CHARS - 1}}}$")
+    observed = _key_counts(spark, sf).groupBy(F.when(on_grid, prefix).cast("int").alias("prefix")).agg(F.count(F.lit(1)).alias("keys"))
     theory = keyspace.benford_cdf(spark, PREFIX_CHARS)
-    return theory.join(F.broadcast(observed), "prefix", "left").select(
+    return theory.join(observed, "prefix", "full_outer").select(
         "prefix", F.round("cdf", CDF_DIGITS).alias("cdf"), F.coalesce("keys", F.lit(0)).alias("keys")
-    ).where(F.col("prefix").between(lo, hi))
+    )
 
 
 def assign_partition(spark, sf):
@@ -334,6 +409,12 @@ QUERIES: dict[str, Query] = {
     "merged_delta_cells": merged_delta_cells,
     "sorted_cells": sorted_cells,
     "scan_region_files": scan_region_files,
+    "loaded_sorted_files": loaded_sorted_files,
+    "collapsed_cells": collapsed_cells,
+    "float_values": float_values,
+    "dynamic_columns": dynamic_columns,
+    "sampled_partition": sampled_partition,
+    "audit_key_file": audit_key_file,
     "sampled_cdf": sampled_cdf,
     "benford_cdf": benford_cdf,
     "assign_partition": assign_partition,

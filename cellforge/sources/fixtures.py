@@ -196,7 +196,10 @@ select cast(c_custkey*2+1 as varchar) as key from customer"""
 
 
 def typed_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``name<TAB>nationkey`` lines; the number is ``bad`` for every 5th customer."""
+    """``name<TAB>nationkey`` lines; the number is ``bad`` for every 5th customer, and every
+    25th also has a blank line, the one after it a line of one tab."""
     c = table(spark, sf_dir, "customer")
     num = F.when(F.col("c_custkey") % 5 == 0, F.lit("bad")).otherwise(F.col("c_nationkey").cast("string"))
-    return c.select(F.concat_ws("\t", F.col("c_name"), num).alias("line"))
+    blank = c.where("c_custkey % 25 = 0").select(F.lit("").alias("line"))
+    tabs = c.where("c_custkey % 25 = 1").select(F.lit("\t").alias("line"))
+    return c.select(F.concat_ws("\t", F.col("c_name"), num).alias("line")).unionByName(blank).unionByName(tabs)

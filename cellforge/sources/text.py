@@ -19,38 +19,38 @@ def write_lines(lines: DataFrame, path: str, line_col: str = "line", mode: str =
 
 def read_typed_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
     """Positional, typed load of tab-separated text: fields are named and cast by the
-    schema; a value that does not parse becomes NULL; no quoting, no header."""
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("header", "false")
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    schema; an empty field, a missing one or one that does not parse is NULL; no quoting,
+    no header.  Every line is a record, blank and tab-only ones too."""
+    fields = (spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema).fields
+    parts = read_lines(spark, path).select(F.split("line", "\t", -1).alias("f"))
+    typed = [F.nullif(F.get("f", i), F.lit("")).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    return parts.select(*typed)
 
 
 def read_key_list(spark: SparkSession, path: str | list[str], with_position: bool = False) -> DataFrame:
-    """``key string``: one key per line, surrounding whitespace (tabs too) stripped,
-    blank lines skipped.  ``with_position`` adds ``pos``, increasing in file order
-    (splits of a file are read in offset order), for windows in file order."""
-    lines = read_lines(spark, path)
+    """``key string``: one key per line, surrounding whitespace (tabs too) stripped; a
+    blank line is the empty key, which no table has.  ``with_position`` adds ``pos``, a
+    struct that orders the lines by file, then by their place in it."""
+    lines = spark.read.text(path).withColumnRenamed("value", "line")
     cols = [F.regexp_replace("line", r"^[\s\x00]+|[\s\x00]+$", "").alias("key")]
     if with_position:
-        cols.append(F.monotonically_increasing_id().alias("pos"))
-    keys = lines.select(*cols)
-    return keys.where(F.col("key") != "")
+        file = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+        cols.append(F.struct(file[0].alias("file"), file[1].alias("start"), F.monotonically_increasing_id().alias("line")).alias("pos"))
+    return lines.select(*cols)
 
 
 def key_window(
     keys: DataFrame, offset: int = 0, limit: int | None = None, key_col: str = "key", order_col: str | None = None
 ) -> DataFrame:
     """The keys from place ``offset`` on, at most ``limit`` of them, in key order or in
-    ``order_col`` order (``pos`` from ``read_key_list(with_position=True)`` is file order)."""
-    ordered = keys.orderBy(order_col or key_col)
-    if offset:
-        ordered = ordered.offset(offset)
-    return ordered.limit(limit) if limit is not None else ordered
+    ``order_col`` order (``pos`` from ``read_key_list(with_position=True)`` is file order).
+    The keys are numbered by ranges, so no task gets the whole list."""
+    from cellforge.operators.audit import with_row_number
+
+    numbered = with_row_number(keys, [order_col or key_col], "_n").where(F.col("_n") > offset)
+    if limit is not None:
+        numbered = numbered.where(F.col("_n") <= offset + limit)
+    return numbered.drop("_n")
 
 
 def read_sample_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:

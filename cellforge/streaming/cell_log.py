@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cellforge.operators.rejects import count_rejects
-from cellforge.operators.tables import new_table_name, save_cell_table
+from cellforge.operators.tables import new_table_name, load_cell_table
 from cellforge.operators.versions import latest_cells
 from cellforge.schema import CELL_COLUMNS
 from cellforge.session import ensure_checkpoint_dir
@@ -91,4 +91,4 @@ def read_cell_log(spark: SparkSession, log_path: str) -> DataFrame:
 
 def compact_cell_log(spark: SparkSession, log_path: str, buckets: int, name: str | None = None) -> str:
     """Writes the merged state of the log as a bucketed snapshot table; returns its name."""
-    return save_cell_table(read_cell_log(spark, log_path), name or new_table_name("compacted"), buckets)
+    return load_cell_table(spark.read.parquet(log_path), buckets, name or new_table_name("compacted"))

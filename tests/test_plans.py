@@ -1,5 +1,6 @@
 """Plan shapes: where the shuffles are, and that the expensive parts run once."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellforge.operators import files, keyspace, scan, tables, versions
@@ -42,25 +43,43 @@ def test_region_limit_is_partial_before_the_shuffle(spark):
     assert count(df, "WindowGroupLimit") == 2
 
 
-def test_sorted_files_one_range_exchange(spark):
-    ev = fx.event_cells(spark, SF_SMALL).unionByName(fx.prop_cells(spark, SF_SMALL))
-    assert shuffles(files.sorted_cell_partitions(ev, 4)) == ["rangepartitioning"]
-    assert shuffles(files.sorted_cell_partitions(ev, 4, whole_rows=True)) == ["rangepartitioning"]
+LOADED = ["bulk_cells", "table_cells", "composite_key_cells", "file_cells", "edge_cells", "follow_cells", "mention_cells",
+          "store_row_cells", "store_dynamic_cells", "store_bag_cells"]
 
 
-def test_upsert_never_shuffles_the_snapshot(spark):
-    ev = fx.event_cells(spark, SF_SMALL).unionByName(fx.prop_cells(spark, SF_SMALL))
-    base = tables.save_cell_table(versions.latest_cells(ev.where("ts < 1705363200000")), tables.new_table_name("t"), 4)
-    plan = tables.upsert_plan(spark.table(base), ev.where("ts >= 1705363200000"), 4)
-    text = physical_plan(plan)
-    assert "Bucketed: true" in text
-    # both exchanges belong to the incoming side: salted partial merge, then bucket alignment
-    assert len(shuffles(plan)) == 2
-    lines = text.splitlines()
-    scan_at = next(i for i, line in enumerate(lines) if base in line)
-    # no Exchange between the snapshot scan and the merge above it
-    merge_at = max(i for i, line in enumerate(lines[:scan_at]) if "Union" in line)
-    assert not any("Exchange" in line for line in lines[merge_at:scan_at + 1])
+@pytest.mark.parametrize("name", LOADED)
+def test_sorted_files_one_range_exchange(spark, name):
+    cells = Q.QUERIES[name](spark, SF_SMALL)
+    assert shuffles(files.sorted_cell_partitions(cells, 4)) == ["rangepartitioning"]
+    assert shuffles(files.sorted_cell_partitions(cells, 4, whole_rows=True)) == ["rangepartitioning"]
+
+
+@pytest.mark.parametrize("name", LOADED)
+def test_upsert_never_shuffles_the_snapshot(spark, name):
+    cells = Q.QUERIES[name](spark, SF_SMALL)
+    base = tables.load_cell_table(cells, 4)
+    plan = tables.upsert_plan(spark.table(base), cells, 4)
+    # both exchanges belong to the incoming side: the merge by coordinate, then the buckets
+    assert len(shuffles(plan)) == 2 and not _above_scan(plan, base, "Exchange")
+    assert len([f for f in spark.table(base).inputFiles()]) <= 4  # a file a bucket
+    assert sorted(map(tuple, plan.collect())) == sorted(map(tuple, versions.latest_cells(cells).collect()))
+    tables.drop_cell_table(spark, base)
+
+
+def _above_scan(df, table, node):
+    """Plan lines that name ``node`` between the scan of ``table`` and the join or union above."""
+    lines = physical_plan(df).splitlines()
+    at = next(i for i, line in enumerate(lines) if table in line)
+    top = max(i for i, line in enumerate(lines[:at]) if "Union" in line or "ShuffledHashJoin" in line)
+    return [line for line in lines[top : at + 1] if node in line]
+
+
+def test_snapshot_is_registered_again_by_path(spark):
+    cells = Q.QUERIES["edge_cells"](spark, SF_SMALL)
+    base = tables.load_cell_table(cells, 4)
+    again = tables.register_cell_table(spark, tables.new_table_name(), tables.table_path(spark, base), 4)
+    assert sorted(map(tuple, spark.table(again).collect())) == sorted(map(tuple, spark.table(base).collect()))
+    assert not _above_scan(tables.upsert_plan(spark.table(again), cells, 4), again, "Exchange")
 
 
 def test_partitioner_lookup_is_broadcast_or_closed_form(spark):
@@ -112,11 +131,7 @@ def test_merged_read_of_snapshot_and_deltas(spark):
     d2 = tables.append_delta(ev.where("ts >= 1706000000000"))
     merged = tables.read_merged(spark, base, [d1, d2], 4)
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, versions.latest_cells(ev).collect()))
-    text = physical_plan(merged)
-    assert "Bucketed: true" in text
-    lines = text.splitlines()
-    scan_at = next(i for i, line in enumerate(lines) if base in line)
-    merge_at = max(i for i, line in enumerate(lines[:scan_at]) if "Union" in line)
-    assert not any("Exchange" in line for line in lines[merge_at:scan_at + 1])
+    assert "Bucketed: true" in physical_plan(merged)
+    assert not _above_scan(merged, base, "Exchange") and not _above_scan(merged, base, "Sort ")
     compacted = tables.compact(spark, base, [d1, d2], 4)
     assert sorted(map(tuple, spark.table(compacted).collect())) == sorted(map(tuple, merged.collect()))
