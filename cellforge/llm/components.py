@@ -1,8 +1,8 @@
 """Connected components by alternating large and small stars, on DataFrames.
 
 Every round is written to the shared folder.  No task gets a component: nodes meet their
-neighbours' minimum by a partial aggregate, and the join back is one that Spark can split
-at a hub.
+neighbours' minimum by a partial aggregate, which is written, so that both sides of the
+join back are plain exchanges that Spark can split at a hub.
 """
 
 from __future__ import annotations
@@ -16,14 +16,14 @@ from cellforge.llm.tables import stash
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each larger neighbour of a node is linked to the least of node and neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = stash(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "star-least")
     return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stash(down.groupBy("a").agg(F.min("b").alias("m")), "star-least")
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a != b")
 

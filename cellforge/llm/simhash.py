@@ -185,7 +185,7 @@ def near_duplicates(
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     named = stash(named, "simhash-roots")
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = stash(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-least")  # a join that Spark can split
     known = stash(named.select("fingerprint", "root").join(least, "root"), "simhash-components")
     return prints.join(known, "fingerprint").select(F.col("key").alias(key), "text_hash", "fingerprint", "root", "component_id")
 
