@@ -231,4 +231,12 @@ FROM kc LEFT JOIN c ON substr(key, 1, 3) = CAST(prefix AS VARCHAR)""",
 w AS (SELECT key FROM (SELECT key, row_number() OVER (ORDER BY key) AS i FROM listed) WHERE i > {q.AUDIT_OFFSET} AND i <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT}),
 rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
 SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed FROM w LEFT JOIN rows r ON w.key = r.row""",
+    "placed_partition_rows": "",
+    "sampled_cdf_file": ORACLE["sampled_cdf"],
+    "scan_bounds": f"""SELECT * FROM ({ORACLE["scan_columns"]}) WHERE row > '11' AND row >= '110' AND row < '7' AND row <= '65'""",
+    "scan_empty_cells": """SELECT CAST(p_partkey AS VARCHAR) AS row, CASE WHEN p_partkey % 3 = 0 THEN '1' ELSE p_brand END AS dotted,
+  CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS named_row,
+  CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS again FROM part WHERE p_partkey % 5 > 0 OR p_size > 10""",
 }
+ORACLE["placed_partition_rows"] = f"""SELECT partition, count(*) AS n, CAST(0 AS BIGINT) AS misplaced
+FROM (SELECT DISTINCT key, partition FROM ({ORACLE["sampled_partition"]})) GROUP BY partition"""

@@ -13,7 +13,7 @@ from cellforge.operators import audit, cells, files, keyspace, relations, scan,
 from cellforge.schema import CDF_DIGITS
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
-from cellforge.sources.text import key_window, read_key_list, read_typed_tsv, write_lines
+from cellforge.sources.text import key_window, read_key_list, read_sample_counts, read_typed_tsv, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +185,29 @@ def scan_range(spark, sf):
     return scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS, gte="12", lt="5")
 
 
+def scan_bounds(spark, sf):
+    """The scan limited by all four bounds at once."""
+    return scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS, gt="11", gte="110", lt="7", lte="65")
+
+
+def scan_empty_cells(spark, sf):
+    """S3: empty cells read as "1", with a dotted qualifier, one named ``row`` and one asked
+    for twice; cells of every part."""
+    part = fx.table(spark, sf, "part")
+    cells_ = None
+    for qualifier, value in (
+        ("a.b", F.when(F.col("p_partkey") % 3 == 0, F.lit("")).otherwise(F.col("p_brand"))),
+        ("row", F.when(F.col("p_partkey") % 4 == 0, F.lit("")).otherwise(F.col("p_size").cast("string"))),
+    ):
+        cell = part.where("p_partkey % 5 > 0 or p_size > 10").select(
+            F.col("p_partkey").cast("string").alias("row"), F.lit("f").alias("family"), F.lit(qualifier).alias("qualifier"),
+            F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), value.alias("value"),
+        )
+        cells_ = cell if cells_ is None else cells_.unionByName(cell)
+    found = scan.scan_columns(cells_, "f:a.b f:row f:row")
+    return found.toDF("row", "dotted", "named_row", "again")
+
+
 def scan_region_limit(spark, sf):
     """At most five rows per key region."""
     rows = scan.scan_columns(_event_table(spark, sf), SCAN_COLUMNS)
@@ -231,8 +254,11 @@ REGION_SCAN = ("300", "700")
 
 def scan_region_files(spark, sf):
     """Order-key cells written as region directories (region starts from the keys'
-    sampled distribution), then a key-range scan that prunes whole regions."""
-    kc = _key_counts(spark, sf)
+    sampled distribution), then a key-range scan that prunes whole regions.  The counts
+    are written once, for the sample and for the files."""
+    counted = shared_path(spark, "key_counts")
+    _key_counts(spark, sf).write.parquet(counted)
+    kc = spark.read.parquet(counted)
     cells_ = kc.select(
         F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
         F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"),
@@ -249,6 +275,22 @@ def sorted_cells(spark, sf):
     return spark.read.parquet(path)
 
 
+def placed_partition_rows(spark, sf):
+    """Order-key cells in files placed by the sampled CDF, read back: the rows of each
+    partition's file, and those that the partitioner would have put elsewhere."""
+    kc = _key_counts(spark, sf)
+    cells_ = kc.select(
+        F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
+        F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"),
+    )
+    cdf = keyspace.sampled_cdf(kc, "key", "cnt", chars=PREFIX_CHARS)
+    path = files.write_partitioned_cells(cells_, shared_path(spark, "placed"), PARTITIONS, cdf, PREFIX_CHARS)
+    stored = spark.read.parquet(path).select("row", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file"))
+    told = keyspace.assign_partition(stored, "row", PARTITIONS, cdf=cdf, chars=PREFIX_CHARS)
+    wrong = F.sum((F.col("file") != F.col("partition")).cast("long")).alias("misplaced")
+    return told.groupBy(F.col("file").alias("partition")).agg(F.count(F.lit(1)).alias("n"), wrong)
+
+
 def loaded_sorted_files(spark, sf):
     """K2/O4 for a loader: follow lines -> cells -> sorted files; the cells in all files,
     the neighbouring files that overlap and the rows out of order in their file."""
@@ -340,6 +382,13 @@ def sampled_cdf(spark, sf):
     return keyspace.sampled_cdf(_key_counts(spark, sf), "key", "cnt", chars=PREFIX_CHARS)
 
 
+def sampled_cdf_file(spark, sf):
+    """The sampled CDF from a TSV file of (key, count) samples."""
+    lines = _key_counts(spark, sf).select(F.concat_ws("\t", "key", F.col("cnt").cast("string")).alias("line"))
+    path = write_lines(lines, shared_path(spark, "samples"))
+    return keyspace.sampled_cdf(read_sample_counts(spark, path), "key", "cnt", chars=PREFIX_CHARS)
+
+
 def benford_cdf(spark, sf):
     """Benford CDF of the prefix grid, with the number of order keys per prefix; keys
     off the grid are counted in the NULL row."""
@@ -415,6 +464,10 @@ QUERIES: dict[str, Query] = {
     "dynamic_columns": dynamic_columns,
     "sampled_partition": sampled_partition,
     "audit_key_file": audit_key_file,
+    "placed_partition_rows": placed_partition_rows,
+    "sampled_cdf_file": sampled_cdf_file,
+    "scan_bounds": scan_bounds,
+    "scan_empty_cells": scan_empty_cells,
     "sampled_cdf": sampled_cdf,
     "benford_cdf": benford_cdf,
     "assign_partition": assign_partition,
