@@ -1,9 +1,9 @@
 """Quality rules by weak supervision.
 
 Each rule looks at a document's counts and votes good (1), bad (-1) or abstains (0).
-Expectation-maximisation estimates the accuracy of every rule from how the votes agree
-over all documents: the chance that a vote is right, given that the rule votes.  A
-document is kept by its posterior probability of being good, not by passing every rule.
+Expectation-maximisation estimates the accuracies of every rule from how the votes agree
+over all documents: the chances of its votes on good and on bad documents.  A document
+is kept by its posterior probability of being good, not by passing every rule.
 
 EM needs the votes only as counts of distinct vote patterns, at most 3**rules rows, which
 Spark counts over all documents.
@@ -64,14 +64,16 @@ class Rule:
 
 
 # The conditions use the columns COUNTS; thresholds in the manner of published web filters.
+# Rules that look for one defect abstain where they do not find it.
+NEVER = "false"
 RULES = (
     Rule("length", "n_words >= 20 AND n_words <= 100000", "n_words < 8"),
-    Rule("word_length", "word_chars BETWEEN 3 * n_words AND 10 * n_words", "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
-    Rule("symbols", "100 * n_symbols <= n_words", "10 * n_symbols > n_words"),
-    Rule("duplicate_lines", "n_dup_lines = 0", "10 * n_dup_lines > 3 * n_lines"),
-    Rule("repetition", "100 * n_repeat_words <= 5 * n_words", "100 * n_repeat_words > 20 * n_words"),
-    Rule("capitals", "5 * n_upper <= n_letters", "2 * n_upper > n_letters"),
-    Rule("letters", "10 * n_letters >= 6 * word_chars", "10 * n_letters < 5 * word_chars"),
+    Rule("word_length", NEVER, "word_chars < 2 * n_words OR word_chars > 14 * n_words"),
+    Rule("symbols", NEVER, "10 * n_symbols > n_words"),
+    Rule("duplicate_lines", NEVER, "10 * n_dup_lines > 3 * n_lines"),
+    Rule("repetition", NEVER, "100 * n_repeat_words > 20 * n_words"),
+    Rule("capitals", NEVER, "2 * n_upper > n_letters"),
+    Rule("letters", NEVER, "10 * n_letters < 5 * word_chars"),
     Rule("endings", "2 * n_ended >= n_lines AND n_lines > 0", "10 * n_ended < n_lines"),
 )
 
@@ -101,37 +103,64 @@ def votes(rules=RULES) -> Column:
 
 @dataclass(frozen=True)
 class LabelModel:
+    """``says_good`` and ``says_bad``: for each rule, the chance of that vote on a good and
+    on a bad document.  A rule that abstains tells nothing."""
+
     prior: float
-    accuracy: tuple[float, ...]
+    says_good: tuple[tuple[float, float], ...]
+    says_bad: tuple[tuple[float, float], ...]
+
+    def evidence(self) -> np.ndarray:
+        """Log likelihood ratio of good to bad for a bad and a good vote of each rule."""
+        return np.array([[np.log(b[0] / b[1]), np.log(g[0] / g[1])] for g, b in zip(self.says_good, self.says_bad)])
+
+    def accuracy(self) -> np.ndarray:
+        """The chance that a vote of each rule is right, given that it votes."""
+        g, b = np.array(self.says_good), np.array(self.says_bad)
+        right = self.prior * g[:, 0] + (1 - self.prior) * b[:, 1]
+        return right / (right + self.prior * b[:, 0] + (1 - self.prior) * g[:, 1])
 
     def posterior(self, vote: Column) -> Column:
         """Probability of good, from a vote array."""
         logit = F.lit(float(np.log(self.prior / (1 - self.prior))))
-        for j, a in enumerate(self.accuracy):
-            logit = logit + F.get(vote, j) * F.lit(float(np.log(a / (1 - a))))
+        for j, (bad, good) in enumerate(self.evidence()):
+            v = F.get(vote, j)
+            logit = logit + F.when(v > 0, float(good)).when(v < 0, float(bad)).otherwise(0.0)
         return 1.0 / (1.0 + F.exp(-logit))
 
 
-def fit_label_model(patterns: np.ndarray, weights: np.ndarray, rounds: int = 200, anchor: tuple[float, float] = (8.0, 2.0)) -> LabelModel:
-    """EM over distinct vote ``patterns`` (n x rules) with their document counts.  A Beta
-    prior (``anchor``, as right and wrong votes, in thousandths of the documents) keeps
-    "good" the side that the rules mean, and accuracies off 0 and 1."""
-    rules = patterns.shape[1]
+#: What is expected of a rule before any document: the chances of its (good, bad) votes on
+#: good and on bad documents; it counts for TRUST times as much as the documents.  So "good"
+#: stays the side that the rules mean, and a rule has to vote bad on many documents that
+#: nothing else speaks against before it is disbelieved.
+BEFORE_GOOD, BEFORE_BAD, TRUST = (0.6, 0.005), (0.5, 0.2), 1.0
+
+
+PRIOR = 0.8  # share of good documents, a parameter: with abstentions left out, votes do not tell it
+
+
+def fit_label_model(
+    patterns: np.ndarray, weights: np.ndarray, prior: float = PRIOR, trust: float = TRUST, rounds: int = 200
+) -> LabelModel:
+    """EM over distinct vote ``patterns`` (n x rules) with their document counts.  A rule that
+    votes alike on good and on bad documents says little by its vote.  The first guess of a
+    document is bad if any rule says so."""
     total = weights.sum()
-    right, wrong = (max(total / 1000.0, 1.0) * x for x in anchor)
-    accuracy, prior = np.full(rules, 0.8), 0.8
+    unit = max(trust * total, 1.0)
+    up, down = patterns > 0, patterns < 0
+    good, logit = np.where(down.any(axis=1), 0.1, 0.9), None
     for _ in range(rounds):
-        logit = np.log(prior / (1 - prior)) + patterns @ np.log(accuracy / (1 - accuracy))
-        good = 1.0 / (1.0 + np.exp(-logit))
-        agree = ((patterns > 0) * good[:, None] + (patterns < 0) * (1 - good)[:, None]) * weights[:, None]
-        voted = (patterns != 0) * weights[:, None]
-        new = np.clip((agree.sum(0) + right) / (voted.sum(0) + right + wrong), 0.55, 0.995)
-        p = np.clip((good @ weights + 0.8 * 10) / (total + 10), 0.05, 0.95)
-        moved = max(np.abs(new - accuracy).max(), abs(p - prior))
-        accuracy, prior = new, float(p)
-        if moved < 1e-9:
+        w, v = good * weights, (1 - good) * weights
+        up_good, down_good = ((w @ x + unit * p) / (w.sum() + unit) for x, p in zip((up, down), BEFORE_GOOD))
+        up_bad, down_bad = ((v @ x + unit * p) / (v.sum() + unit) for x, p in zip((up, down), BEFORE_BAD))
+        up_bad = np.minimum(up_bad, up_good)  # a good vote never speaks for bad, nor a bad one for good
+        down_bad = np.maximum(down_bad, down_good)
+        new = np.log(prior / (1 - prior)) + up @ np.log(up_good / up_bad) + down @ np.log(down_good / down_bad)
+        good = 1.0 / (1.0 + np.exp(-new))
+        if logit is not None and (not len(new) or np.abs(new - logit).max() < 1e-9):
             break
-    return LabelModel(prior, tuple(float(a) for a in accuracy))
+        logit = new
+    return LabelModel(prior, tuple(zip(up_good.tolist(), up_bad.tolist())), tuple(zip(down_good.tolist(), down_bad.tolist())))
 
 
 def label_model(voted: DataFrame, column: str = "votes", rules=RULES) -> LabelModel:

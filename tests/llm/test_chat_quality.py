@@ -98,8 +98,18 @@ def test_em_recovers_accuracies():
     right = rng.random((20_000, 4)) < accuracy
     votes = np.where(rng.random((20_000, 4)) < cover, np.where(right, 1, -1) * np.where(good, 1, -1)[:, None], 0)
     patterns, n = np.unique(votes, axis=0, return_counts=True)
-    model = quality.fit_label_model(patterns.astype(float), n.astype(float))
-    assert np.abs(np.array(model.accuracy) - accuracy).max() < 0.05 and abs(model.prior - 0.7) < 0.05
+    model = quality.fit_label_model(patterns.astype(float), n.astype(float), prior=0.7, trust=0.001)
+    assert np.abs(model.accuracy() - accuracy).max() < 0.08
+    assert np.abs(np.array([g[0] for g in model.says_good]) - accuracy * cover).max() < 0.08
+
+
+def test_a_defect_that_one_rule_sees_is_enough():
+    """Seven rules abstain, one votes bad on a tenth of the documents; on half, it is not believed."""
+    patterns = np.array([[0.0] * 8, [0.0] * 7 + [-1.0]])
+    for often, believed in ((0.1, True), (0.5, False)):
+        model = quality.fit_label_model(patterns, np.array([1 - often, often]) * 10_000)
+        odds = [np.log(model.prior / (1 - model.prior)) + (p < 0) @ model.evidence()[:, 0] for p in patterns]
+        assert odds[0] > 0 and (odds[1] < 0) == believed
 
 
 def test_rules_on_edges(edges, clashing, nothing):
