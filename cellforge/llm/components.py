@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellforge.llm.tables import stash
+from cellforge.llm.tables import stash, unstash
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,4 +39,6 @@ def components(edges: DataFrame) -> DataFrame:
             return kept.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = tuple(state)
         large = stash(_large_star(kept).distinct(), "large-star")
-        kept = stash(_small_star(large).distinct(), "small-star")
+        last, kept = kept, stash(_small_star(large).distinct(), "small-star")
+        unstash(last)
+        unstash(large)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellforge.llm import containment, hilbert, mixing, ordinal, simhash
-from cellforge.llm.tables import stash, table, word_count
+from cellforge.llm.tables import stash, table, unstash, word_count
 
 SHARDS = 24
 SHARD_DIMS = ["source", "lang", "n_chars", "doc_id"]
@@ -75,8 +75,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and read again; what
+    the next stage has read is deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stash(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            unstash(before)
+        before = docs
     return docs

@@ -162,6 +162,12 @@ def test_pipeline_stages(spark):
             assert len(after) == len(before) and sizes.max() - sizes.min() <= 1
 
 
+def test_pipeline_run_is_the_stages(spark):
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    assert set(out.columns) >= {"doc_id", "text", "shard", "slot"} and out.count() > 0
+    assert QUERIES["op2_hilbert_sharding"](spark, SF_SMALL).count() >= out.select("doc_id").distinct().count()
+
+
 def test_pipeline_edges(spark, clashing, nothing):
     for frame in (clashing, nothing):
         docs = frame
