@@ -35,7 +35,7 @@ from cellforge.llm.tables import ranked, stash, unstash
 from cellforge.llm.trie import Trie, dequantise
 
 MU = 100.0
-CHUNK = 2_000_000  # tokens of a chunk, but for its last document
+CHUNK = 2_500_000  # tokens of a chunk, but for its last document
 SHARD = 2_000_000  # training and lookup tokens per shard, on average
 SPREAD = 8  # a context of over SHARD / SPREAD occurrences is spread over shards
 END, START, UNKNOWN = 0, 1, -1  # ids; words have 2 and up

@@ -63,7 +63,7 @@ def brute_scores(rows, mu):
     return out
 
 
-@pytest.mark.parametrize("chunk,shard", [(2_000_000, 2_000_000), (300, 400)])
+@pytest.mark.parametrize("chunk,shard", [(2_500_000, 2_000_000), (300, 400)])
 def test_scores_by_brute_force(spark, clashing, monkeypatch, chunk, shard):
     monkeypatch.setattr(lm, "CHUNK", chunk)
     monkeypatch.setattr(lm, "SHARD", shard)
