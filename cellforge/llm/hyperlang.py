@@ -18,7 +18,6 @@ everything is ``und``; repeated rows teach and are predicted each; whole texts a
 
 from __future__ import annotations
 
-import functools
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,10 +35,15 @@ KNOWN_GRAMS = 60_000  # vectors that a task makes at a time, and half of those t
 BLOCK_DOCS, BLOCK_CHARS = 64, 4_000_000  # documents whose vectors are made together
 
 
-@functools.cache
+_letters: list[np.ndarray] = []  # the table below, once made
+
+
 def letter_table() -> np.ndarray:
     """Whether a code point is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
+    if not _letters:
+        codes = range(sys.maxunicode + 1)
+        _letters.append(np.fromiter((chr(c).isalpha() for c in codes), dtype=bool, count=len(codes)))
+    return _letters[0]
 
 
 def letter_codes(text: str) -> np.ndarray:
