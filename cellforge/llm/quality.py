@@ -2,7 +2,7 @@
 
 Each rule looks at a document's counts and votes good (1), bad (-1) or abstains (0).
 Expectation-maximisation estimates the accuracies of every rule from how the votes agree
-over all documents: the chances of its votes on good and on bad documents.  A document
+over all documents: the chances of its votes on good documents and on each kind of bad ones.  A document
 is kept by its posterior probability of being good, not by passing every rule.
 
 EM needs the votes only as counts of distinct vote patterns, at most 3**rules rows, which
@@ -104,11 +104,14 @@ def votes(rules=RULES) -> Column:
 @dataclass(frozen=True)
 class LabelModel:
     """``says_good`` and ``says_bad``: for each rule, the chance of that vote on a good and
-    on a bad document.  A rule that abstains tells nothing."""
+    on a bad document.  ``shares`` and ``chances``: good documents, then each kind of bad
+    ones; their share, and for each rule its chances to vote bad, abstain and vote good."""
 
     prior: float
     says_good: tuple[tuple[float, float], ...]
     says_bad: tuple[tuple[float, float], ...]
+    shares: tuple[float, ...]
+    chances: tuple[tuple[tuple[float, float, float], ...], ...]
 
     def evidence(self) -> np.ndarray:
         """Log likelihood ratio of good to bad for a bad and a good vote of each rule."""
@@ -122,45 +125,71 @@ class LabelModel:
 
     def posterior(self, vote: Column) -> Column:
         """Probability of good, from a vote array."""
-        logit = F.lit(float(np.log(self.prior / (1 - self.prior))))
-        for j, (bad, good) in enumerate(self.evidence()):
-            v = F.get(vote, j)
-            logit = logit + F.when(v > 0, float(good)).when(v < 0, float(bad)).otherwise(0.0)
-        return 1.0 / (1.0 + F.exp(-logit))
+        shares, chances = np.log(self.shares), np.log(self.chances)
+        odds = F.lit(1.0)
+        for share, chance in zip(shares[1:] - shares[0], chances[1:] - chances[0]):
+            logit = F.lit(float(share))
+            for j, (bad, none, good) in enumerate(chance.tolist()):
+                v = F.get(vote, j)
+                logit = logit + F.when(v > 0, good).when(v < 0, bad).otherwise(none)
+            odds = odds + F.exp(logit)
+        return 1.0 / odds
 
 
 #: What is expected of a rule before any document: the chances of its (good, bad) votes on
-#: good and on bad documents; it counts for TRUST times as much as the documents.  So "good"
-#: stays the side that the rules mean, and a rule has to vote bad on many documents that
-#: nothing else speaks against before it is disbelieved.
-BEFORE_GOOD, BEFORE_BAD, TRUST = (0.6, 0.005), (0.5, 0.2), 1.0
+#: good and on bad documents, and of the bad vote on the kind of document that it looks for.
+#: It counts for TRUST times as much as the documents, for LEAST documents at least: it
+#: settles what the votes leave open, alike at any size, and the votes outweigh it elsewhere.
+BEFORE_GOOD, BEFORE_BAD, BEFORE_OWN, TRUST, LEAST = (0.6, 0.005), (0.5, 0.2), 0.9, 0.01, 100.0
+NEVER_SEEN = 1e-9  # the chance of a good vote of a rule that has none
 
 
-PRIOR = 0.8  # share of good documents, a parameter: with abstentions left out, votes do not tell it
+PRIOR = 0.8  # least share of good documents, a parameter: the share itself is estimated
 
 
 def fit_label_model(
-    patterns: np.ndarray, weights: np.ndarray, prior: float = PRIOR, trust: float = TRUST, rounds: int = 200
+    patterns: np.ndarray, weights: np.ndarray, prior: float = PRIOR, trust: float = TRUST, rounds: int = 5000
 ) -> LabelModel:
-    """EM over distinct vote ``patterns`` (n x rules) with their document counts.  A rule that
-    votes alike on good and on bad documents says little by its vote.  The first guess of a
-    document is bad if any rule says so."""
-    total = weights.sum()
-    unit = max(trust * total, 1.0)
-    up, down = patterns > 0, patterns < 0
-    good, logit = np.where(down.any(axis=1), 0.1, 0.9), None
+    """EM over distinct vote ``patterns`` (n x rules) with their document counts.
+
+    Kinds of junk exclude each other, so one bad side with independent rules would take a
+    defect that one rule sees for a whim of that rule.  The bad side is a mixture: a kind
+    where any rule may vote bad, and one for each rule without good votes, which looks for
+    one defect.  Shares and chances are estimated.  Votes cannot tell false alarms of such a
+    rule from its kind; there the expected chance of false alarms decides: a rule that votes
+    alone more often has found a kind, one that does so more seldom is not believed alone."""
+    n, rules = patterns.shape
+    total, unit = weights.sum(), max(trust * weights.sum(), LEAST)
+    votes_ = np.stack([patterns < 0, patterns == 0, patterns > 0], axis=2).reshape(n, 3 * rules).astype(float)
+    lone = np.flatnonzero(~(patterns > 0).any(axis=0)) if n else np.arange(0)
+    before = np.empty((2 + len(lone), rules, 3))
+    for side, (up, down) in enumerate([BEFORE_GOOD, BEFORE_BAD] + [BEFORE_GOOD] * len(lone)):
+        before[side, :, 0], before[side, :, 2] = down, up
+    before[2 + np.arange(len(lone)), lone, 0] = BEFORE_OWN
+    before[:, lone, 2] = NEVER_SEEN
+    before[:, :, 1] = 1 - before[:, :, 0] - before[:, :, 2]
+    first = np.array([prior] + [(1 - prior) / (1 + len(lone))] * (1 + len(lone)))
+    shares, chances, good = first, before, None
+    counted = (unit * first)[:, None, None]
     for _ in range(rounds):
-        w, v = good * weights, (1 - good) * weights
-        up_good, down_good = ((w @ x + unit * p) / (w.sum() + unit) for x, p in zip((up, down), BEFORE_GOOD))
-        up_bad, down_bad = ((v @ x + unit * p) / (v.sum() + unit) for x, p in zip((up, down), BEFORE_BAD))
-        up_bad = np.minimum(up_bad, up_good)  # a good vote never speaks for bad, nor a bad one for good
-        down_bad = np.maximum(down_bad, down_good)
-        new = np.log(prior / (1 - prior)) + up @ np.log(up_good / up_bad) + down @ np.log(down_good / down_bad)
-        good = 1.0 / (1.0 + np.exp(-new))
-        if logit is not None and (not len(new) or np.abs(new - logit).max() < 1e-9):
+        score = np.log(shares) + votes_ @ np.log(chances).reshape(len(shares), -1).T
+        side = np.exp(score - score.max(axis=1, keepdims=True)) if n else score
+        side /= side.sum(axis=1, keepdims=True)
+        held = side * weights[:, None]
+        shares = (held.sum(axis=0) + first) / (total + 1)
+        if shares[0] < prior:
+            shares = np.append(prior, shares[1:] * (1 - prior) / shares[1:].sum())
+        chances = ((held.T @ votes_).reshape(before.shape) + counted * before) / (held.sum(axis=0)[:, None, None] + counted)
+        chances[1:, :, 0] = np.maximum(chances[1:, :, 0], chances[0, :, 0])  # a bad vote never speaks for good
+        chances[1:, :, 2] = np.minimum(chances[1:, :, 2], chances[0, :, 2])  # nor a good one for bad
+        chances[1:, :, 1] = np.maximum(1 - chances[1:, :, 0] - chances[1:, :, 2], NEVER_SEEN)
+        if not n or (good is not None and np.abs(side[:, 0] - good).max() < 1e-9):
             break
-        logit = new
-    return LabelModel(prior, tuple(zip(up_good.tolist(), up_bad.tolist())), tuple(zip(down_good.tolist(), down_bad.tolist())))
+        good = side[:, 0]
+    bad = np.tensordot(shares[1:] / shares[1:].sum(), chances[1:], 1)
+    up, down = (np.stack([chances[0, :, v], bad[:, v]], axis=1).tolist() for v in (2, 0))
+    whole = tuple(tuple(map(tuple, side)) for side in chances.tolist())
+    return LabelModel(float(shares[0]), tuple(map(tuple, up)), tuple(map(tuple, down)), tuple(shares.tolist()), whole)
 
 
 def label_model(voted: DataFrame, column: str = "votes", rules=RULES) -> LabelModel:

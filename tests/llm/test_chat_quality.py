@@ -112,6 +112,39 @@ def test_a_defect_that_one_rule_sees_is_enough():
         assert odds[0] > 0 and (odds[1] < 0) == believed
 
 
+def posteriors(spark, model, patterns):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(i, [int(x) for x in p]) for i, p in enumerate(patterns)], "i long, votes array<int>")
+    return [r[0] for r in rows.orderBy("i").select(model.posterior(F.col("votes"))).collect()]
+
+
+def test_em_changes_the_rule_of_no_bad_vote(spark):
+    """With the parameters of the query: a defect seen alone on 7 % of documents is junk, one on 0.1 %
+    is a false alarm, and too few words are outvoted by endings; alike at any size."""
+    clean, symbols, lines, short, worse = [1, 0, 0, 0, 0, 0, 0, 1], [1, 0, -1, 0, 0, 0, 0, 1], [1, 0, 0, -1, 0, 0, 0, 1], [-1, 0, 0, 0, 0, 0, 0, 1], [1, 0, 0, -1, -1, -1, 0, 1]
+    patterns, counts = np.array([clean, symbols, lines, short, worse], dtype=float), np.array([42_500, 3_300, 60, 430, 700], dtype=float)
+    for copies in (1, 100):
+        model = quality.fit_label_model(patterns, counts * copies)
+        assert [p >= 0.5 for p in posteriors(spark, model, patterns)] == [True, False, True, True, False]
+        assert abs(model.prior - (1 - 4_000 / counts.sum())) < 0.02  # the share is estimated
+
+
+def test_em_of_the_query_finds_the_kinds():
+    """Good documents with false alarms, and a kind of junk for each of two rules, drawn with known chances."""
+    rng = np.random.default_rng(5)
+    kind = rng.choice(3, 50_000, p=[0.85, 0.1, 0.05])
+    votes = np.zeros((50_000, 8))
+    votes[:, 0], votes[:, 7] = rng.random(50_000) < 0.9, rng.random(50_000) < 0.8
+    for rule, own in ((2, 1), (4, 2)):
+        votes[rng.random(50_000) < np.where(kind == own, 0.95, 0.005), rule] = -1
+    patterns, n = np.unique(votes, axis=0, return_counts=True)
+    model = quality.fit_label_model(patterns, n.astype(float))
+    assert abs(model.prior - 0.85) < 0.02
+    assert abs(model.says_good[0][0] - 0.9) < 0.01 and abs(model.says_good[7][0] - 0.8) < 0.01
+    assert all(abs(model.says_bad[r][0] - 0.005) < 0.01 for r in (2, 4))
+
+
 def test_rules_on_edges(edges, clashing, nothing):
     from pyspark.sql import functions as F
 
