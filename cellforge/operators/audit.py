@@ -56,9 +56,12 @@ def with_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "n", p
     )
 
 
-def lookup_audit(keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col: str = "row", numbered: bool = True) -> DataFrame:
-    """``(n, key, missed)`` for every listed key against the table's row keys."""
-    listed = keys.select(F.col(key_col).cast("string").alias("key"))
+def lookup_audit(
+    keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col: str = "row", numbered: bool = True, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(n, key, missed)`` for every listed key against the table's row keys.  Columns of
+    ``keys`` to ``keep`` follow ``key``; equal keys are numbered in their order."""
+    listed = keys.select(F.col(key_col).cast("string").alias("key"), *keep)
     # Only table rows that are listed matter: a semi join with the distinct keys first
     # lets Spark (or AQE at run time, by measured size) broadcast a short key list and
     # filter the table in its map tasks, so only matching rows reach the shuffle.
@@ -66,11 +69,11 @@ def lookup_audit(keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col
     # The row keys are deduplicated in the map tasks, so a long list costs a shuffle of keys.
     present = rows.select(F.col(row_col).alias("_row")).distinct().join(wanted, "_row", "left_semi")
     checked = listed.join(present, listed["key"] == present["_row"], "left").select(
-        "key", F.when(F.col("_row").isNull(), 1).otherwise(0).alias("missed")
+        "key", *keep, F.when(F.col("_row").isNull(), 1).otherwise(0).alias("missed")
     )
     if not numbered:
         return checked
-    return with_row_number(checked, ["key"]).select("n", "key", "missed")
+    return with_row_number(checked, ["key", *keep]).select("n", "key", *keep, "missed")
 
 
 def missed_keys(keys: DataFrame, rows: DataFrame, key_col: str = "key", row_col: str = "row") -> DataFrame:

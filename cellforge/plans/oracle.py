@@ -231,6 +231,11 @@ FROM kc LEFT JOIN c ON substr(key, 1, 3) = CAST(prefix AS VARCHAR)""",
 w AS (SELECT key FROM (SELECT key, row_number() OVER (ORDER BY key) AS i FROM listed) WHERE i > {q.AUDIT_OFFSET} AND i <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT}),
 rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
 SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed FROM w LEFT JOIN rows r ON w.key = r.row""",
+    "audit_key_list": f"""WITH listed AS (SELECT key, row_number() OVER (ORDER BY custkey, i) AS place FROM ({fx.AUDIT_KEY_LINES_SQL})),
+rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
+SELECT row_number() OVER (ORDER BY key, place) AS n, key, place,
+  CASE WHEN place > {q.AUDIT_OFFSET} AND place <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT} THEN 1 ELSE 0 END AS in_window,
+  CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed FROM listed LEFT JOIN rows r ON listed.key = r.row""",
     "placed_partition_rows": "",
     "sampled_cdf_file": ORACLE["sampled_cdf"],
     "scan_bounds": f"""SELECT * FROM ({ORACLE["scan_columns"]}) WHERE row > '11' AND row >= '110' AND row < '7' AND row <= '65'""",

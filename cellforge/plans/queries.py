@@ -13,7 +13,7 @@ from cellforge.operators import audit, cells, files, keyspace, relations, scan,
 from cellforge.schema import CDF_DIGITS
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
-from cellforge.sources.text import key_window, read_key_list, read_sample_counts, read_typed_tsv, write_lines
+from cellforge.sources.text import key_window, mark_window, read_key_list, read_sample_counts, read_typed_tsv, write_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -370,6 +370,17 @@ def audit_key_file(spark, sf):
     return read_typed_tsv(spark, out, "n bigint, key string, missed int").select("n", F.coalesce("key", F.lit("")).alias("key"), "missed")
 
 
+def audit_key_list(spark, sf):
+    """Every line of a key file with blank lines audited -> TSV, read back; its
+    place in file order and whether the window of that order holds it."""
+    path = write_lines(fx.audit_key_lines(spark, sf).orderBy("custkey", "i"), shared_path(spark, "key_list"))
+    listed = mark_window(read_key_list(spark, path, with_position=True), AUDIT_OFFSET, AUDIT_LIMIT, order_col="pos")
+    audited = audit.lookup_audit(listed, table_cells(spark, sf), keep=["place", "in_window"])
+    out = audit.write_audit(audited, shared_path(spark, "audit_list"))
+    back = read_typed_tsv(spark, out, "n bigint, key string, place bigint, in_window int, missed int")
+    return back.withColumn("key", F.coalesce("key", F.lit("")))
+
+
 # --- key space ----------------------------------------------------------------------
 
 
@@ -464,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "dynamic_columns": dynamic_columns,
     "sampled_partition": sampled_partition,
     "audit_key_file": audit_key_file,
+    "audit_key_list": audit_key_list,
     "placed_partition_rows": placed_partition_rows,
     "sampled_cdf_file": sampled_cdf_file,
     "scan_bounds": scan_bounds,

@@ -195,6 +195,30 @@ union all
 select cast(c_custkey*2+1 as varchar) as key from customer"""
 
 
+def audit_key_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line`` and its order ``custkey, i``: the listed keys of each customer, with a blank
+    line after one that ends in 7.  In this order, not in key order."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+
+    def lines(key):
+        padded = F.concat(F.lit(" "), key.cast("string"), F.lit("\t"))
+        return F.array(padded, F.when(key % 10 == 7, F.lit("  ")))
+
+    listed = c.select(k.alias("custkey"), F.posexplode(F.concat(lines(k), lines(k * 2 + 1))).alias("i", "line"))
+    return listed.where("line is not null")
+
+
+AUDIT_KEY_LINES_SQL = """
+select c_custkey as custkey, 0 as i, cast(c_custkey as varchar) as key from customer
+union all
+select c_custkey, 1, '' from customer where c_custkey%10=7
+union all
+select c_custkey, 2, cast(c_custkey*2+1 as varchar) from customer
+union all
+select c_custkey, 3, '' from customer where (c_custkey*2+1)%10=7"""
+
+
 def typed_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``name<TAB>nationkey`` lines; the number is ``bad`` for every 5th customer, and every
     25th also has a blank line, the one after it a line of one tab."""

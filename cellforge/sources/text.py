@@ -45,12 +45,22 @@ def key_window(
     """The keys from place ``offset`` on, at most ``limit`` of them, in key order or in
     ``order_col`` order (``pos`` from ``read_key_list(with_position=True)`` is file order).
     The keys are numbered by ranges, so no task gets the whole list."""
+    placed = mark_window(keys, offset, limit, key_col, order_col, "_n", "_in")
+    return placed.where(F.col("_in") == 1).drop("_n", "_in")
+
+
+def mark_window(
+    keys: DataFrame, offset: int = 0, limit: int | None = None, key_col: str = "key", order_col: str | None = None,
+    place: str = "place", name: str = "in_window",
+) -> DataFrame:
+    """All keys with their 1-based ``place`` in the order of ``key_window``, and 1 in ``name``
+    where that window holds them, else 0."""
     from cellforge.operators.audit import with_row_number
 
-    numbered = with_row_number(keys, [order_col or key_col], "_n").where(F.col("_n") > offset)
+    inside = F.col(place) > offset
     if limit is not None:
-        numbered = numbered.where(F.col("_n") <= offset + limit)
-    return numbered.drop("_n")
+        inside &= F.col(place) <= offset + limit
+    return with_row_number(keys, [order_col or key_col], place).withColumn(name, inside.cast("int"))
 
 
 def read_sample_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:

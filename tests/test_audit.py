@@ -50,6 +50,19 @@ def test_stamped_audit_sink(spark):
     assert all(re.fullmatch(r"\d\t\d{14}\t\d\t[01]", line) for line in lines)
 
 
+def test_audit_of_a_whole_key_file(spark):
+    """The audit reaches found, missed and blank keys, inside and outside the window of file order."""
+    from cellforge.plans.queries import AUDIT_LIMIT, QUERIES
+    from tests.conftest import SF_SMALL
+
+    got = QUERIES["audit_key_list"](spark, SF_SMALL).toPandas()
+    customers = spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+    assert (got["key"] != "").sum() == 2 * customers and sorted(got["place"]) == sorted(got["n"]) == list(range(1, len(got) + 1))
+    seen = got.groupby(["in_window", got["key"] == "", "missed"]).size()
+    assert set(seen.index) == {(w, b, m) for w in (0, 1) for b, m in ((False, 0), (False, 1), (True, 1))}
+    assert got["in_window"].sum() == AUDIT_LIMIT
+
+
 def test_key_window_in_file_order(spark):
     lines = spark.createDataFrame([("300\t",), ("100\t",), ("200\t",)], "line string").coalesce(1)
     path = write_lines(lines, shared_path(spark, "keys_file_order"))
