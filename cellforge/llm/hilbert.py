@@ -1,7 +1,7 @@
 """Sharding by Hilbert curve: quantise metadata dimensions, sort by curve index, cut runs.
 
-Each dimension is cut at its approximate quantiles into ``2**bits`` cells; strings take
-their first bytes as a number, so their order is kept.  The cells' Hilbert index orders
+Each dimension is cut at its approximate quantiles into ``2**bits`` cells; strings at the
+exact quantiles of their whole values, by bytes.  The cells' Hilbert index orders
 the rows, and equal runs of that order are the shards: rows of a shard are near in every
 dimension at once, so min/max statistics prune on any of them.
 
@@ -15,13 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellforge.llm.tables import ranked
+from cellforge.llm.tables import ranked, stash, unstash
 
-PREFIX_BYTES = 7  # of a string dimension: 56 bits, exact as a long
 ACCURACY = 10_000
 
 
@@ -51,21 +50,51 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def _number(df: DataFrame, dim: str) -> Column:
+def _number(df: DataFrame, dim: str) -> Column | None:
+    """The values of a dimension as doubles; None where they are strings."""
     kind, col = df.schema[dim].dataType, F.col(f"`{dim}`")
     if isinstance(kind, T.NumericType):
         return col.cast("double")
     if isinstance(kind, (T.DateType, T.TimestampType, T.BooleanType)):
         return col.cast("timestamp").cast("double") if not isinstance(kind, T.BooleanType) else col.cast("double")
-    head = F.rpad(F.hex(F.substring(col.cast("string").cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
-def quantile_bounds(df: DataFrame, dims: list[str], bits: int) -> dict[str, list[float]]:
+    return None
+
+
+def _string_bounds(df: DataFrame, dim: str, bits: int) -> list[bytes]:
+    """The values where the rows up to them reach another ``2**-bits`` of all.  Distinct values
+    are counted, sorted by ranges and summed up by partition; only bounds reach the driver."""
+    values = df.select(F.col(f"`{dim}`").cast("string").cast("binary").alias("v")).where("v is not null")
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ranged = stash(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    sums = ranged.groupBy("part").agg(F.sum("n").alias("held"))
+    sums = stash(sums.withColumn("before", F.coalesce(F.sum("held").over(before), F.lit(0))), "values-before")
+    total = sums.agg(F.sum("held")).first()[0] or 0
+    cells, up_to = 1 << bits, F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    summed = ranged.join(F.broadcast(sums.drop("held")), "part").withColumn("up_to", up_to)
+    reached = lambda c: F.floor(c * cells / F.lit(max(total, 1)))
+    met = summed.where(F.least(reached(F.col("up_to")), F.lit(cells - 1)) > reached(F.col("up_to") - F.col("n")))
+    bounds = sorted(bytes(r[0]) for r in met.select("v").collect())
+    unstash(ranged)
+    unstash(sums)
+    return bounds
+
+
+def quantile_bounds(df: DataFrame, dims: list[str], bits: int) -> dict[str, list]:
     """Per dimension, at most ``2**bits - 1`` increasing cell bounds (over all rows)."""
     at = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = df.agg(*[F.percentile_approx(_number(df, d), at, ACCURACY).alias(f"d{i}") for i, d in enumerate(dims)]).first()
-    return {d: sorted(set(row[i] or [])) for i, d in enumerate(dims)}
+    plain = [d for d in dims if _number(df, d) is not None]
+    bounds = {d: _string_bounds(df, d, bits) for d in dims if d not in plain}
+    if plain:
+        row = df.agg(*[F.percentile_approx(_number(df, d), at, ACCURACY).alias(f"d{i}") for i, d in enumerate(plain)]).first()
+        bounds |= {d: sorted(set(row[i] or [])) for i, d in enumerate(plain)}
+    return bounds
+
+
+def _cell(dim: str, bounds: list[bytes]) -> Column:
+    """How many of the bounds lie below a string; null for null."""
+    value = F.col(f"`{dim}`").cast("string").cast("binary")
+    return sum(((value > F.lit(b)).cast("int") for b in map(bytearray, bounds)), F.lit(0)).cast("double")
 
 
 def hilbert_curve(df: DataFrame, dims: list[str], bits: int = 4) -> DataFrame:
@@ -73,7 +102,8 @@ def hilbert_curve(df: DataFrame, dims: list[str], bits: int = 4) -> DataFrame:
     if not dims or bits * len(dims) > 62:
         raise ValueError("dims must be given, and bits * len(dims) fit in a long")
     bounds = quantile_bounds(df, dims, bits)
-    values = [F.coalesce(_number(df, d), F.lit(float("-inf"))) for d in dims]
+    values = [F.coalesce(_number(df, d) if _number(df, d) is not None else _cell(d, bounds[d]), F.lit(float("-inf"))) for d in dims]
+    bounds = {d: list(range(len(b))) if _number(df, d) is None else b for d, b in bounds.items()}
 
     @F.pandas_udf("long")
     def curve(frame: pd.DataFrame) -> pd.Series:

@@ -42,6 +42,19 @@ def test_equal_dimensions_make_tight_shards(spark):
     assert spread["x"] < 600 and spread["y"] < 600
 
 
+def test_strings_are_cut_by_their_whole_value(spark):
+    """Values that share their first bytes, one of them on a third of the rows, against exact quantiles."""
+    rng = random.Random(7)
+    for head in ("", "https://www.example.org/"):
+        values = [head + rng.choice("abcdeé") * rng.randrange(6) + str(rng.randrange(40)) for _ in range(900)]
+        values += [head + "c3"] * 450 + [None] * 30 + [""] * 20
+        out = hilbert.hilbert_curve(spark.createDataFrame([(v,) for v in values], "s string").repartition(5), ["s"], bits=3).collect()
+        known = sorted(v.encode() for v in values if v is not None)
+        bounds = sorted({known[-(-k * len(known) // 8) - 1] for k in range(1, 8)})
+        assert len(bounds) > 4
+        assert all(r["curve"] == (0 if r["s"] is None else sum(b < r["s"].encode() for b in bounds)) for r in out)
+
+
 def test_sharding_query_covers_all(spark):
     out = QUERIES["op2_hilbert_sharding"](spark, SF_SMALL).toPandas()
     assert len(out) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
