@@ -138,7 +138,8 @@ def place_by_partition(df: DataFrame, n: int, partition_col: str = "partition")
 def region_starts(cdf: DataFrame, n: int, chars: int = 3) -> list[str]:
     """Start keys of regions 1..n-1 from a prefix CDF: region i begins at the first
     prefix whose partition id (as ``partition_id`` computes it) is i.  At most ``n``
-    values reach the driver (one per region)."""
+    values reach the driver (one per region).  A prefix too hot for its region spans ids,
+    some of which then start nowhere: that raises.  No samples give no starts."""
     lo, hi = _grid(chars)
     if n > hi - lo + 1:
         raise ValueError(f"{n} regions asked, {hi - lo + 1} prefixes of {chars} characters: use more characters")
@@ -147,9 +148,11 @@ def region_starts(cdf: DataFrame, n: int, chars: int = 3) -> list[str]:
         cdf.where(F.col("prefix").between(lo, hi) & F.col("cdf").isNotNull())
         .groupBy(F.least(part, F.lit(n - 1)).alias("part"))
         .agg(F.min("prefix").alias("start"))
-        .where(F.col("part") >= 1)
-    )
-    return [str(r.start) for r in sorted(firsts.collect(), key=lambda r: r.part)]
+    ).collect()
+    starts = [str(r.start) for r in sorted(firsts, key=lambda r: r.part) if r.part >= 1]
+    if firsts and len(starts) < n - 1:
+        raise ValueError(f"{n} regions asked, only {len(starts) + 1} begin at prefixes of {chars} characters: use more characters")
+    return starts
 
 
 def partition_histogram(

@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from cellforge.operators import keyspace
@@ -77,3 +78,13 @@ def test_multibyte_short_key_goes_to_partition_zero(spark):
     # 4 or more bytes but fewer than 3 characters
     df = spark.createDataFrame([("é√",), ("ü1",)], "key string")
     assert {r.partition for r in keyspace.assign_partition(df, "key", 10).collect()} == {0}
+
+
+def test_region_starts_of_a_hot_prefix(spark):
+    """A third of the keys under one prefix cannot be cut into regions at it; more characters can."""
+    keys = spark.range(0, 9000).selectExpr("cast(if(id % 3 = 0, 500000 + id % 1000, 100000 + id * 97 % 900000) as string) as key")
+    with pytest.raises(ValueError, match="use more characters"):
+        keyspace.region_starts(keyspace.sampled_cdf(keys, "key", chars=3), 8, chars=3)
+    starts = keyspace.region_starts(keyspace.sampled_cdf(keys, "key", chars=5), 8, chars=5)
+    assert len(starts) == 7 and starts == sorted(set(starts))
+    assert keyspace.region_starts(keyspace.sampled_cdf(keys.limit(0), "key"), 8) == []
