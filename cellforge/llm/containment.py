@@ -1,4 +1,4 @@
-"""Benchmark decontamination: size-partitioned MinHash containment search.
+"""Benchmark decontamination: containment search by an exact join of shingles.
 
 An item is its set of ``shingle``-word shingles (an item with fewer words: its whole word
 sequence), words lower-cased (A-Z).  A document contains the item if at least ``share`` of
@@ -9,8 +9,9 @@ m = ceil(share * q) of them misses at most q - m, so it holds one of any q - m +
 size partition therefore keeps, as the item's MinHash sketch, its q - m + 1 smallest
 hashes; a document is a candidate if one of its shingles is in the sketch.  Unlike banded
 MinHash, whose chance falls with the length of the document, this loses no item in a long
-document.  Candidates are verified exactly: the shingles themselves are met and counted, in
-the same pass, so only those that a document shares with an item are ever shuffled.
+document.  All shingles of the items are met and counted in one pass, and the sketch is a
+flag there: it drops no row, and only shingles that a document shares with an item are
+ever shuffled.
 
 Defined cases: null, empty or blank texts have no words and hold and match nothing; a
 repeated document or item row gives its pairs once; documents shorter than the item's
