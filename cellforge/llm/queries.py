@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellforge.llm import chat, containment, hilbert, hyperlang, lm, mixing, ordinal, quality, reputation, simhash
+from cellforge.llm import chat, containment, hilbert, hyperlang, lm, mixing, ordinal, quality, repeats, reputation, simhash
 from cellforge.llm.tables import table, word_count
 
 SHARDS = 24
@@ -129,10 +129,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 100 bytes that also start earlier."""
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["stop"] - r["start"])
+    return cleaned.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op4_simhash, op5_mixing, op6_lm_scoring, op7_toxicity,
-        op8_url_reputation, op9_benchmark_containment, op10_language,
+        op8_url_reputation, op9_benchmark_containment, op10_language, op13_repeats,
     )
 }
