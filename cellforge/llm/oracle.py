@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellforge.llm import chat, containment, reputation
+from cellforge.llm import chat, containment, repeats, reputation
 from cellforge.llm.queries import URL_RULES
 
 GAP = r"[\x20\x09-\x0D]+"
@@ -94,3 +94,79 @@ f AS (SELECT doc_id, t, item_id, q.w, any_value(q) AS q, count(*) AS n FROM ds J
 SELECT DISTINCT doc_id, item_id, q AS n_shingles, n AS n_found, n / q AS containment
 FROM f WHERE n >= greatest(CAST(ceil({containment.SHARE} * q - 1e-9) AS BIGINT), 1)
 """
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+#: CRC-32 of a number's decimal digits, a byte and a bit at a time (the polynomial is a fixed value).
+_CRC = (
+    "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),"
+    " lambda c, x: list_reduce(range(8), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, CAST(3988292384 AS BIGINT)) ELSE r >> 1 END, xor(c, x)),"
+    " CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+)
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, levels: int) -> str:
+    """From ``{name}0`` (s, pos, n, digest): the nodes above, and each node's siblings."""
+    out = []
+    for k in range(levels):
+        out.append(
+            f"{name}{k + 1} AS MATERIALIZED (SELECT s, pos // 3 AS pos, any_value((n + 2) // 3) AS n, CASE WHEN any_value(n) > 1 THEN"
+            f" sha256(string_agg(digest, '' ORDER BY pos)) ELSE any_value(digest) END AS digest FROM {name}{k} GROUP BY s, pos // 3)"
+        )
+        out.append(
+            f"{name}_sides{k} AS MATERIALIZED (SELECT a.s, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,"
+            f" coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r"
+            f" FROM {name}{k} a JOIN {name}{k} b ON a.s = b.s AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.s, a.pos)"
+        )
+    return ",\n".join(out)
+
+
+def _fold(source: str, name: str, levels: int, pos: str, s: str) -> str:
+    """Steps that extend ``proof`` and fold ``found`` with the siblings of each level."""
+    out, last = [], source
+    for k in range(levels):
+        out.append(
+            f"{name}_fold{k} AS MATERIALIZED (SELECT f.* EXCLUDE (proof, found), f.proof || coalesce(l, '') || coalesce(r, '') AS proof,"
+            f" CASE WHEN l IS NULL THEN found ELSE sha256(l || found || r) END AS found"
+            f" FROM {last} f LEFT JOIN {name}_sides{k} x ON x.s = f.{s} AND x.pos = f.{pos} // {3**k})"
+        )
+        last = f"{name}_fold{k}"
+    return ",\n".join(out)
+
+
+TREE_LEVELS, TOP_LEVELS = 12, 5  # enough for 3**12 rows of a source and 3**5 sources
+ORACLE["op12_merkle_manifest"] = f"""
+WITH read AS (SELECT *, CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS again FROM documents),
+leaves AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '') AS s, {_leaf("text")} AS leaf, {_leaf("again")} AS seen FROM read),
+placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, leaf) - 1 AS pos, count(*) OVER (PARTITION BY s) AS n FROM leaves),
+t0 AS MATERIALIZED (SELECT s, pos, n, leaf AS digest FROM placed),
+{_tree("t", TREE_LEVELS)},
+u0 AS MATERIALIZED (SELECT '' AS s, row_number() OVER (ORDER BY encode(s)) - 1 AS pos, count(*) OVER () AS n, digest, s AS member FROM t{TREE_LEVELS}),
+{_tree("u", TOP_LEVELS)},
+begun AS MATERIALIZED (SELECT doc_id, leaf, p.s, p.pos, '' AS top, u0.pos AS place, u0.digest AS subroot, '' AS proof, seen AS found FROM placed p JOIN u0 ON u0.member = p.s),
+{_fold("begun", "t", TREE_LEVELS, "pos", "s")},
+{_fold(f"t_fold{TREE_LEVELS - 1}", "u", TOP_LEVELS, "place", "top")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, found AS folded_root, found = root AS verified
+FROM u_fold{TOP_LEVELS - 1}, (SELECT digest AS root FROM u{TOP_LEVELS})
+"""
+
+#: Strings are compared by their first places; texts are two hex digits a byte.
+ORACLE["op13_repeats"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+g AS MATERIALIZED (SELECT doc_id, p, sha256(substr(h, CAST(2 * p + 1 AS BIGINT), 2 * {repeats.LEAST})) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {repeats.LEAST} + 1)) AS p FROM d)),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM g),
+r AS MATERIALIZED (SELECT doc_id, p FROM f WHERE k > 1),
+b AS (SELECT doc_id, p, CASE WHEN p - lag(p) OVER w <= {repeats.LEAST} THEN 0 ELSE 1 END AS head FROM r WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+i AS (SELECT doc_id, p, sum(head) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM b),
+runs AS MATERIALIZED (SELECT doc_id, run, min(p) AS a, max(p) + {repeats.LEAST} AS z FROM i GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, run, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM runs
+  UNION ALL SELECT doc_id, 1e9, coalesce(z, 0), length(h) // 2 FROM d LEFT JOIN (SELECT doc_id, max(z) AS z FROM runs GROUP BY doc_id) USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(2 * (y - x) AS BIGINT)), '' ORDER BY x, y) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(z - a) AS n, count(*) AS runs FROM runs GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""

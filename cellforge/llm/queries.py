@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellforge.llm import chat, containment, hilbert, hyperlang, lm, mixing, ordinal, quality, repeats, reputation, simhash
+from cellforge.llm import chat, containment, hilbert, hyperlang, lm, merkle, mixing, ordinal, quality, repeats, reputation, simhash, whitening
 from cellforge.llm.tables import table, word_count
 
 SHARDS = 24
@@ -129,6 +129,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable embedding's first four whitened components; the fit sees each distinct
+    vector once."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root; every second one, by its id's checksum, is
+    verified as read without its line ends."""
+    docs = table(spark, sf_dir, "documents")
+    odd = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 1, F.lit(True))
+    read = F.when(odd, F.col("text")).otherwise(F.translate("text", "\n", ""))
+    manifest = merkle.build_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], seen={"text": read})
+    return merkle.audit(manifest).withColumnRenamed("id", "doc_id").drop("member")
+
+
 def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 100 bytes that also start earlier."""
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -142,6 +158,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_hilbert_sharding, op3_quality_rules, op4_simhash, op5_mixing, op6_lm_scoring, op7_toxicity,
-        op8_url_reputation, op9_benchmark_containment, op10_language, op13_repeats,
+        op8_url_reputation, op9_benchmark_containment, op10_language, op11_whitening, op12_merkle_manifest, op13_repeats,
     )
 }
