@@ -53,21 +53,54 @@ def parse_spec(spec: str | Sequence[str]) -> list[tuple[str, str | None]]:
     return out
 
 
+def unescape_bytes(bound: str | bytes) -> bytes:
+    """A key bound with ``\\xHH`` escapes (or raw bytes) as the bytes it denotes."""
+    if isinstance(bound, (bytes, bytearray)):
+        return bytes(bound)
+    return re.sub(rb"\\x([0-9A-Fa-f]{2})", lambda m: bytes([int(m.group(1), 16)]), bound.encode("utf-8"))
+
+
 def unescape_bound(bound: str | bytes) -> str:
-    """A key bound with ``\\xHH`` escapes (or raw bytes) as the string it denotes."""
-    if isinstance(bound, bytes):
-        return bound.decode("utf-8")
-    raw = re.sub(rb"\\x([0-9A-Fa-f]{2})", lambda m: bytes([int(m.group(1), 16)]), bound.encode("utf-8"))
-    return raw.decode("utf-8")
+    """``unescape_bytes`` of a bound that is UTF-8 text, as a string."""
+    return unescape_bytes(bound).decode("utf-8")
+
+
+def unescape_key(text: Column | str) -> Column:
+    """Binary row keys from text with ``\\xHH`` escapes; all else is its UTF-8 bytes."""
+    text = F.col(text) if isinstance(text, str) else text
+    parts = F.split(text, r"(?=\\x[0-9A-Fa-f]{2})")
+
+    def piece(p: Column) -> Column:
+        escaped = F.concat(F.unhex(F.substring(p, 3, 2)), F.encode(F.substring(p, 5, 1 << 30), "UTF-8"))
+        return F.when(p.rlike(r"^\\x[0-9A-Fa-f]{2}"), escaped).otherwise(F.encode(p, "UTF-8"))
+
+    return F.aggregate(parts, F.lit(bytearray()), lambda done, p: F.concat(done, piece(p)))
+
+
+def byte_keys(cells: DataFrame, key_col: str = "row") -> DataFrame:
+    """Cells whose row keys are bytes, from keys with escapes.  Scans, sorted files, regions
+    and stores then go by unsigned bytes, and bounds are pushed down as bytes."""
+    return cells.withColumn(key_col, unescape_key(key_col))
+
+
+def _comparable(cells: DataFrame, key_col: str, bound: str | bytes) -> tuple[Column, Column]:
+    """The key column and a bound as values of one type, in byte order.  A string key is
+    compared as bytes only where the bound is no text."""
+    key, value = F.col(key_col), unescape_bytes(bound)
+    if isinstance(cells.schema[key_col].dataType, T.BinaryType):
+        return key, F.lit(bytearray(value))
+    try:
+        return key, F.lit(value.decode("utf-8"))
+    except UnicodeDecodeError:
+        return key.cast("binary"), F.lit(bytearray(value))
 
 
 def row_range(cells: DataFrame, gt=None, gte=None, lt=None, lte=None, key_col: str = "row") -> DataFrame:
     """Rows whose key satisfies all given bounds (byte order; AND-ed)."""
-    key = F.col(key_col)
     cond = F.lit(True)
-    for bound, op in ((gt, key.__gt__), (gte, key.__ge__), (lt, key.__lt__), (lte, key.__le__)):
+    for bound, op in ((gt, Column.__gt__), (gte, Column.__ge__), (lt, Column.__lt__), (lte, Column.__le__)):
         if bound is not None:
-            cond = cond & op(F.lit(unescape_bound(bound)))
+            cond = cond & op(*_comparable(cells, key_col, bound))
     return cells.where(cond)
 
 
@@ -194,7 +227,8 @@ def scan_cells(
 def get_row(cells: DataFrame, key: str | bytes, spec: str | Sequence[str]) -> DataFrame:
     """One row by key (a get): an equality filter, which Parquet can answer from min/max
     statistics and row bloom filters, then the mixed-spec scan of that row."""
-    return scan_cells(cells.where(F.col("row") == F.lit(unescape_bound(key))), spec)
+    mine, asked = _comparable(cells, "row", key)
+    return scan_cells(cells.where(mine == asked), spec)
 
 
 def family_bags(pairs: DataFrame, bag_col: str = "bag") -> DataFrame:
@@ -208,9 +242,12 @@ def family_bags(pairs: DataFrame, bag_col: str = "bag") -> DataFrame:
 
 def region_of(key: Column | str, boundaries: Sequence[str]) -> Column:
     """Region number of a row key given the sorted start keys of regions 1..n
-    (region 0 starts at the empty key)."""
+    (region 0 starts at the empty key).  Starts given as bytes are those of binary keys."""
     key = F.col(key) if isinstance(key, str) else key
-    bounds = sorted(unescape_bound(b) for b in boundaries)
+    if any(isinstance(b, (bytes, bytearray)) for b in boundaries):  # hex keeps the order of bytes
+        key, bounds = F.hex(key), sorted(bytes(b).hex().upper() for b in boundaries)
+    else:
+        bounds = sorted(unescape_bound(b) for b in boundaries)
     if not bounds:
         return F.lit(0)
     # One literal array, searched by halving: a step more for twice the regions.
@@ -228,10 +265,10 @@ def regions_in_range(boundaries: Sequence[str], gt=None, gte=None, lt=None, lte=
     """Regions (as ``region_of`` numbers them) that can hold keys within the bounds.
     Region i spans [start_i, start_i+1) with start_0 the empty key; the row filter still
     applies exactly, so a region at the edge may be included needlessly, never missed."""
-    starts = [""] + sorted(unescape_bound(b) for b in boundaries)
-    low = max([unescape_bound(b) for b in (gt, gte) if b is not None], default=None)
-    below = unescape_bound(lt) if lt is not None else None
-    upto = unescape_bound(lte) if lte is not None else None
+    starts = [b""] + sorted(unescape_bytes(b) for b in boundaries)
+    low = max([unescape_bytes(b) for b in (gt, gte) if b is not None], default=None)
+    below = unescape_bytes(lt) if lt is not None else None
+    upto = unescape_bytes(lte) if lte is not None else None
     keep = []
     for i, start in enumerate(starts):
         end = starts[i + 1] if i + 1 < len(starts) else None

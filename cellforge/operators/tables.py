@@ -107,34 +107,90 @@ def drop_cell_table(spark: SparkSession, table: str) -> None:
 # --- deltas: upserts that write only the batch ----------------------------------------
 
 
-def append_delta(cells: DataFrame, path: str | None = None) -> str:
-    """Writes a batch of incoming cells as a delta (plain cell files); the cost is that
-    of the batch, not of the table.  Returns the path."""
-    from cellforge.operators.files import cell_writer
-
+def append_delta(cells: DataFrame, path: str | None = None, buckets: int | None = None) -> str:
+    """Writes a batch of incoming cells as a delta; the cost is that of the batch, not of
+    the table.  Without ``buckets`` it is plain cell files, and the path is returned; with
+    them it is a run: a table in the snapshot's bucket and sort layout, one version per
+    coordinate, whose name is returned."""
     spark = cells.sparkSession
+    if buckets is not None:
+        name = new_table_name("run")
+        return save_cell_table(aligned_latest(cells, buckets), name, buckets, path)
     path = path or shared_path(spark, "delta")
     cell_writer(cells.select(*CELL_COLUMNS)).parquet(path)
     return path
 
 
+def _is_table(spark: SparkSession, delta: str) -> bool:
+    return "/" not in delta and spark.catalog.tableExists(delta)
+
+
 def read_merged(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int) -> DataFrame:
-    """Table state = latest of a bucketed snapshot and its deltas.  The deltas are merged
-    and aligned to the buckets (a shuffle of the deltas only) and are the build side of a
-    hash join; the snapshot is read bucket by bucket, neither shuffled nor sorted.  The
-    deltas of one bucket have to fit in a task; ``compact`` keeps them small."""
+    """Table state = latest of a bucketed snapshot and its deltas.
+
+    A merge join of sorted runs: the snapshot's buckets are one sorted file each, so it is
+    neither shuffled nor sorted.  A single run of ``append_delta(buckets=)`` is not either;
+    several deltas, or plain ones, are merged and aligned to the buckets first (a shuffle
+    and a sort of the deltas only).  Both sides stream, so a bucket's deltas may be larger
+    than a task's memory.  The session is told to trust the order of bucket files, which
+    Spark does only where a bucket is one file."""
     mine = spark.table(snapshot).select(*CELL_COLUMNS)
     if not deltas:
         return mine
-    new = aligned_latest(spark.read.parquet(*deltas), buckets)
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    if len(deltas) == 1 and _is_table(spark, deltas[0]):
+        new = spark.table(deltas[0]).select(*CELL_COLUMNS)
+    else:
+        new = aligned_latest(_union_of(spark, deltas), buckets)
     new = new.select(*[F.col(c).alias(f"_{c}") for c in COORD], F.struct("ts", "value").alias("_new"))
     same = [mine[c] == new[f"_{c}"] for c in COORD]
-    joined = mine.join(new.hint("shuffle_hash"), same, "full_outer")
+    joined = mine.join(new.hint("merge"), same, "full_outer")
     old = F.when(F.col("row").isNotNull(), F.struct("ts", "value"))
     latest = F.greatest(old, F.col("_new")).alias("_v")
     return joined.select(*[F.coalesce(c, f"_{c}").alias(c) for c in COORD], latest).select(*COORD, "_v.ts", "_v.value")
 
 
+def _union_of(spark: SparkSession, deltas: list[str]) -> DataFrame:
+    """All cells of the deltas; tables by their files, so that no bucketed scan is below the
+    union (see ``versions.upsert_cells``)."""
+    return spark.read.parquet(*[table_path(spark, d) if _is_table(spark, d) else d for d in deltas]).select(*CELL_COLUMNS)
+
+
 def compact(spark: SparkSession, snapshot: str, deltas: list[str], buckets: int, new_name: str | None = None) -> str:
     """Folds the deltas into a new bucketed snapshot; returns its name."""
     return save_cell_table(read_merged(spark, snapshot, deltas, buckets), new_name or new_table_name(), buckets)
+
+
+RUN_FANOUT = 4
+
+
+def run_bytes(spark: SparkSession, run: str) -> int:
+    path = spark._jvm.org.apache.hadoop.fs.Path(table_path(spark, run))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
+def tier_of(size: int, fanout: int = RUN_FANOUT) -> int:
+    """Runs of one tier differ in size by less than ``fanout``."""
+    tier = 0
+    while size >= fanout:
+        size, tier = size // fanout, tier + 1
+    return tier
+
+
+def compact_runs(spark: SparkSession, runs: list[str], buckets: int, fanout: int = RUN_FANOUT, drop: bool = True) -> list[str]:
+    """Size-tiered compaction: while a tier holds ``fanout`` runs, these become one run.  So
+    at most ``fanout - 1`` runs of each size are left, and a cell is rewritten once for each
+    tier, whatever the size of the snapshot.  ``drop``: merged runs are deleted."""
+    left = [(r, tier_of(run_bytes(spark, r), fanout)) for r in runs]
+    while True:
+        tiers: dict[int, list[str]] = {}
+        for run, tier in left:
+            tiers.setdefault(tier, []).append(run)
+        full = next((tiers[t] for t in sorted(tiers) if len(tiers[t]) >= fanout), None)
+        if full is None:
+            return [run for run, _ in left]
+        merged = save_cell_table(aligned_latest(_union_of(spark, full), buckets), new_table_name("run"), buckets)
+        left = [(r, t) for r, t in left if r not in full] + [(merged, tier_of(run_bytes(spark, merged), fanout))]
+        if drop:
+            for run in full:
+                drop_cell_table(spark, run)
