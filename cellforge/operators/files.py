@@ -132,6 +132,23 @@ def write_partitioned_cells(
     return path
 
 
+def write_partition_runs(
+    cells: DataFrame, path: str, n: int, cdf: DataFrame | None = None, chars: int = 3, mode: str = "errorifexists"
+) -> list[str]:
+    """``write_partitioned_cells`` in two levels: a partition above its share is cut into ordered
+    runs (``keyspace.run_starts``), and each run is a file, so a hot prefix is no one task's.
+    Returns the starts of the runs; the file of run i is ``part-<i>``."""
+    from cellforge.operators.keyspace import assign_run, place_by_partition, run_starts
+
+    starts = run_starts(cells, "row", n, cdf, chars)
+    told = assign_run(cells.select(*CELL_COLUMNS), "row", n, starts, cdf, chars, out="_run").drop("partition")
+    placed = place_by_partition(told, len(starts), "_run")
+    collapsed = placed.groupBy(*COORD, (-F.col("ts")).alias("_nts"), "_run").agg(F.max("value").alias("value"))
+    out = collapsed.sortWithinPartitions(*COORD, "_nts").select(*COORD, (-F.col("_nts")).alias("ts"), "value")
+    cell_writer(out).mode(mode).parquet(path)
+    return starts
+
+
 def file_ranges(spark: SparkSession, path: str) -> DataFrame:
     """``(file, first_row, last_row, cells)`` of every written file."""
     return (

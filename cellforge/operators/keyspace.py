@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import key_prefix, leading_number, numeric_prefix
 from cellforge.schema import CDF_DIGITS, MIN_KEY_BYTES
+from cellforge.session import ensure_checkpoint_dir
 
 MAX_BROADCAST_CHARS = 5  # 90,000 prefixes x (int, double): ~2 MB
 
@@ -85,6 +86,28 @@ def sampled_cdf(samples: DataFrame, key_col: str, count_col: str | None = None,
     )
 
 
+SKETCH_K = 4096  # of the quantile sketch
+SKETCH_ERROR = 0.01  # of a rank; far above the sketch's own bound at SKETCH_K
+
+
+def key_sketch(keys: DataFrame, key_col: str, chars: int = 3) -> DataFrame:
+    """One row: ``sketch``, a quantile sketch of the numeric prefixes of a load's keys (a row
+    each), to be saved with the load.  Tasks build theirs, which are merged."""
+    prefix = numeric_prefix(F.col(key_col), chars).cast("bigint").alias("prefix")
+    return keys.select(prefix).agg(F.kll_sketch_agg_bigint("prefix", SKETCH_K).alias("sketch"))
+
+
+def sketch_cdf(sketches: DataFrame, chars: int = 3) -> DataFrame:
+    """``(prefix int, cdf double)`` over the prefix grid from the saved sketches of any number of
+    loads: no key is read again.  A rank is off by SKETCH_ERROR at most.  No keys, no rows."""
+    lo, hi = _grid(chars)
+    merged = sketches.where("sketch is not null").agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    ranks = F.kll_sketch_get_rank_bigint("sketch", F.sequence(F.lit(lo - 1).cast("bigint"), F.lit(hi - 1).cast("bigint")))
+    known = F.when(F.kll_sketch_get_n_bigint("sketch") > 0, ranks)
+    told = merged.where("sketch is not null").select(F.posexplode(known).alias("at", "cdf"))
+    return told.select((F.col("at") + lo).cast("int").alias("prefix"), F.when(F.col("at") == 0, F.lit(0.0)).otherwise(F.col("cdf")).alias("cdf"))
+
+
 def _cdf_table(cdf: DataFrame, chars: int) -> DataFrame:
     """A caller's CDF re-aggregated onto the grid: string prefix -> cdf, bounded size."""
     lo, hi = _grid(chars)
@@ -135,6 +158,47 @@ def place_by_partition(df: DataFrame, n: int, partition_col: str = "partition")
     return df.repartitionById(n, F.col(partition_col))
 
 
+RUN_SHARE = 0.6  # of a partition's mean mass: the largest run then stays under twice the mean run
+
+
+def run_starts(df: DataFrame, key_col: str, n: int, cdf: DataFrame | None = None, chars: int = 3) -> list[str]:
+    """Starts of the ordered runs of the ``n`` partitions, as ``partition|key``: a partition that
+    holds more than RUN_SHARE of the mean is cut at quantiles of its whole keys."""
+    from cellforge.operators.splits import key_intervals, starts_of
+
+    placed = assign_partition(df.select(key_col), key_col, n, cdf, chars, out="_part")
+    ensure_checkpoint_dir(df.sparkSession)
+    keyed = placed.select(run_key(F.col("_part"), F.col(key_col)).alias("k")).checkpoint(eager=True)  # read in every round
+    intervals = key_intervals(keyed, "k", int(n / RUN_SHARE) + 1)
+    share = RUN_SHARE * sum(i.mass for i in intervals) / n
+    starts = []
+    for part in range(n):
+        head = f"{part:0{PART_DIGITS}d}|"
+        mine = [i for i in intervals if i.least.startswith(head) and i.most.startswith(head)]
+        mass = sum(i.mass for i in mine)
+        runs = int(-(-mass // share)) if share else 1
+        starts += [head] + (starts_of(mine, runs) if runs > 1 else [])
+    return starts
+
+
+PART_DIGITS = 9
+
+
+def run_key(partition: Column, key: Column) -> Column:
+    """Orders keys by partition, then by key."""
+    return F.concat(F.lpad(partition.cast("string"), PART_DIGITS, "0"), F.lit("|"), key)
+
+
+def assign_run(
+    df: DataFrame, key_col: str, n: int, starts: list[str], cdf: DataFrame | None = None, chars: int = 3, out: str = "run_id"
+) -> DataFrame:
+    """Adds ``partition`` and ``out``, the place of the key's run among all runs."""
+    from cellforge.operators.scan import region_of
+
+    placed = assign_partition(df, key_col, n, cdf, chars)
+    return placed.withColumn(out, region_of(run_key(F.col("partition"), F.col(key_col)), starts) - 1)
+
+
 def region_starts(cdf: DataFrame, n: int, chars: int = 3) -> list[str]:
     """Start keys of regions 1..n-1 from a prefix CDF: region i begins at the first
     prefix whose partition id (as ``partition_id`` computes it) is i.  At most ``n``

@@ -35,7 +35,7 @@ from cellforge.schema import CELL_COLUMNS
 from cellforge.session import ensure_checkpoint_dir
 
 KEY_BITS, BITS_SET, BLOCK_BITS = 10, 7, 32768
-FENCES = [4**i for i in range(2, 16)]  # cells into a file at which its row key is kept
+FENCES = [2**i for i in range(4, 31)]  # cells into a file at which its row key is kept
 
 
 @dataclass(frozen=True)
@@ -299,5 +299,5 @@ def first_rows(store: Store, scan, limit: int) -> tuple[DataFrame, int]:
         short = [r for r in regions if upto.get(r) is not None and have.get(r, 0) < limit]
         kept = ranked.where(~F.col("region").isin(*short)) if short else ranked
         done = kept if done is None else done.unionByName(kept)
-        regions, reach = short, reach * 16
+        regions, reach = short, reach * 4
     return done.drop("_rn"), read

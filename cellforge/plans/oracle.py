@@ -213,24 +213,36 @@ FROM ({fx.PART_ROWS_SQL})""",
 FROM ({fx.FLAT_DATES_SQL})""",
 }
 
+
+
+def _ieee(v: str, bits: int, bias: int, digits: int) -> str:
+    """Hex of a number's sign, exponent and fraction; scaling by powers of two is exact."""
+    e = f"CAST(floor(log2(abs({v}))) AS INTEGER)"
+    whole = f"CAST(CASE WHEN {v} < 0 THEN 1 ELSE 0 END AS HUGEINT) * pow2({digits * 4 - 1}) + CAST({e} + {bias} AS HUGEINT) * pow2({bits})"
+    fraction = f"CAST((abs({v}) / power(2.0, {e}) - 1) * power(2.0, {bits}) AS HUGEINT)"
+    whole = whole.replace(f"pow2({digits * 4 - 1})", str(1 << (digits * 4 - 1))).replace(f"pow2({bits})", str(1 << bits))
+    return f"printf('%0{digits}X', CAST({whole} + {fraction} AS UBIGINT))"
+
+
 ORACLE |= {
     "loaded_sorted_files": f"""SELECT count(*) AS cells, CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS breaks
 FROM (SELECT DISTINCT row, family, qualifier, ts FROM ({ORACLE["follow_cells"]}))""",
     "collapsed_cells": f"""SELECT CAST(l_orderkey AS VARCHAR) AS row, 'l' AS family, l_returnflag AS qualifier, {TS} AS ts,
   max(CAST(l_linenumber AS VARCHAR)) AS value FROM lineitem GROUP BY 1, 2, 3""",
-    "float_values": """SELECT CAST(p_partkey AS VARCHAR) AS row, CASE WHEN p_partkey % 7 = 0 THEN 'nan' ELSE format('{:,.2f}', -p_retailprice) END AS d,
-  CASE WHEN p_partkey % 7 = 0 THEN 'nan' ELSE format('{:,.2f}', CAST(-p_retailprice AS FLOAT)) END AS f,
-  CAST(16 AS BIGINT) AS d_digits, CAST(8 AS BIGINT) AS f_digits FROM part WHERE p_partkey % 11 > 0""",
+    "float_values": f"""WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS row, p_partkey % 7 = 0 AS odd, -p_retailprice AS d,
+  CAST(CAST(-p_retailprice AS FLOAT) AS DOUBLE) AS f FROM part WHERE p_partkey % 11 > 0)
+SELECT row, CASE WHEN odd THEN '7FF8000000000000' ELSE {_ieee("d", 52, 1023, 16)} END AS d_hex,
+  CASE WHEN odd THEN '7FC00000' ELSE {_ieee("f", 23, 127, 8)} END AS f_hex, TRUE AS same FROM p""",
     "dynamic_columns": f"""SELECT CAST(p_partkey AS VARCHAR) AS row, p_brand AS family, 'q.' || p_size AS qualifier, {TS} AS ts, p_name AS value
 FROM part WHERE p_size % 9 > 0 AND p_size % 7 > 0""",
     "sampled_partition": f"""WITH c AS ({ORACLE["sampled_cdf"]}), kc AS ({KEY_COUNTS})
 SELECT key, cnt, CASE WHEN strlen(key) < 4 OR cdf IS NULL THEN 0
   ELSE least(CAST(trunc(CAST(round(cdf, 7) AS FLOAT) * CAST({q.PARTITIONS} AS FLOAT)) AS INTEGER), {q.PARTITIONS - 1}) END AS partition
 FROM kc LEFT JOIN c ON substr(key, 1, 3) = CAST(prefix AS VARCHAR)""",
-    "audit_key_file": f"""WITH k AS ({fx.AUDIT_KEYS_SQL}), listed AS (SELECT key FROM k UNION ALL SELECT '' FROM k WHERE key LIKE '%7'),
-w AS (SELECT key FROM (SELECT key, row_number() OVER (ORDER BY key) AS i FROM listed) WHERE i > {q.AUDIT_OFFSET} AND i <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT}),
+    "audit_key_file": f"""WITH listed AS (SELECT key, row_number() OVER (ORDER BY custkey, i) AS place FROM ({fx.AUDIT_KEY_LINES_SQL})),
 rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
-SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed FROM w LEFT JOIN rows r ON w.key = r.row""",
+SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed
+FROM listed LEFT JOIN rows r ON listed.key = r.row WHERE place > {q.AUDIT_OFFSET} AND place <= {q.AUDIT_OFFSET + q.AUDIT_LIMIT}""",
     "audit_key_list": f"""WITH listed AS (SELECT key, row_number() OVER (ORDER BY custkey, i) AS place FROM ({fx.AUDIT_KEY_LINES_SQL})),
 rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
 SELECT row_number() OVER (ORDER BY key, place) AS n, key, place,
@@ -241,7 +253,38 @@ SELECT row_number() OVER (ORDER BY key, place) AS n, key, place,
     "scan_bounds": f"""SELECT * FROM ({ORACLE["scan_columns"]}) WHERE row > '11' AND row >= '110' AND row < '7' AND row <= '65'""",
     "scan_empty_cells": """SELECT CAST(p_partkey AS VARCHAR) AS row, CASE WHEN p_partkey % 3 = 0 THEN '1' ELSE p_brand END AS dotted,
   CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS named_row,
-  CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS again FROM part WHERE p_partkey % 5 > 0 OR p_size > 10""",
+  CASE WHEN p_partkey % 4 = 0 THEN '1' ELSE CAST(p_size AS VARCHAR) END AS again FROM part""",
 }
 ORACLE["placed_partition_rows"] = f"""SELECT partition, count(*) AS n, CAST(0 AS BIGINT) AS misplaced
 FROM (SELECT DISTINCT key, partition FROM ({ORACLE["sampled_partition"]})) GROUP BY partition"""
+
+HOT_COUNTS = fx.line_sql("hot_key_counts")
+_BATCH = f"row >= '{q.BATCH_ROWS[0]}' AND row < '{q.BATCH_ROWS[1]}'"
+ORACLE |= {
+    "touched_region_upsert": f"""WITH ev AS ({EVENT_TABLE})
+SELECT row, family, qualifier, ts, value, CASE WHEN {_BATCH} THEN 1 ELSE 0 END AS file_version
+FROM ({_latest(f"SELECT * FROM ev WHERE ts < {q.UPSERT_CUTOFF_MS} OR ({_BATCH})")})""",
+    "indexed_audit": f"""WITH keys AS ({fx.INDEXED_KEYS_SQL}), rows AS (SELECT DISTINCT row FROM ({USER_TABLE_CELLS}))
+SELECT row_number() OVER (ORDER BY key) AS n, key, CASE WHEN r.row IS NULL THEN 1 ELSE 0 END AS missed, TRUE AS skipped
+FROM keys LEFT JOIN rows r ON keys.key = r.row""",
+    "early_region_limit": f"SELECT *, TRUE AS bounded FROM ({ORACLE['scan_region_limit']})",
+    "byte_key_range": f"""WITH l AS (SELECT unhex(printf('%02X', o_orderkey % 256)) || encode(CAST(o_orderkey AS VARCHAR)) AS key, o_custkey FROM orders)
+SELECT hex(key) AS row_hex, 'o' AS family, 'cust' AS qualifier, {TS} AS ts, CAST(o_custkey AS VARCHAR) AS value
+FROM l WHERE key >= '\\x80'::BLOB AND key < '\\xFF'::BLOB""",
+    "merged_run_cells": _latest(EVENT_TABLE),
+    "hot_region_files": f"""SELECT key AS row, 'k' AS family, 'n' AS qualifier, {TS} AS ts, CAST(cnt AS VARCHAR) AS value, TRUE AS balanced
+FROM ({HOT_COUNTS}) WHERE key >= '{q.REGION_SCAN[0]}' AND key < '{q.REGION_SCAN[1]}'""",
+    "placed_runs": f"""WITH c AS ({ORACLE["sampled_cdf"]}), kc AS ({HOT_COUNTS}),
+p AS (SELECT key, CASE WHEN strlen(key) < 4 OR cdf IS NULL THEN 0
+  ELSE least(CAST(trunc(CAST(round(cdf, 7) AS FLOAT) * CAST({q.RUN_PARTITIONS} AS FLOAT)) AS INTEGER), {q.RUN_PARTITIONS - 1}) END AS partition
+  FROM kc LEFT JOIN c ON substr(key, 1, 3) = CAST(prefix AS VARCHAR))
+SELECT partition, count(*) AS n, CAST(0 AS BIGINT) AS misplaced, TRUE AS balanced FROM p GROUP BY partition""",
+    "family_pages": f"""WITH c AS (SELECT *, (row_number() OVER (PARTITION BY row ORDER BY qualifier) - 1) // {q.PAGE} AS page 
+  FROM (SELECT row, qualifier, max(value) AS value FROM ({fx.LINE_ITEM_CELLS_SQL}) GROUP BY row, qualifier))
+SELECT row, CAST(page AS INTEGER) AS page, count(*) AS n, max(qualifier) AS cursor,
+  sha256(string_agg(qualifier || '=' || value, ',' ORDER BY qualifier)) AS bag_sha256 FROM c GROUP BY row, page""",
+    "sorted_bag_files": f"SELECT row, count(*) AS n, TRUE AS in_order FROM ({ORACLE['store_bag_cells']}) GROUP BY row",
+    "callable_caster": f"""SELECT CAST(key AS VARCHAR) AS row, name, size, reverse(name) AS raw_name, reverse(CAST(size AS VARCHAR)) AS raw_size
+FROM ({fx.PART_ROWS_SQL}) WHERE key IS NOT NULL""",
+    "sketched_cdf": f"SELECT prefix, n, cdf, TRUE AS within FROM ({ORACLE['sampled_cdf']})",
+}

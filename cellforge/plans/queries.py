@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellforge.functions.scalars import flat_to_millis, row_json
-from cellforge.operators import audit, cells, files, keyspace, relations, scan, tables, tuples, versions
+from cellforge.operators import audit, cells, files, keyspace, relations, scan, splits, store, tables, tuples, versions
 from cellforge.schema import CDF_DIGITS
 from cellforge.session import shared_path
 from cellforge.sources import fixtures as fx
@@ -199,7 +199,7 @@ def scan_empty_cells(spark, sf):
         ("a.b", F.when(F.col("p_partkey") % 3 == 0, F.lit("")).otherwise(F.col("p_brand"))),
         ("row", F.when(F.col("p_partkey") % 4 == 0, F.lit("")).otherwise(F.col("p_size").cast("string"))),
     ):
-        cell = part.where("p_partkey % 5 > 0 or p_size > 10").select(
+        cell = part.select(
             F.col("p_partkey").cast("string").alias("row"), F.lit("f").alias("family"), F.lit(qualifier).alias("qualifier"),
             F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), value.alias("value"),
         )
@@ -253,8 +253,8 @@ REGION_SCAN = ("300", "700")
 
 
 def scan_region_files(spark, sf):
-    """Order-key cells written as region directories (region starts from the keys'
-    sampled distribution), then a key-range scan that prunes whole regions.  The counts
+    """Order-key cells written as region directories (region starts at the
+    quantiles of the whole keys), then a key-range scan that prunes whole regions.  The counts
     are written once, for the sample and for the files."""
     counted = shared_path(spark, "key_counts")
     _key_counts(spark, sf).write.parquet(counted)
@@ -263,7 +263,7 @@ def scan_region_files(spark, sf):
         F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
         F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"),
     )
-    starts = keyspace.region_starts(keyspace.sampled_cdf(kc, "key", "cnt", chars=PREFIX_CHARS), REGIONS)
+    starts = splits.key_starts(kc, "key", REGIONS, "cnt")
     path = files.write_region_cells(cells_, shared_path(spark, "region_cells"), starts, _layout_parts(spark))
     stored = spark.read.parquet(path)
     lo, hi = REGION_SCAN
@@ -323,19 +323,16 @@ def collapsed_cells(spark, sf):
 
 def float_values(spark, sf):
     """Retail prices as doubles and floats, every 7th NaN, every 11th NULL, stored
-    big-endian and loaded back, with the number of hex digits stored."""
+    big-endian: the stored bytes, and whether they load back as the values they came from."""
     part = fx.table(spark, sf, "part")
     price = F.when(F.col("p_partkey") % 11 == 0, None).when(F.col("p_partkey") % 7 == 0, F.lit(float("nan"))).otherwise(-F.col("p_retailprice"))
     rows = part.select(F.col("p_partkey").alias("key"), price.cast("double").alias("d"), price.cast("float").alias("f"))
     stored = tuples.store_rows(rows, "v:d v:f", caster="binary", now=fx.LOAD_TS)
-    back = scan.scan_typed(stored, "v:d v:f", ["double", "float"], caster="binary")
-    raw = scan.scan_columns(stored, "v:d v:f")
-    shown = raw.select("row", F.octet_length("d").alias("d_bytes"), F.octet_length("f").alias("f_bytes"))
-    named = lambda c: F.when(F.isnan(c), F.lit("nan")).otherwise(F.format_number(c, 2))
-    return back.join(shown, "row").select(
-        "row", named(F.col("d")).alias("d"), named(F.col("f")).alias("f"),
-        (2 * F.col("d_bytes")).cast("long").alias("d_digits"), (2 * F.col("f_bytes")).cast("long").alias("f_digits"),
-    )
+    back = scan.scan_typed(stored, "v:d v:f", ["double", "float"], caster="binary").toDF("row", "d_back", "f_back")
+    raw = scan.scan_columns(stored, "v:d v:f").select("row", F.hex("d").alias("d_hex"), F.hex("f").alias("f_hex"))
+    same = F.col("d").eqNullSafe(F.col("d_back")) & F.col("f").eqNullSafe(F.col("f_back"))
+    given = rows.select(F.col("key").cast("string").alias("row"), "d", "f")
+    return raw.join(back, "row").join(given, "row").select("row", "d_hex", "f_hex", same.alias("same"))
 
 
 def dynamic_columns(spark, sf):
@@ -359,13 +356,9 @@ AUDIT_OFFSET, AUDIT_LIMIT = 3, 40
 
 
 def audit_key_file(spark, sf):
-    """A key file with blank lines -> window of keys -> audit -> TSV, read back."""
-    keys = fx.audit_keys(spark, sf)
-    padded = keys.select(F.concat(F.lit(" "), F.col("key"), F.lit("\t")).alias("line")).unionByName(
-        keys.where("key like '%7'").select(F.lit("  ").alias("line"))
-    )
-    path = write_lines(padded, shared_path(spark, "key_file"))
-    window = key_window(read_key_list(spark, path), AUDIT_OFFSET, AUDIT_LIMIT)
+    """A key file with blank lines -> window of file order -> audit -> TSV, read back."""
+    path = write_lines(fx.audit_key_lines(spark, sf).orderBy("custkey", "i"), shared_path(spark, "key_file"))
+    window = key_window(read_key_list(spark, path, with_position=True), AUDIT_OFFSET, AUDIT_LIMIT, order_col="pos").drop("pos")
     out = audit.write_audit(audit.lookup_audit(window, table_cells(spark, sf)), shared_path(spark, "audit"))
     return read_typed_tsv(spark, out, "n bigint, key string, missed int").select("n", F.coalesce("key", F.lit("")).alias("key"), "missed")
 
@@ -381,6 +374,157 @@ def audit_key_list(spark, sf):
     return back.withColumn("key", F.coalesce("key", F.lit("")))
 
 
+# --- regions under a manifest -----------------------------------------------------------
+
+STORE_STARTS = ["15", "2", "3", "4", "5", "6", "7", "8"]
+BATCH_ROWS = ("2", "4")  # the rows of the regions that the later batch touches
+READ_FACTOR = 64  # cells read for a row returned, at most
+
+
+def touched_region_upsert(spark, sf):
+    """K1: earlier events in a store of nine regions, the later ones of two regions' rows
+    upserted: every cell, and the version that wrote its file (1: rewritten; 0: as it was)."""
+    ev = _event_table(spark, sf)
+    base = store.create_store(ev.where(F.col("ts") < UPSERT_CUTOFF_MS), shared_path(spark, "store"), STORE_STARTS, _layout_parts(spark))
+    lo, hi = BATCH_ROWS
+    later = scan.row_range(ev.where(F.col("ts") >= UPSERT_CUTOFF_MS), gte=lo, lt=hi)
+    now = store.upsert_store(base, later, _layout_parts(spark))
+    return store.read_store(now, with_file=True).select("row", "family", "qualifier", "ts", "value", F.col("version").alias("file_version"))
+
+
+def _user_store(spark, sf):
+    cells_ = table_cells(spark, sf)
+    return store.create_store(cells_, shared_path(spark, "users"), splits.key_starts(cells_, "row", REGIONS), _layout_parts(spark))
+
+
+def indexed_audit(spark, sf):
+    """A key list checked through the store's file index; whether files were left out."""
+    users, keys = _user_store(spark, sf), fx.indexed_keys(spark, sf)
+    found, opened = store.multi_get(users, keys)
+    skipped = F.lit(opened < users.files.count()).alias("skipped")
+    return audit.lookup_audit(keys, found).select("n", "key", "missed", skipped)
+
+
+def early_region_limit(spark, sf):
+    """The first rows of every region, read from the regions' fronts; whether the cells read
+    are bounded by regions x limit."""
+    events = store.create_store(_event_table(spark, sf), shared_path(spark, "events"), REGION_STARTS, _layout_parts(spark))
+    rows, read = store.first_rows(events, lambda found: scan.scan_columns(found, SCAN_COLUMNS), REGION_LIMIT)
+    return rows.withColumn("bounded", F.lit(read <= (len(REGION_STARTS) + 1) * REGION_LIMIT * READ_FACTOR))
+
+
+BYTE_RANGE = (r"\x80", r"\xff")
+
+
+def byte_key_range(spark, sf):
+    """Cells with byte row keys in regions of their quantiles; the keys within two
+    escaped byte bounds."""
+    cells_ = scan.byte_keys(cells.bulk_cells(fx.line_input(spark, sf, "byte_key_lines"), ts=fx.LOAD_TS))
+    kept = store.create_store(cells_, shared_path(spark, "bytes"), splits.key_starts(cells_, "row", REGIONS), _layout_parts(spark))
+    found = store.read_store(kept, gte=BYTE_RANGE[0], lt=BYTE_RANGE[1])
+    return found.select(F.hex("row").alias("row_hex"), "family", "qualifier", "ts", "value")
+
+
+RUN_CUTS_MS = (1704500000000, 1705000000000, 1705500000000, 1706000000000, 1706250000000)
+
+
+def merged_run_cells(spark, sf):
+    """K1/A2: the earliest events as a snapshot, later slices as sorted runs, which are
+    compacted by size; the table state from a merge join."""
+    ev, buckets = _event_table(spark, sf), _layout_parts(spark)
+    base, runs = tables.load_cell_table(ev.where(F.col("ts") < RUN_CUTS_MS[0]), buckets), []
+    for lo, hi in zip(RUN_CUTS_MS, [*RUN_CUTS_MS[1:], 1 << 62]):
+        batch = ev.where((F.col("ts") >= lo) & (F.col("ts") < hi))
+        runs = tables.compact_runs(spark, [*runs, tables.append_delta(batch, buckets=buckets)], buckets)
+    return tables.read_merged(spark, base, runs, buckets)
+
+
+def hot_region_files(spark, sf):
+    """Order keys, a third of them below one prefix, in region directories; the rows of a
+    key range and whether every region is below twice its share."""
+    counted = shared_path(spark, "hot_counts")
+    fx.line_input(spark, sf, "hot_key_counts").write.parquet(counted)
+    kc = spark.read.parquet(counted)
+    starts = splits.key_starts(kc, "key", REGIONS)
+    path = files.write_region_cells(_count_cells(kc), shared_path(spark, "hot_regions"), starts, _layout_parts(spark))
+    stored = spark.read.parquet(path)
+    mass = stored.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    even = mass.agg((F.max("n") * REGIONS <= 2 * F.sum("n")).alias("balanced"))  # one row
+    lo, hi = REGION_SCAN
+    return scan.scan_regions(stored, starts, gte=lo, lt=hi).select("row", "family", "qualifier", "ts", "value").crossJoin(F.broadcast(even))
+
+
+def _count_cells(kc):
+    return kc.select(
+        F.col("key").alias("row"), F.lit("k").alias("family"), F.lit("n").alias("qualifier"),
+        F.lit(fx.LOAD_TS).cast("bigint").alias("ts"), F.col("cnt").cast("string").alias("value"),
+    )
+
+
+RUN_PARTITIONS = 36
+
+
+def placed_runs(spark, sf):
+    """U4: the same keys placed by partition, hot partitions cut into ordered runs of a file
+    each: rows of each partition, those misplaced, and whether the largest file is below
+    twice the mean."""
+    kc = fx.line_input(spark, sf, "hot_key_counts")
+    cdf = keyspace.sampled_cdf(_key_counts(spark, sf), "key", "cnt", chars=PREFIX_CHARS)
+    path = shared_path(spark, "runs")
+    starts = files.write_partition_runs(_count_cells(kc), path, RUN_PARTITIONS, cdf, PREFIX_CHARS)
+    stored = spark.read.parquet(path).select("row", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file"))
+    told = keyspace.assign_run(stored, "row", RUN_PARTITIONS, starts, cdf, PREFIX_CHARS)
+    files_ = told.groupBy("partition", "file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("file") != F.col("run_id")).cast("long")).alias("wrong"))
+    even = files_.agg((F.max("n") <= 2 * F.avg("n")).alias("balanced"))  # one row
+    each = files_.groupBy("partition").agg(F.sum("n").alias("n"), F.sum("wrong").alias("misplaced"))
+    return each.crossJoin(F.broadcast(even))
+
+
+PAGE = 50
+
+
+def family_pages(spark, sf):
+    """Whole families of rows of very different width, in pages with a cursor."""
+    paged = scan.scan_pages(fx.line_item_cells(spark, sf), "li", PAGE)
+    told = F.array_join(F.transform("bag", lambda c: F.concat_ws("=", c["qualifier"], c["value"])), ",")
+    return paged.select("row", "page", F.size("bag").cast("long").alias("n"), "cursor", F.sha2(told, 256).alias("bag_sha256"))
+
+
+def sorted_bag_files(spark, sf):
+    """O2: the cells of each row in the order in which a file holds them."""
+    path = shared_path(spark, "bags")
+    store_bag_cells(spark, sf).write.parquet(path)
+    stored = spark.read.parquet(path).select("row", "qualifier", F.struct("_metadata.file_path", "_metadata.row_index").alias("at"))
+    held = F.transform(F.sort_array(F.collect_list(F.struct("at", "qualifier"))), lambda x: x["qualifier"])
+    rows = stored.groupBy("row").agg(held.alias("held"))  # two cells a row
+    return rows.select("row", F.size("held").cast("long").alias("n"), (F.col("held") == F.array_sort("held")).alias("in_order"))
+
+
+def _backwards(c, dtype):
+    return F.reverse(c.cast("string")).cast(dtype)
+
+
+def callable_caster(spark, sf):
+    """Values stored by a caster of the caller's (text backwards), seen as stored and as
+    loaded back by it."""
+    rows = fx.part_rows(spark, sf).select("key", "name", "size")
+    stored = tuples.store_rows(rows, "b:name b:size", caster=lambda c, _: F.reverse(c.cast("string")), now=fx.LOAD_TS)
+    raw = scan.scan_columns(stored, "b:name b:size").toDF("row", "raw_name", "raw_size")
+    return scan.scan_typed(stored, "b:name b:size", ["string", "int"], caster=_backwards).join(raw, "row")
+
+
+def sketched_cdf(spark, sf):
+    """A quantile sketch saved with each of three loads, merged to a CDF, beside the exact
+    one: whether it is within the sketch's error."""
+    path = shared_path(spark, "sketches")
+    li = fx.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("key"), "l_returnflag")
+    for flag in ("A", "N", "R"):
+        keyspace.key_sketch(li.where(F.col("l_returnflag") == flag), "key", PREFIX_CHARS).write.mode("append").parquet(path)
+    told = keyspace.sketch_cdf(spark.read.parquet(path), PREFIX_CHARS).withColumnRenamed("cdf", "told")
+    near = F.abs(F.col("told") - F.col("cdf")) <= keyspace.SKETCH_ERROR
+    return sampled_cdf(spark, sf).join(told, "prefix").select("prefix", "n", "cdf", near.alias("within"))
+
+
 # --- key space ----------------------------------------------------------------------
 
 
@@ -480,6 +624,17 @@ QUERIES: dict[str, Query] = {
     "sampled_cdf_file": sampled_cdf_file,
     "scan_bounds": scan_bounds,
     "scan_empty_cells": scan_empty_cells,
+    "touched_region_upsert": touched_region_upsert,
+    "indexed_audit": indexed_audit,
+    "early_region_limit": early_region_limit,
+    "byte_key_range": byte_key_range,
+    "merged_run_cells": merged_run_cells,
+    "hot_region_files": hot_region_files,
+    "placed_runs": placed_runs,
+    "family_pages": family_pages,
+    "sorted_bag_files": sorted_bag_files,
+    "callable_caster": callable_caster,
+    "sketched_cdf": sketched_cdf,
     "sampled_cdf": sampled_cdf,
     "benford_cdf": benford_cdf,
     "assign_partition": assign_partition,

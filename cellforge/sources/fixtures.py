@@ -49,6 +49,15 @@ select concat_ws(chr(9),cast(s_suppkey as varchar(20)),'base','name',s_name,
 union all
 select concat_ws(chr(9),cast(s_suppkey as varchar(20)),'base','nation',
   case when s_suppkey%9=0 then '' else cast(s_nationkey as varchar(20)) end) from {supplier}""",
+    # the same with a third of the keys below one long prefix
+    "hot_key_counts": """
+select case when l_orderkey%3=0 then concat('555',cast(l_orderkey as varchar(20))) else cast(l_orderkey as varchar(20)) end as key,
+  count(*) as cnt from {lineitem} group by l_orderkey""",
+    # cell lines whose row keys hold an escaped byte
+    "byte_key_lines": """
+select concat_ws(chr(9),concat(chr(92),'x',substr('0123456789abcdef',cast(floor(o_orderkey%256/16) as int)+1,1),
+  substr('0123456789abcdef',cast(o_orderkey%16 as int)+1,1),cast(o_orderkey as varchar(20))),'o','cust',cast(o_custkey as varchar(20))) as line
+from {orders}""",
     # (numeric string, count) samples of the order keys
     "key_counts": """
 select cast(l_orderkey as varchar(20)) as key, count(*) as cnt from {lineitem} group by l_orderkey""",
@@ -80,21 +89,28 @@ def line_sql(name: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", LINE_SQL[name])
 
 
+PARTS_A_LINE = 4
+
+
 def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: the order key and its part keys ascending, tab-joined."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_orderkey").agg(
+    """Per order, its key and part keys ascending, tab-joined.  An order's parts are dealt by
+    part key to as many lines as it needs for PARTS_A_LINE each, so none is one long line."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    sizes = li.groupBy("l_orderkey").agg(F.floor((F.count(F.lit(1)) + PARTS_A_LINE - 1) / PARTS_A_LINE).alias("lines"))
+    dealt = li.join(sizes, "l_orderkey").withColumn("dealt", F.col("l_partkey") % F.col("lines"))
+    return dealt.groupBy("l_orderkey", "dealt").agg(
         F.concat_ws(
             "\t",
             F.col("l_orderkey").cast("string"),
             F.array_join(F.transform(F.sort_array(F.collect_list("l_partkey")), lambda x: x.cast("string")), "\t"),
         ).alias("line")
-    )
+    ).select("line")
 
 
-ADJACENCY_SQL = """
+ADJACENCY_SQL = f"""
 select cast(l_orderkey as varchar) || chr(9) || string_agg(cast(l_partkey as varchar), chr(9) order by l_partkey) as line
-from lineitem group by l_orderkey"""
+from lineitem join (select l_orderkey, (count(*)+{PARTS_A_LINE - 1})//{PARTS_A_LINE} as lines from lineitem group by l_orderkey) using (l_orderkey)
+group by l_orderkey, l_partkey % lines"""
 
 
 def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +211,37 @@ union all
 select cast(c_custkey*2+1 as varchar) as key from customer"""
 
 
+def indexed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key between the rows of every customer, which is no row, and the customers' keys that
+    begin with 7."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    return c.select(F.explode(F.array(F.concat(key, F.lit("x")), F.when(key.startswith("7"), key))).alias("key")).where("key is not null")
+
+
+INDEXED_KEYS_SQL = """
+select cast(c_custkey as varchar) || 'x' as key from customer
+union all
+select cast(c_custkey as varchar) from customer where cast(c_custkey as varchar) like '7%'"""
+
+
+def line_item_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of very different width: a row for each return flag, and one for each order."""
+    li = table(spark, sf_dir, "lineitem")
+    place = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    cell = lambda row, family: F.struct(row.alias("row"), F.lit(family).alias("family"))
+    both = F.array(cell(F.concat(F.lit("flag-"), F.col("l_returnflag")), "li"), cell(F.col("l_orderkey").cast("string"), "li"))
+    return li.select(
+        F.inline(both), place.alias("qualifier"), F.lit(LOAD_TS).cast("bigint").alias("ts"), F.col("l_partkey").cast("string").alias("value")
+    )
+
+
+LINE_ITEM_CELLS_SQL = """
+select 'flag-' || l_returnflag as row, l_orderkey || '-' || l_linenumber as qualifier, cast(l_partkey as varchar) as value from lineitem
+union all
+select cast(l_orderkey as varchar), l_orderkey || '-' || l_linenumber, cast(l_partkey as varchar) from lineitem"""
+
+
 def audit_key_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``line`` and its order ``custkey, i``: the listed keys of each customer, with a blank
     line after one that ends in 7.  In this order, not in key order."""

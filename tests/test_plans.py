@@ -70,7 +70,7 @@ def _above_scan(df, table, node):
     """Plan lines that name ``node`` between the scan of ``table`` and the join or union above."""
     lines = physical_plan(df).splitlines()
     at = next(i for i, line in enumerate(lines) if table in line)
-    top = max(i for i, line in enumerate(lines[:at]) if "Union" in line or "ShuffledHashJoin" in line)
+    top = max(i for i, line in enumerate(lines[:at]) if "Union" in line or "SortMergeJoin" in line)
     return [line for line in lines[top : at + 1] if node in line]
 
 
