@@ -1,4 +1,4 @@
-"""Benchmark decontamination: containment search by an exact join of shingles.
+"""Benchmark decontamination: containment search by size-partitioned MinHash sketches.
 
 An item is its set of ``shingle``-word shingles (an item with fewer words: its whole word
 sequence), words lower-cased (A-Z).  A document contains the item if at least ``share`` of
@@ -6,12 +6,16 @@ the item's shingles occur in it, however long the document is.
 
 Items are partitioned by their number q of shingles.  A document that holds at least
 m = ceil(share * q) of them misses at most q - m, so it holds one of any q - m + 1.  Each
-size partition therefore keeps, as the item's MinHash sketch, its q - m + 1 smallest
-hashes; a document is a candidate if one of its shingles is in the sketch.  Unlike banded
-MinHash, whose chance falls with the length of the document, this loses no item in a long
-document.  All shingles of the items are met and counted in one pass, and the sketch is a
-flag there: it drops no row, and only shingles that a document shares with an item are
-ever shuffled.
+size partition therefore keeps, as the item's sketch, its q - m + 1 least shingles, in the order
+of (items that hold the shingle, hash): a shingle of a template that many items share comes
+last.  A document is a candidate for an item if one of its shingles is in the sketch.
+Unlike banded MinHash, whose chance falls with the length of the document, this loses no item
+in a long document.
+
+Candidates are found on hashes.  All sketches' hashes are marked in a filter of FILTER_WORDS
+words of 64 bits, broadcast (1 MB, whatever the number of items); only hashes of a document
+that it passes are shuffled.  Then the shingles of candidate documents alone are met, as
+texts, with all shingles of their candidate items, and counted.
 
 Defined cases: null, empty or blank texts have no words and hold and match nothing; a
 repeated document or item row gives its pairs once; documents shorter than the item's
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from cellforge.llm.tables import GAP_PATTERN, lower_ascii, stash
 
 SHINGLE, SHARE = 5, 0.8
+FILTER_WORDS = 1 << 16
 BLANKS = " \t\n\x0b\x0c\r"  # the characters of GAP_PATTERN
 
 
@@ -47,23 +52,49 @@ def shingle_texts(words: Column, width: int) -> Column:
     return F.transform(_starts(words, width), lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(width)]))
 
 
+def _by_width(words: Column, width: Column, most: int, made) -> Column:
+    """``made(w)`` for the width w of the row."""
+    out = None
+    for w in range(1, most + 1):
+        out = F.when(width == w, made(w)) if out is None else out.when(width == w, made(w))
+    return out
+
+
 def item_sketches(items: DataFrame, item: str, text: str, shingle: int = SHINGLE, share: float = SHARE) -> DataFrame:
-    """``item, width, shingles (distinct), least, sketch``: the shingles of each item, how
-    many a document must hold, and the hashes of which it then holds one at least."""
-    words = words_of(F.col(f"`{text}`"))
-    width = F.least(F.size("_words"), F.lit(shingle))
-    rows = items.select(F.col(f"`{item}`").alias("item"), words.alias("_words")).where(F.element_at("_words", 1) != "").distinct()
-    rows = rows.withColumn("width", width)
-    texts = None
-    for w in range(1, shingle + 1):
-        t = shingle_texts(F.col("_words"), w)
-        texts = F.when(F.col("width") == w, t) if texts is None else texts.when(F.col("width") == w, t)
-    made = rows.withColumn("shingles", F.array_distinct(texts))
-    made = made.withColumn("hashes", F.array_sort(F.transform("shingles", shingle_hash)))
-    least = F.ceil(F.lit(share) * F.size("shingles") - 1e-9).cast("int")
-    made = made.withColumn("least", F.greatest(least, F.lit(1)))
+    """``item, set, width, shingles (distinct), least, sketch``: the shingles of each item (set:
+    their hash, for items of one name), how many a document must hold, and the hashes of
+    which it then holds one at least."""
+    rows = items.select(F.col(f"`{item}`").alias("item"), words_of(F.col(f"`{text}`")).alias("words")).where(F.element_at("words", 1) != "").distinct()
+    rows = rows.withColumn("width", F.least(F.size("words"), F.lit(shingle)))
+    rows = rows.withColumn("shingles", F.array_distinct(_by_width(F.col("words"), F.col("width"), shingle, lambda w: shingle_texts(F.col("words"), w))))
+    least = F.greatest(F.ceil(F.lit(share) * F.size("shingles") - 1e-9).cast("int"), F.lit(1))
+    rows = rows.select("item", F.xxhash64("shingles").alias("set"), "width", "shingles", least.alias("least"))
+    rows = stash(rows, "item-shingles")
+    each = rows.select("item", "set", F.explode("shingles").alias("shingle")).select("item", "set", shingle_hash(F.col("shingle")).alias("hash"))
+    known = each.groupBy("hash").agg(F.count(F.lit(1)).alias("held"))
+    order = each.join(known, "hash").groupBy("item", "set").agg(F.sort_array(F.collect_list(F.struct("held", "hash"))).alias("order"))  # of one item
+    order = order.select(F.col("item").alias("i"), F.col("set").alias("s"), "order")
+    joined = rows.join(order, F.col("item").eqNullSafe(F.col("i")) & (F.col("set") == F.col("s")))
     size = F.size("shingles") - F.col("least") + 1
-    return made.select("item", "width", "shingles", "least", F.slice("hashes", F.lit(1), F.greatest(size, F.lit(1))).alias("sketch"))
+    sketch = F.slice(F.transform("order", lambda x: x["hash"]), F.lit(1), F.greatest(size, F.lit(1)))
+    return joined.select("item", "set", "width", "shingles", "least", sketch.alias("sketch"))
+
+
+def _candidates(texts: DataFrame, sketches: DataFrame, widths: list[int]) -> DataFrame:
+    """``doc, copy, item, set``: documents that hold a shingle of the item's sketch."""
+    probes = stash(sketches.select("item", "set", F.explode("sketch").alias("hash")), "item-probes")
+    place = F.pmod("hash", F.lit(64 * FILTER_WORDS))
+    bits = F.expr("bit_or(shiftleft(1L, cast(place & 63 as int)))")
+    marked = probes.withColumn("place", place).groupBy(F.shiftright("place", 6).alias("word")).agg(bits.alias("bits"))
+    words, held = words_of(F.col("text")), None
+    for w in widths:
+        hashes = F.array_distinct(F.transform(shingle_texts(F.col("words"), w), shingle_hash))
+        part = texts.select("doc", "copy", words.alias("words")).select("doc", "copy", F.explode(hashes).alias("hash"))
+        held = part if held is None else held.unionByName(part)
+    # Broadcast bound: FILTER_WORDS rows of two longs.
+    passed = held.withColumn("place", place).withColumn("word", F.shiftright("place", 6)).join(F.broadcast(marked), "word")
+    passed = passed.where(F.expr("bits & shiftleft(1L, cast(place & 63 as int)) != 0")).select("doc", "copy", "hash")
+    return passed.join(probes, "hash").select("doc", "copy", "item", "set").distinct()
 
 
 def contained_items(
@@ -72,22 +103,24 @@ def contained_items(
 ) -> DataFrame:
     """``doc, item, n_shingles, n_found, containment``: every pair at ``share`` or more."""
     sketches = stash(item_sketches(items, item, text, shingle, share), "item-sketches")
-    widths = sorted(r[0] for r in sketches.select("width").distinct().collect())  # at most ``shingle`` values
-    texts = docs.select(F.col(f"`{doc}`").alias("doc"), F.col(f"`{text}`").alias("text")).where(F.col("text").isNotNull())
-    spread = texts.select("doc", F.xxhash64("text").alias("copy"), words_of(F.col("text")).alias("words"))  # copy: tells rows of one id apart
-    held = None
-    for w in widths or [shingle]:
-        part = spread.select("doc", "copy", F.explode(shingle_texts(F.col("words"), w)).alias("shingle"))
+    widths = sorted(r[0] for r in sketches.select("width").distinct().collect()) or [shingle]  # at most ``shingle`` values
+    whole = F.col(f"`{text}`")
+    texts = docs.select(F.col(f"`{doc}`").alias("doc"), whole.alias("text"), F.xxhash64(whole).alias("copy")).where(whole.isNotNull())
+    found = stash(_candidates(texts, sketches, widths), "candidates")  # copy tells rows of one id apart
+
+    chosen = found.select(F.col("doc").alias("d"), F.col("copy").alias("c")).distinct()
+    mine = texts.join(chosen, F.col("doc").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")), "left_semi")
+    words, held = words_of(F.col("text")), None
+    for w in widths:
+        part = mine.select("doc", "copy", words.alias("words")).select("doc", "copy", F.explode(F.array_distinct(shingle_texts(F.col("words"), w))).alias("shingle"))
         held = part if held is None else held.unionByName(part)
-    # Each shingle of an item, and whether its hash is in the item's sketch.
     number = F.size("shingles").cast("long").alias("n_shingles")
-    probes = sketches.select("item", "least", number, F.xxhash64("shingles").alias("set"), "sketch", F.explode("shingles").alias("shingle"))
-    in_sketch = F.array_contains("sketch", shingle_hash(F.col("shingle"))).alias("in_sketch")
-    probes = probes.select("item", "set", "least", "n_shingles", "shingle", in_sketch)
-    found = held.join(probes, "shingle").distinct()
-    counted = found.groupBy("doc", "copy", "item", "set", "least", "n_shingles").agg(
-        F.max("in_sketch").alias("candidate"), F.count(F.lit(1)).alias("n_found")
-    )
-    return counted.where(F.col("candidate") & (F.col("n_found") >= F.col("least"))).select(
+    asked = sketches.select(F.col("item").alias("i"), F.col("set").alias("s"), "least", number, "shingles")
+    pairs = found.join(asked, F.col("item").eqNullSafe(F.col("i")) & (F.col("set") == F.col("s")))
+    pairs = pairs.select(F.col("doc").alias("d"), F.col("copy").alias("c"), "item", "set", "least", "n_shingles", F.explode("shingles").alias("asked"))
+    same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")) & (F.col("shingle") == F.col("asked"))
+    met = held.join(pairs, same).select("doc", "copy", "item", "set", "least", "n_shingles", "shingle").distinct()
+    counted = met.groupBy("doc", "copy", "item", "set", "least", "n_shingles").agg(F.count(F.lit(1)).alias("n_found"))
+    return counted.where(F.col("n_found") >= F.col("least")).select(
         "doc", "item", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment")
     ).distinct()

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellforge.llm.tables import ranked, stash, unstash
+from cellforge.llm.tables import packed, ranked, stash, unstash
 
 ACCURACY = 10_000
 
@@ -117,17 +117,17 @@ def hilbert_shards(df: DataFrame, dims: list[str], shards: int, bits: int = 4) -
     """``df`` with ``curve``, ``shard`` (0 to ``shards - 1``) and ``slot`` (0 up, no gap)."""
     if shards < 1:
         raise ValueError("shards must be 1 or more")
-    whole = [F.col(f"`{c}`") for c in df.columns]
-    curved = hilbert_curve(df.withColumn("_whole", F.xxhash64(*whole)), dims, bits)
-    keys = [F.col("curve"), *[F.col(f"`{d}`") for d in dims], F.col("_whole")]
-    rows, n = ranked(curved, keys, "hilbert")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    places = [f"d{i}" for i in range(len(dims))]
+    narrow = df.select(packed(df.drop("curve", "shard", "slot")), *[F.col(f"`{d}`").alias(p) for d, p in zip(dims, places)], whole.alias("whole"))
+    rows, n = ranked(hilbert_curve(narrow, places, bits), ["curve", *places, "whole"], "hilbert")
     small, more = divmod(n, shards)
     edge, rank = F.lit(more * (small + 1)), F.col("_rank")
     late = rank - edge
     cut = rows.withColumn(
         "shard", F.when(rank < edge, F.floor(rank / F.lit(small + 1))).otherwise(more + F.floor(late / F.lit(max(small, 1)))).cast("int")
     ).withColumn("slot", F.when(rank < edge, rank % (small + 1)).otherwise(late % max(small, 1)).cast("long"))
-    return cut.drop("_rank", "_whole")
+    return cut.select("row.*", "curve", "shard", "slot")
 
 
 def curve_neighbours_differ_by_one(bits: int, dims: int) -> bool:

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellforge.llm.tables import unused
+
 DIMS, GRAM = 1024, 3
 UNKNOWN = "und"
 GAP = 0  # stands for a run of characters that are no letters
@@ -207,5 +209,6 @@ def identify(docs: DataFrame, model: Prototypes, text: str = "text", dims: int =
                 at += len(some)
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    whole = docs.withColumn("_p", predicted(F.col(f"`{text}`")))
-    return whole.withColumn("lang_pred", F.col("_p.lang_pred")).withColumn("score", F.col("_p.score")).drop("_p")
+    p = unused(docs, "_p")
+    whole = docs.withColumn(p, predicted(F.col(f"`{text}`")))
+    return whole.withColumn("lang_pred", F.col(f"{p}.lang_pred")).withColumn("score", F.col(f"{p}.score")).drop(p)

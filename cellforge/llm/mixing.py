@@ -5,7 +5,8 @@ Each source has a weight and a target in words; a document's copies are fraction
 word mass moves from one document to the other, in a random direction whose odds keep
 every expectation, until one of the two is integral (0 or 1).  The other goes on.  So the
 source's word mass stays the same up to the last document left, which is rounded to the
-nearer side.
+nearer side.  That may be a long one, so what is then amiss is made up by other documents of the
+source, the longest that fits first, each taken once more or once less (``_repaired``).
 
 The pairs form a reduction tree of ``fanout``: documents are hashed into buckets of their
 source, each bucket leaves one fractional document, and ``fanout`` neighbouring buckets
@@ -15,7 +16,9 @@ reruns agree.  DataFrame operations only.
 Defined cases: a null source is a source of its own, last in order; a null or negative size
 counts 0; documents without words carry no mass and get one copy; rows that are equal in
 key, source and size are one unit and get equal copies (a row each in the result); an empty
-table gives an empty table.
+table gives an empty table.  Targets come from windows over one row for each source, so
+sources are thought of as sites or sets (a million rows of three numbers in one task), not
+as single pages.
 """
 
 from __future__ import annotations
@@ -140,7 +143,7 @@ def mix_sources(
     item = F.struct("key", "size", "times", "source_size", "target", "whole")
     start = known.select(
         "source",
-        F.pmod(F.xxhash64("key", "source"), buckets).cast("long").alias("bucket"),
+        F.pmod(F.xxhash64("key", "source", "size"), buckets).cast("long").alias("bucket"),
         item.alias("item"),
         (F.col("size") * F.col("times")).cast("double").alias("mass"),
         (F.col("share") - F.col("whole")).alias("p"),
@@ -161,9 +164,45 @@ def mix_sources(
     for part in done[1:]:
         every = every.unionByName(part)
     copies = F.when(F.col("mass") > 0.0, F.col("item.whole") + F.round("p").cast("int")).otherwise(F.lit(1))
+    settled = stash(every.select("source", "item", "mass", copies.alias("copies")), "mix-settled")
+    every = _repaired(settled, most, seed)
     if per_row:
         every = every.withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("item.times").cast("int"))))
     return every.select(
-        *[F.col(f"item.key.k{i}").alias(k) for i, k in enumerate(key)],
-        "source", "item.size", "item.source_size", "item.target", copies.alias("copies"),
+        *[F.col(f"item.key.k{i}").alias(k) for i, k in enumerate(key)], "source", "item.size", "item.source_size", "item.target", "copies"
     )
+
+
+SPARE = 2.0  # units looked at for each that may be needed
+
+
+def _repaired(settled: DataFrame, most: int, seed: int) -> DataFrame:
+    """``settled`` with the gap between each source's target and its taken words made up.
+
+    The gap is half the longest document at most.  Units no larger than it are classed by powers
+    of two; of each class about SPARE times as many as could fit into the gap are drawn by hash
+    (so the list of a source is bounded by the words of its longest document), and taken, the
+    largest that still fits first."""
+    gaps = settled.groupBy(F.col("source").alias("s")).agg((F.max("item.target") - F.sum(F.col("mass") * F.col("copies"))).alias("gap"))
+    gaps = stash(gaps.where(F.abs("gap") >= 1.0), "mix-gaps")
+    room = F.when(F.col("gap") > 0, F.col("copies") < most).otherwise(F.col("copies") > 0)
+    fits = settled.join(gaps, F.col("source").eqNullSafe(F.col("s"))).where(room & (F.col("mass") > 0) & (F.col("mass") <= F.abs("gap")))
+    u = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("repair"), "item.key", "source", "item.size"), 11) / F.lit(float(1 << 53))
+    fits = fits.select("s", "gap", "mass", "item.key", "item.size", F.floor(F.log2("mass")).alias("class"), u.alias("u"))
+    classes = stash(fits.groupBy(F.col("s").alias("cs"), F.col("class").alias("c")).agg(F.count(F.lit(1)).alias("n")), "mix-classes")
+    wanted = F.lit(SPARE) * (F.abs("gap") / F.pow(F.lit(2.0), F.col("class")) + 2.0)
+    drawn = fits.join(classes, F.col("s").eqNullSafe(F.col("cs")) & (F.col("class") == F.col("c"))).where(F.col("u") * F.col("n") < wanted)
+    lists = drawn.groupBy("s").agg(F.first("gap").alias("gap"), F.sort_array(F.collect_list(F.struct("mass", "u", "key", "size")), asc=False).alias("units"))
+    start = F.struct(F.abs("gap").alias("left"), F.lit("").alias("taken"))
+
+    def take(state: Column, unit: Column) -> Column:
+        fit = unit["mass"] <= state["left"]
+        left = F.when(fit, state["left"] - unit["mass"]).otherwise(state["left"])
+        return F.struct(left.alias("left"), F.concat(state["taken"], F.when(fit, "1").otherwise("0")).alias("taken"))
+
+    marked = lists.withColumn("taken", F.aggregate("units", start, take, lambda state: state["taken"]))
+    flips = marked.select("s", "gap", "taken", F.posexplode("units").alias("at", "unit")).where(F.expr("substring(taken, at + 1, 1) = '1'"))
+    flips = stash(flips.select("s", F.col("unit.key").alias("fk"), F.col("unit.size").alias("fs"), F.signum("gap").cast("int").alias("flip")), "mix-flips")
+    same = F.col("source").eqNullSafe(F.col("s")) & F.col("item.key").eqNullSafe(F.col("fk")) & (F.col("item.size") == F.col("fs"))
+    joined = settled.join(flips, same, "left")
+    return joined.select("source", "item", "mass", (F.col("copies") + F.coalesce("flip", F.lit(0))).alias("copies"))

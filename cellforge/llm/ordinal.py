@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellforge.llm.tables import stash
+from cellforge.llm.tables import stash, unused
 
 MOST_CLEAN, MOST_TOXIC = 5000, 3000
 MOST_FEATURES = 2000
@@ -120,11 +120,15 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, toxic: str) -> DataFrame:
-    """The bounded training sample: ``id, text, toxic``."""
+    """The training sample, ``id, text, toxic``: MOST_TOXIC and MOST_CLEAN rows at most."""
     told = labels.where(F.col(toxic).isNotNull()).groupBy(F.col(key).alias("id")).agg((F.max(toxic) > 0).alias("toxic"))
     order = [F.xxhash64("id"), F.col("id")]
     first = told.where("toxic").orderBy(*order).limit(MOST_TOXIC).unionByName(told.where("not toxic").orderBy(*order).limit(MOST_CLEAN))
-    return docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).join(first, "id")
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{text}`")).alias("h"))
+    # An id may have many rows: texts are chosen by their hashes, in the same order, and then fetched.
+    texts = stash(rows.select("id", "h").join(first, "id").distinct(), "toxicity-rows")
+    picked = [texts.where(kind).orderBy(*order, "h").limit(most) for kind, most in (("toxic", MOST_TOXIC), ("not toxic", MOST_CLEAN))]
+    return rows.join(picked[0].unionByName(picked[1]), ["id", "h"]).dropDuplicates(["id", "h"]).drop("h")
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", toxic: str = "toxic") -> OrdinalModel:
@@ -187,7 +191,8 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, text: str = "text") ->
             grades = -np.diff(np.concatenate((np.ones((len(above), 1)), above, np.zeros((len(above), 1))), axis=1), axis=1)
             yield pd.DataFrame({"toxic_odds": above[:, 0], "severity": above.sum(axis=1), "grade": grades.argmax(axis=1).astype("int32")})
 
-    whole = docs.withColumn("_s", scored(F.col(f"`{text}`")))
+    s = unused(docs, "_s")
+    whole = docs.withColumn(s, scored(F.col(f"`{text}`")))
     for c in ("toxic_odds", "severity", "grade"):
-        whole = whole.withColumn(c, F.col(f"_s.{c}"))
-    return whole.drop("_s")
+        whole = whole.withColumn(c, F.col(f"{s}.{c}"))
+    return whole.drop(s)

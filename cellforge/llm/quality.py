@@ -22,6 +22,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellforge.llm.tables import unused
+
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"  # fixed values
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
@@ -88,10 +90,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         rows = [text_counts(t.encode("utf-8", "replace") if t else b"") for t in column]
         return pd.DataFrame(rows, columns=list(COUNTS), dtype="int64")
 
-    whole = docs.withColumn("_counts", counts(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    found = unused(docs, "_counts")
+    whole = docs.withColumn(found, counts(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
     for c in COUNTS:
-        whole = whole.withColumn(c, F.col(f"_counts.{c}"))
-    return whole.drop("_counts")
+        whole = whole.withColumn(c, F.col(f"{found}.{c}"))
+    return whole.drop(found)
 
 
 def votes(rules=RULES) -> Column:

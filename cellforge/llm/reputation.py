@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellforge.llm.tables import lower_ascii, stash
+from cellforge.llm.tables import lower_ascii, stash, unused
 
 URL_PATTERN = r"://([^/?#]*)([^?#]*)"
 
@@ -117,10 +117,11 @@ def judge_urls(pages: DataFrame, url: str, outcome: str, rules: list[tuple[str,
     parsed = pages.drop(*drop).withColumn("host", url_host(F.col(f"`{url}`"))).withColumn("path", url_path(F.col(f"`{url}`")))
     rates = host_reputation(parsed.select("host", F.col(f"`{outcome}`").cast("int").alias("outcome")))
     joined = parsed.join(rates.select("host", F.col("rate").alias("bad_rate"), F.col("low").alias("bad_low")), "host")
-    ruled = joined.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
+    found = unused(joined, "_rule")
+    ruled = joined.withColumn(found, longest_rule(F.col("host"), F.col("path"), rules))
     own = F.when(F.col("bad_low") > limit, F.lit("block")).otherwise(F.lit("allow"))
     return (
-        ruled.withColumn("rule", F.col("_rule.rule"))
-        .withColumn("verdict", F.coalesce(F.col("_rule.verdict"), own))
-        .drop("_rule")
+        ruled.withColumn("rule", F.col(f"{found}.rule"))
+        .withColumn("verdict", F.coalesce(F.col(f"{found}.verdict"), own))
+        .drop(found)
     )

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellforge.llm.components import components
-from cellforge.llm.tables import stash
+from cellforge.llm.tables import packed, stash
 
 SHINGLE, MOST_BITS, SEED = 3, 3, 42
 BITS = 64
@@ -194,10 +194,10 @@ def first_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw
     """One row of ``docs`` for each component: that of the least key (null last), then of
     the least hash of its text, then of the whole row."""
     found = near_duplicates(docs, key, text, **kw)
-    least = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("_key"), F.col("text_hash").alias("_hash")))
-    keep = stash(found.groupBy("root").agg(least.alias("m")).select("m._key", "m._hash"), "simhash-keep")
-    hashed = docs.withColumn("_text_hash", F.xxhash64(F.col(f"`{text}`")))
-    mine = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.col("_text_hash") == F.col("_hash"))
-    kept = hashed.join(keep.distinct(), mine, "left_semi")
-    again = Window.partitionBy(F.col(f"`{key}`"), "_text_hash").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    return kept.withColumn("_n", F.row_number().over(again)).where("_n = 1").drop("_n", "_text_hash")
+    least = F.min(F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("key"), F.col("text_hash").alias("hash")))
+    keep = stash(found.groupBy("root").agg(least.alias("m")).select(F.col("m.key").alias("k"), F.col("m.hash").alias("h")), "simhash-keep")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(packed(docs), F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"), whole.alias("whole"))
+    kept = rows.join(keep.distinct(), F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h")), "left_semi")
+    again = Window.partitionBy("key", "hash").orderBy("whole")
+    return kept.withColumn("n", F.row_number().over(again)).where("n = 1").select("row.*")

@@ -76,6 +76,20 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return out, int(total)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def packed(df: DataFrame, name: str = "row") -> Column:
+    """The whole row as one struct, to be unpacked by ``name.*``: whatever its columns are
+    named, they don't meet an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z, all else as it is."""
     return F.translate(text, UPPER, LOWER)

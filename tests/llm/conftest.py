@@ -1,4 +1,6 @@
+import pathlib
 import random
+import re
 
 import pytest
 
@@ -37,5 +39,20 @@ def clashing(spark, edges):
     """The same documents with columns named as those that operators add or use."""
     from pyspark.sql import functions as F
 
-    names = ["shard", "slot", "key", "size", "words", "fingerprint", "root", "copies", "hash", "item", "score", "severity", "votes", "node", "p"]
-    return edges.select("*", *[F.lit(-1).alias(n) for n in names])
+    return edges.select("*", *[F.lit(-1).alias(n) for n in internal_names() if n.lower() not in {c.lower() for c in edges.columns}])
+
+
+def internal_names():
+    """Every name that the sources of the operators and the pipeline give a column."""
+    here = pathlib.Path(__file__).resolve().parents[2]
+    names = set()
+    for path in [*here.glob("cellforge/llm/*.py"), here / "corpus_pipeline.py"]:
+        text = path.read_text()
+        names |= set(re.findall(r"""(?:alias|withColumn|withColumnRenamed|F\.col|unused\(\w+,|packed\(\w+,)\(?\s*"([A-Za-z_]\w*)\"""", text))
+        names |= {n for part in re.findall(r"(?:select|drop|groupBy|join|partitionBy|orderBy)\(([^()]*)\)", text) for n in re.findall(r'"([A-Za-z_]\w*)"', part)}
+    kept, seen = [], set()
+    for n in sorted(names):
+        if n.lower() not in seen:
+            seen.add(n.lower())
+            kept.append(n)
+    return kept

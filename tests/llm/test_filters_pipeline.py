@@ -10,7 +10,7 @@ from cellforge.llm import containment, reputation
 from cellforge.llm.oracle import ORACLE
 from cellforge.llm.queries import QUERIES, URL_RULES
 from tests.conftest import SF_SMALL
-from tests.llm.conftest import DOC, edge_rows, prose
+from tests.llm.conftest import DOC, edge_rows, internal_names, prose
 from tools.compare import TABLES, digest
 
 
@@ -77,6 +77,35 @@ def test_containment_edges(spark, clashing, nothing):
     assert containment.contained_items(clashing, items.limit(0)).count() == 0
 
 
+def test_sketches_bound_what_is_shuffled(spark):
+    """Without broadcasts by size, no exchange sees the documents' shingles before the filter."""
+    from cellforge.plans.inspect import physical_plan
+
+    docs = spark.createDataFrame([(i, prose(i, 80)) for i in range(50)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, prose(3, 30))], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sketches = corpus_pipeline.stash(containment.item_sketches(items, "item_id", "text"), "t-sketches")
+        texts = docs.select(F.col("doc_id").alias("doc"), "text", F.xxhash64("text").alias("copy"))
+        plan = physical_plan(containment._candidates(texts, sketches, [5])).splitlines()
+        scan = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+        above = [line for line in plan[:scan] if "Exchange" in line or "BroadcastHashJoin" in line]
+        assert "BroadcastHashJoin" in above[-1] and "Exchange hashpartitioning(hash" in above[-2]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_template_shingles_make_no_pairs(spark):
+    """Items and documents that share a template's shingles are no candidates by these."""
+    head = "the question is as follows please answer"
+    items = spark.createDataFrame([(i, f"{head} {prose(1000 + i, 12)}") for i in range(40)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{prose(i, 20)} {head} {prose(50 + i, 20)}") for i in range(40)], "doc_id long, text string")
+    sketches = corpus_pipeline.stash(containment.item_sketches(items, "item_id", "text"), "t-sketches")
+    texts = docs.select(F.col("doc_id").alias("doc"), "text", F.xxhash64("text").alias("copy"))
+    assert containment._candidates(texts, sketches, [5]).count() == 0
+
+
 # --- reputation ---------------------------------------------------------------------
 
 
@@ -175,5 +204,8 @@ def test_pipeline_edges(spark, clashing, nothing):
             columns = docs.columns
             docs = corpus_pipeline.stash(stage(spark, docs, SF_SMALL), name)
             assert name == "sharding" or docs.columns == columns
+            extra = [c for c in internal_names() if c in docs.columns and c not in ("curve", "shard", "slot", "doc_id", "text", "lang", "source")]
+            assert frame is nothing or len(extra) > 100  # whatever they are named, they keep their values
+            assert frame is nothing or docs.where(" or ".join(f"`{c}` is null or `{c}` != -1" for c in extra)).count() == 0
         assert (docs.count() > 0) == (frame is clashing)
     assert len(edge_rows()) == clashing.count() and DOC

@@ -57,6 +57,15 @@ def test_strings_are_cut_by_their_whole_value(spark):
 
 def test_sharding_query_covers_all(spark):
     out = QUERIES["op2_hilbert_sharding"](spark, SF_SMALL).toPandas()
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").toPandas()
+    known = out.merge(docs.drop(columns="text"), on="doc_id")  # ids are unique: the order is that of the curve and the dimensions
+    plain = known.sort_values(["curve", "source", "lang", "n_chars", "doc_id"])["doc_id"].tolist()
+    n, at = len(plain), 0
+    for shard in range(24):
+        more = n // 24 + (shard < n % 24)
+        mine = out[out["shard"] == shard].sort_values("slot")
+        assert mine["doc_id"].tolist() == plain[at : at + more] and mine["slot"].tolist() == list(range(more))
+        at += more
     assert len(out) == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     sizes = out.groupby("shard").size()
     assert sizes.max() - sizes.min() <= 1 and set(out["law"]) == {"rows"}
@@ -105,6 +114,23 @@ def test_mass_is_kept_up_to_one_document(spark, fanout):
     assert key(out) == key(again)
 
 
+def test_targets_are_met_on_the_table(spark):
+    sf = SF_SMALL.replace("0.001", "0.01")
+    out = QUERIES["op5_mixing"](spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source").toPandas())
+    each = out.groupby("source").agg(n=("size", "size"), taken=("taken", "sum"), target=("target", "first"), longest=("size", "max"))
+    assert len(each) == 20 and (each["n"] >= 20).all()
+    assert ((each["taken"] - each["target"]).abs() <= 0.02 * each["target"]).all()
+    assert out["copies"].between(0, 3).all()
+
+
+def test_a_long_document_is_made_up_for(spark):
+    rows = [(0, "a", 5000)] + [(i, "a", 40 + i) for i in range(1, 100)] + [(1000 + i, "b", 50) for i in range(300)]
+    for seed in range(4):
+        out = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, size long"), ["doc_id"], "source", "size", seed=seed).toPandas()
+        for _, g in out.groupby("source"):
+            assert abs((g["size"] * g["copies"]).sum() - g["target"].iloc[0]) <= 50
+
+
 def test_rounding_is_fair(spark):
     """Over many seeds a document is taken as often as its share says."""
     frame = spark.createDataFrame([(i, "ab"[i % 2], 100 + i) for i in range(40)], "doc_id long, source string, size long")
