@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellforge.llm import containment, hilbert, mixing, ordinal, simhash
-from cellforge.llm.tables import stash, table, unstash, word_count
+from cellforge.llm.tables import packed, stash, table, unstash, word_count
 
 SHARDS = 24
 SHARD_DIMS = ["source", "lang", "n_chars", "doc_id"]
@@ -29,7 +29,7 @@ def _text_hash() -> Column:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose odds of any toxicity reach REJECT go; null and empty texts stay."""
     model = ordinal.fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    rows = docs.select(packed(docs), "text")
     scored = ordinal.score_toxicity(rows, model)
     return scored.where(F.col("toxic_odds") < ordinal.REJECT).select("row.*")
 
@@ -43,21 +43,19 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold a benchmark item to 0.8 or more of its shingles go."""
     hashed = docs.select("text", _text_hash().alias("hash")).where("text is not null")
     held = containment.contained_items(hashed, table(spark, sf_dir, "benchmark"), "hash")
-    held = stash(held.select(F.col("doc").alias("_leak")).distinct(), "leaks")
-    return docs.withColumn("_hash", _text_hash()).join(held, F.col("_hash") == F.col("_leak"), "left_anti").drop("_hash")
+    held = stash(held.select(F.col("doc").alias("leak")).distinct(), "leaks")
+    rows = docs.select(packed(docs), _text_hash().alias("hash"))
+    return rows.join(held, F.col("hash") == F.col("leak"), "left_anti").select("row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, 0 to 3 times."""
     sized = docs.select("doc_id", _text_hash().alias("hash"), "source", word_count(F.col("text")).alias("size"))
     mixed = mixing.mix_sources(sized, ["doc_id", "hash"], "source", "size", per_row=False)
-    mixed = mixed.select(F.col("doc_id").alias("_id"), F.col("hash").alias("_unit"), F.col("source").alias("_source"), F.col("copies").alias("_copies"))
-    mixed = stash(mixed.where(F.col("_copies") > 0), "mixed")
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_unit")) & F.col("source").eqNullSafe(F.col("_source"))
-    )
-    joined = docs.withColumn("_hash", _text_hash()).join(mixed, same)
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = stash(mixed.where("copies > 0").select("doc_id", "hash", "source", "copies"), "mixed").alias("m")
+    rows = docs.select(packed(docs), "doc_id", _text_hash().alias("hash"), "source").alias("r")
+    same = F.expr("r.doc_id <=> m.doc_id and r.hash = m.hash and r.source <=> m.source")
+    return rows.join(mixed, same).select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
