@@ -141,13 +141,17 @@ class LabelModel:
 
 #: What is expected of a rule before any document: the chances of its (good, bad) votes on
 #: good and on bad documents, and of the bad vote on the kind of document that it looks for.
-#: It counts for TRUST times as much as the documents, for LEAST documents at least: it
-#: settles what the votes leave open, alike at any size, and the votes outweigh it elsewhere.
-BEFORE_GOOD, BEFORE_BAD, BEFORE_OWN, TRUST, LEAST = (0.6, 0.005), (0.5, 0.2), 0.9, 0.01, 100.0
+#: It counts for TRUST times as much as the documents, alike at any number of them: it
+#: settles what the votes leave open, and the votes outweigh it elsewhere.
+BEFORE_GOOD, BEFORE_BAD, BEFORE_OWN, TRUST = (0.6, 0.001), (0.5, 0.2), 0.9, 0.01
+#: The false alarms of a rule that only votes bad are no matter of votes: a defect that one
+#: rule sees, and alarms of that rule on good documents, look alike.  So their chance is
+#: expected, and counts as much as the documents.
+SURE = 1.0
 NEVER_SEEN = 1e-9  # the chance of a good vote of a rule that has none
 
 
-PRIOR = 0.8  # least share of good documents, a parameter: the share itself is estimated
+PRIOR = 0.8  # share of good documents that EM begins with; it is estimated, from 0 to 1
 
 
 def fit_label_model(
@@ -160,9 +164,13 @@ def fit_label_model(
     where any rule may vote bad, and one for each rule without good votes, which looks for
     one defect.  Shares and chances are estimated.  Votes cannot tell false alarms of such a
     rule from its kind; there the expected chance of false alarms decides: a rule that votes
-    alone more often has found a kind, one that does so more seldom is not believed alone."""
+    alone more often (from some 0.3 % of the documents up) has found a kind, however common
+    it is, and one that does so more seldom is not believed alone.  Which side is good is
+    fixed by the votes' meaning: a good vote never speaks for a bad kind, nor a bad one for
+    good documents."""
     n, rules = patterns.shape
-    total, unit = weights.sum(), max(trust * weights.sum(), LEAST)
+    total = weights.sum()
+    unit = trust * total
     votes_ = np.stack([patterns < 0, patterns == 0, patterns > 0], axis=2).reshape(n, 3 * rules).astype(float)
     lone = np.flatnonzero(~(patterns > 0).any(axis=0)) if n else np.arange(0)
     before = np.empty((2 + len(lone), rules, 3))
@@ -173,15 +181,14 @@ def fit_label_model(
     before[:, :, 1] = 1 - before[:, :, 0] - before[:, :, 2]
     first = np.array([prior] + [(1 - prior) / (1 + len(lone))] * (1 + len(lone)))
     shares, chances, good = first, before, None
-    counted = (unit * first)[:, None, None]
+    counted = np.tile((unit * first)[:, None, None], (1, rules, 1)) + 1e-9  # no votes at all: as expected
+    counted[0, lone] = SURE * total + 1e-9
     for _ in range(rounds):
         score = np.log(shares) + votes_ @ np.log(chances).reshape(len(shares), -1).T
         side = np.exp(score - score.max(axis=1, keepdims=True)) if n else score
         side /= side.sum(axis=1, keepdims=True)
         held = side * weights[:, None]
         shares = (held.sum(axis=0) + first) / (total + 1)
-        if shares[0] < prior:
-            shares = np.append(prior, shares[1:] * (1 - prior) / shares[1:].sum())
         chances = ((held.T @ votes_).reshape(before.shape) + counted * before) / (held.sum(axis=0)[:, None, None] + counted)
         chances[1:, :, 0] = np.maximum(chances[1:, :, 0], chances[0, :, 0])  # a bad vote never speaks for good
         chances[1:, :, 2] = np.minimum(chances[1:, :, 2], chances[0, :, 2])  # nor a good one for bad

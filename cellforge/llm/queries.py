@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellforge.llm import chat, containment, hilbert, hyperlang, lm, merkle, mixing, ordinal, quality, repeats, reputation, simhash, whitening
-from cellforge.llm.tables import table, word_count
+from cellforge.llm.tables import stash, table, word_count
 
 SHARDS = 24
 SHARD_DIMS = ["source", "lang", "n_chars", "doc_id"]
@@ -61,7 +61,8 @@ def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts, and whether the weakly supervised model keeps it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    voted = quality.with_counts(docs).drop("text").withColumn("votes", quality.votes())
+    counted = stash(quality.with_counts(docs).drop("text"), "quality-counts")  # texts are counted once
+    voted = counted.withColumn("votes", quality.votes())
     model = quality.label_model(voted)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     posterior = model.posterior(F.col("votes"))

@@ -103,13 +103,23 @@ def test_em_recovers_accuracies():
     assert np.abs(np.array([g[0] for g in model.says_good]) - accuracy * cover).max() < 0.08
 
 
-def test_a_defect_that_one_rule_sees_is_enough():
-    """Seven rules abstain, one votes bad on a tenth of the documents; on half, it is not believed."""
-    patterns = np.array([[0.0] * 8, [0.0] * 7 + [-1.0]])
-    for often, believed in ((0.1, True), (0.5, False)):
-        model = quality.fit_label_model(patterns, np.array([1 - often, often]) * 10_000)
-        odds = [np.log(model.prior / (1 - model.prior)) + (p < 0) @ model.evidence()[:, 0] for p in patterns]
-        assert odds[0] > 0 and (odds[1] < 0) == believed
+@pytest.mark.parametrize("rule", [1, 2, 3, 5])
+def test_a_defect_that_one_rule_sees_is_junk_however_common(spark, rule):
+    """With the parameters of the query: both good votes and one bad one, on 1 to 60 % of the
+    documents, are junk, at any number of documents; on 0.1 % they are false alarms."""
+    clean = np.zeros(8)
+    clean[[0, 7]] = 1
+    bad = clean.copy()
+    bad[rule] = -1
+    patterns = np.array([clean, bad])
+    for often in (0.001, 0.01, 0.05, 0.2, 0.4, 0.5, 0.6):
+        for documents in (1_000, 1_000_000):
+            model = quality.fit_label_model(patterns, np.array([1 - often, often]) * documents)
+            s, c = np.log(model.shares), np.log(np.array(model.chances))
+            told = np.array([[s[k] + sum(c[k, j, int(v) + 1] for j, v in enumerate(p)) for k in range(len(s))] for p in patterns])
+            posterior = np.exp(told[:, 0] - np.logaddexp.reduce(told, axis=1))
+            assert posterior[0] > 0.5 and (posterior[1] < 0.5) == (often > 0.001)
+            assert often == 0.001 or abs(model.prior - (1 - often)) < 0.07  # the share is estimated
 
 
 def posteriors(spark, model, patterns):
