@@ -36,7 +36,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 SPARK_TO_DUCK = {"StringType()": "VARCHAR", "LongType()": "BIGINT", "IntegerType()": "INTEGER",
-                 "DoubleType()": "DOUBLE", "BinaryType()": "BLOB"}
+                 "DoubleType()": "DOUBLE", "BinaryType()": "BLOB", "BooleanType()": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
