@@ -5,7 +5,10 @@ suffix.  Rates shrink from the top down through beta-binomial priors: a suffix t
 overall rate, a domain towards its suffix, a host towards its domain.  How strongly is
 estimated by moments at each level: children that differ little from their parents pool
 more.  A host is blocked if the lower bound of its posterior bad rate passes a limit, so
-little evidence never blocks.
+little evidence never blocks.  The bound is that of a normal curve with the beta posterior's mean
+and variance: against the beta quantile it is off by 0.06 at most at 5 pseudo-counts, the
+least there are, 0.025 at 20 and 0.006 at 100; a host is blocked from a rate of 0.78 (beta: 0.82)
+at 5, 0.67 (0.68) at 20.
 
 Rules come first: a rule fits its host and all subdomains if the url's path starts with the
 rule's path; the longest wins.
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellforge.llm.tables import lower_ascii, stash, unused
+from cellforge.llm.tables import lower_ascii, stash, unstash, unused
 
 URL_PATTERN = r"://([^/?#]*)([^?#]*)"
 
@@ -99,11 +102,14 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     n, k = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0.0))
     overall = hosts.agg(((k + 0.5) / (n + 1.0)).alias("mean"), (n + 1.0).alias("known"))
-    suffixes = _shrunk(suffixes.join(F.broadcast(overall)))  # one row, as above
+    suffixes = stash(_shrunk(suffixes.join(F.broadcast(overall))), "suffixes")  # one row, as above
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     domains = _shrunk(domains.join(suffixes.select("suffix", F.col("rate").alias("mean"), F.col("weight").alias("known")), "suffix"))
+    domains = stash(domains, "domains")
     judged = hosts.join(domains.select("domain", "suffix", F.col("rate").alias("mean"), F.col("weight").alias("known")), ["domain", "suffix"])
     judged = stash(_shrunk(judged), "reputation")
+    for done in (hosts, suffixes, domains):
+        unstash(done)
     spread = Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("weight") + 1))
     return judged.select(
         "host", "domain", "suffix", "n", "k", F.col("mean").alias("prior"), "rate",
