@@ -61,6 +61,30 @@ def registered_domain(host: Column) -> Column:
     return F.array_join(F.slice(parts, -keep, keep), ".")
 
 
+def with_suffixes(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """``host`` and more -> also ``suffix`` and ``domain`` by a table of public suffix rules
+    (column ``rule``): names (``co.uk``), wildcards (``*.ck``: every label before it) and
+    exceptions (``!www.ck``), of which an exception wins, else the longest.  A host that no
+    rule fits has its last label as suffix.  Hosts meet the rules by an ordinary join of
+    their endings, so the table may be of any size."""
+    parts = F.split("host", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(k.alias("k"), F.array_join(F.slice(parts, -k, k), ".").alias("tail")))
+    ends = hosts.select("host", F.size(parts).alias("n"), F.explode(tails).alias("t")).select("host", "n", "t.k", "t.tail")
+    told = rules.select(F.trim(F.col("rule")).alias("rule")).where("rule is not null and rule != ''").distinct()
+    told = told.select(
+        F.regexp_replace("rule", r"^(!|\*\.)", "").alias("tail"), F.col("rule").startswith("!").alias("excepted"),
+        F.col("rule").startswith("*.").cast("int").alias("wild"),
+    )
+    # Labels of the suffix: a wildcard takes one more than its name, an exception one less.
+    labels = F.col("k") + F.col("wild") - F.col("excepted").cast("int")
+    fits = ends.join(told, "tail").where(labels <= F.col("n")).groupBy("host").agg(F.max(F.struct("excepted", labels.alias("labels"))).alias("best"))
+    best = hosts.join(fits.withColumnRenamed("host", "ruled"), F.col("host") == F.col("ruled"), "left")
+    labels, n = F.coalesce("best.labels", F.lit(1)), F.size(parts)
+    suffix = F.array_join(F.slice(parts, -labels, labels), ".")
+    more = F.least(labels + 1, n)
+    return best.withColumn("suffix", suffix).withColumn("domain", F.array_join(F.slice(parts, -more, more), ".")).drop("ruled", "best")
+
+
 def longest_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """Struct (rule, verdict) of the longest fitting of ``(verdict, "host/path")``; else null."""
     found = None
@@ -94,11 +118,16 @@ def _shrunk(level: DataFrame) -> DataFrame:
     return with_strength.withColumn("rate", (F.col("k") + F.col("strength") * F.col("mean")) / F.col("weight"))
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, suffix_rules: DataFrame | None = None) -> DataFrame:
     """``host, outcome (0/1 or null) -> host, domain, suffix, n, k, prior, rate, low, high``:
-    the posterior bad rate of every host with its bounds."""
+    the posterior bad rate of every host with its bounds.  ``suffix_rules``: a table of public
+    suffix rules (``with_suffixes``); without it SECOND_LEVEL names registries' labels."""
     hosts = outcomes.groupBy("host").agg(F.count("outcome").alias("n"), F.coalesce(F.sum("outcome"), F.lit(0)).cast("double").alias("k"))
-    hosts = stash(hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", host_suffix(F.col("host"))), "hosts")
+    if suffix_rules is None:
+        hosts = hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", host_suffix(F.col("host")))
+    else:
+        hosts = with_suffixes(hosts, suffix_rules)
+    hosts = stash(hosts, "hosts")
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     n, k = F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("k"), F.lit(0.0))
     overall = hosts.agg(((k + 0.5) / (n + 1.0)).alias("mean"), (n + 1.0).alias("known"))
@@ -117,11 +146,13 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def judge_urls(pages: DataFrame, url: str, outcome: str, rules: list[tuple[str, str]], limit: float = BAD_LIMIT) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, url: str, outcome: str, rules: list[tuple[str, str]], limit: float = BAD_LIMIT, suffix_rules: DataFrame | None = None
+) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict, bad_rate, bad_low`` (replaced if there)."""
     drop = [c for c in ("host", "path", "rule", "verdict", "bad_rate", "bad_low") if c not in (url, outcome)]
     parsed = pages.drop(*drop).withColumn("host", url_host(F.col(f"`{url}`"))).withColumn("path", url_path(F.col(f"`{url}`")))
-    rates = host_reputation(parsed.select("host", F.col(f"`{outcome}`").cast("int").alias("outcome")))
+    rates = host_reputation(parsed.select("host", F.col(f"`{outcome}`").cast("int").alias("outcome")), suffix_rules)
     joined = parsed.join(rates.select("host", F.col("rate").alias("bad_rate"), F.col("low").alias("bad_low")), "host")
     found = unused(joined, "_rule")
     ruled = joined.withColumn(found, longest_rule(F.col("host"), F.col("path"), rules))

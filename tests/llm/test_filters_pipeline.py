@@ -149,6 +149,23 @@ def test_domains(spark):
     ]
 
 
+def test_suffix_rules_from_a_table(spark):
+    rules = ["com", "uk", "co.uk", "ne.jp", "jp", "*.ck", "!www.ck", "github.io", "io", "*.kawasaki.jp", "!city.kawasaki.jp", "", None, "com"]
+    want = {  # host: suffix, domain
+        "a.b.com": ("com", "b.com"), "com": ("com", "com"), "x.y.co.uk": ("co.uk", "y.co.uk"), "co.uk": ("co.uk", "co.uk"), "b.uk": ("uk", "b.uk"),
+        "p.q.ne.jp": ("ne.jp", "q.ne.jp"), "a.b.c.ck": ("c.ck", "b.c.ck"), "c.ck": ("c.ck", "c.ck"), "ck": ("ck", "ck"), "www.ck": ("ck", "www.ck"), "z.www.ck": ("ck", "www.ck"),
+        "me.github.io": ("github.io", "me.github.io"), "a.b.kawasaki.jp": ("b.kawasaki.jp", "a.b.kawasaki.jp"), "x.city.kawasaki.jp": ("kawasaki.jp", "city.kawasaki.jp"),
+        "no.rule": ("rule", "no.rule"), "": ("", ""), "single": ("single", "single"),
+    }
+    hosts = spark.createDataFrame([(h, 1) for h in want], "host string, n int")
+    table = spark.createDataFrame([(r,) for r in rules], "rule string")
+    got = {r["host"]: (r["suffix"], r["domain"]) for r in reputation.with_suffixes(hosts, table).collect()}
+    assert got == want
+    pages = spark.createDataFrame([(i, f"http://{h}/", 1 if "github" in h else None) for i, h in enumerate(want)], "page_id long, url string, bad int")
+    judged = reputation.judge_urls(pages, "url", "bad", [], suffix_rules=table)
+    assert judged.count() == len(want) and judged.columns == [*pages.columns[:0], *reputation.judge_urls(pages, "url", "bad", []).columns]
+
+
 def test_no_pages(spark):
     assert judged(spark, []) == {}
 
