@@ -449,9 +449,9 @@ def hot_region_files(spark, sf):
     path = files.write_region_cells(_count_cells(kc), shared_path(spark, "hot_regions"), starts, _layout_parts(spark))
     stored = spark.read.parquet(path)
     mass = stored.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    even = mass.agg((F.max("n") * REGIONS <= 2 * F.sum("n")).alias("balanced"))  # one row
+    even = mass.agg((F.max("n") * REGIONS <= 2 * F.sum("n")).alias("balanced")).first()["balanced"]
     lo, hi = REGION_SCAN
-    return scan.scan_regions(stored, starts, gte=lo, lt=hi).select("row", "family", "qualifier", "ts", "value").crossJoin(F.broadcast(even))
+    return scan.scan_regions(stored, starts, gte=lo, lt=hi).select("row", "family", "qualifier", "ts", "value", F.lit(even).alias("balanced"))
 
 
 def _count_cells(kc):
@@ -475,9 +475,9 @@ def placed_runs(spark, sf):
     stored = spark.read.parquet(path).select("row", F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int").alias("file"))
     told = keyspace.assign_run(stored, "row", RUN_PARTITIONS, starts, cdf, PREFIX_CHARS)
     files_ = told.groupBy("partition", "file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("file") != F.col("run_id")).cast("long")).alias("wrong"))
-    even = files_.agg((F.max("n") <= 2 * F.avg("n")).alias("balanced"))  # one row
+    even = files_.agg((F.max("n") <= 2 * F.avg("n")).alias("balanced")).first()["balanced"]
     each = files_.groupBy("partition").agg(F.sum("n").alias("n"), F.sum("wrong").alias("misplaced"))
-    return each.crossJoin(F.broadcast(even))
+    return each.withColumn("balanced", F.lit(even))
 
 
 PAGE = 50
