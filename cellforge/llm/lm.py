@@ -1,17 +1,21 @@
 """Language-model scoring with a sharded Elias-Fano n-gram trie.
 
-The model is a bigram model with a Dirichlet prior: after context c with C(c) training
-occurrences, P(w | c) = (C(c, w) + MU * P1(w)) / (C(c) + MU), where P1(w) = (c(w) + 1) /
+The model has n-grams up to ``order`` with a Dirichlet prior: after the context h of k - 1
+tokens with C(h) training occurrences, Pk(w | h) = (C(h, w) + MU * Pk-1(w | h')) / (C(h) + MU),
+h' being h without its first token, and Pk = Pk-1 where h is new.  P1(w) = (c(w) + 1) /
 (N + V + 1) leaves one share for all unknown words.  The trie stores the quantised smoothed
-probability C(c, w) / (C(c) + MU) of each training bigram; the share MU / (C(c) + MU) of the
-lower order follows from C(c).  Words are lower-cased (A-Z); every text ends in an end token,
+probability C(h, w) / (C(h) + MU) of each training n-gram; the share MU / (C(h) + MU) of the
+lower order follows from C(h).  Words are lower-cased (A-Z); every text ends in an end token,
 and starts after a start context.
 
 The work is cut twice.  By documents: a chunk is a run of documents with about CHUNK tokens,
-for which only its distinct words and distinct bigrams leave the task.  By bigrams: a shard
-sums the counts of all chunks for its bigrams, builds its trie and answers the chunks'
-lookups; a frequent context is spread over shards by its words.  Chunks and shards have a
-bounded size and grow in number with the corpus; no task and not the driver holds the model.
+for which only its distinct words and distinct n-grams leave the task.  By n-grams: a shard of
+a level sums the counts of all chunks for its n-grams, builds its trie and answers the chunks'
+lookups; a frequent context is spread over shards by its words.  A level is asked after the
+one before has answered: the answer names each n-gram's node (its shard and place there), and
+nodes are the contexts of the next level, whose counts follow from the stored probability
+(exactly below 2,000, within 0.03 % above).  Chunks and shards have a bounded size and grow in
+number with the corpus; no task and not the driver holds the model.
 
 Defined cases: a null, empty or blank text is the end token alone; whole texts are scored;
 repeated rows teach and are scored each; without training documents P1 is 1 for every token
@@ -39,11 +43,12 @@ CHUNK = 2_500_000  # tokens of a chunk, but for its last document
 SHARD = 2_000_000  # training and lookup tokens per shard, on average
 SPREAD = 8  # a context of over SHARD / SPREAD occurrences is spread over shards
 END, START, UNKNOWN = 0, 1, -1  # ids; words have 2 and up
-LOW = 0xFFFFFFFF  # a pair is context << 32 | word
+LOW = 0xFFFFFFFF  # an n-gram is its context's number << 32 | word; a node is shard << 32 | place
 
 PACKED_ROWS = 500_000  # word rows packed at a time
 CHUNK_ROWS = "chunk long, doc_ids array<long>, train binary, lengths binary, tokens binary, words array<binary>, counts array<int>"
 RESOLVED_ROWS = "chunk long, doc_ids array<long>, train binary, lengths binary, tokens binary, ids binary, counts binary"
+LEVEL = "array<struct<shard: int, codes: binary, places: binary>>"  # a level's answers to a chunk
 
 
 def _pack(values: np.ndarray, level: int = 1) -> bytes:
@@ -116,36 +121,64 @@ def batched(body, rows: int):
     return run
 
 
-class Bigrams:
-    """A chunk's tokens as global ids, and its distinct known bigrams in order."""
+class Grams:
+    """A chunk's tokens, their probabilities by the levels answered so far, and the chunk's
+    distinct known n-grams of the next level, in order."""
 
-    def __init__(self, row, starts: int, mu: float, total: int, kinds: int) -> None:
+    def __init__(self, row, levels: list, starts: int, mu: float, total: int, kinds: int, shards: int) -> None:
         tokens, self.lengths = _unpack(row.tokens, "<i4"), _unpack(row.lengths, "<i4").astype(np.int64)
         self.train = np.frombuffer(row.train, dtype=np.uint8).astype(bool)
         self.first = np.cumsum(self.lengths) - self.lengths
-        ids, self.counts = _unpack(row.ids, "<i4")[tokens], _unpack(row.counts, "<i8")[tokens]
-        context, seen = np.empty_like(ids), np.empty_like(self.counts)  # the token before, and its occurrences
-        context[1:], seen[1:] = ids[:-1], self.counts[:-1]
-        context[self.first], seen[self.first] = START, starts
-        self.known = (ids >= 0) & (context >= 0) & (seen > 0)
-        keys = (context[self.known].astype(np.int64) << 32) | ids[self.known]
-        del ids, context, tokens
-        self.pairs, index, self.where = np.unique(keys, return_index=True, return_inverse=True)
+        self.mu, self.shards = mu, shards
+        self.ids, self.counts = _unpack(row.ids, "<i4")[tokens], _unpack(row.counts, "<i8")[tokens]
+        del tokens
+        self.base = (self.counts + 1.0) / (total + kinds + 1.0)
+        self.p = self.base.copy()
+        self._open(self.ids.astype(np.int64), self.counts, START, starts)
+        for level in levels:
+            self._read(level)
+
+    def _open(self, ends: np.ndarray, times: np.ndarray, start: int, starts: int) -> None:
+        """The next level: a token's context is what ends at the token before."""
+        context, seen = np.empty_like(ends), np.empty_like(times)
+        context[1:], seen[1:] = ends[:-1], times[:-1]
+        context[self.first], seen[self.first] = start, starts
+        self.known = (self.ids >= 0) & (context >= 0) & (seen > 0)
+        self.contexts, number = np.unique(context[self.known], return_inverse=True)
+        del context
+        keys = (number.astype(np.int64) << 32) | self.ids[self.known]
+        del number
+        self.grams, index, self.where = np.unique(keys, return_index=True, return_inverse=True)
         del keys
         self.where = self.where.astype(np.int32)
         self.context_counts = seen[self.known][index]
         trained = np.repeat(self.train, self.lengths)[self.known]
-        self.trained = np.bincount(self.where[trained], minlength=len(self.pairs))
-        self.backed = (self.counts + 1.0) / (total + kinds + 1.0)
-        self.backed *= np.where(seen > 0, mu / (seen + mu), 1.0)
-
-    def by_shard(self, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-        """(shard, places of its pairs in order); a pair's shard depends on the pair and
-        its context's count alone."""
-        context, word = self.pairs >> 32, self.pairs & LOW
+        self.trained = np.bincount(self.where[trained], minlength=len(self.grams))
+        self.p *= np.where(seen > 0, self.mu / (seen + self.mu), 1.0)
+
+    def _read(self, answers: list) -> None:
+        """Adds the level's probabilities; opens the next one where the answers have places."""
+        told = {x["shard"]: x for x in answers}
+        stored, node = np.zeros(len(self.grams)), np.full(len(self.grams), UNKNOWN, dtype=np.int64)
+        for shard, mine in self.by_shard():
+            codes = _unpack(told[shard]["codes"], "<u2")
+            stored[mine] = np.where(codes > 0, 10.0 ** dequantise(codes), 0.0)
+            if told[shard]["places"] is not None:
+                node[mine[codes > 0]] = (shard << 32) | _unpack_sorted(told[shard]["places"])
+        self.p[self.known] += stored[self.where]
+        if any(x["places"] is not None for x in answers):
+            times = np.rint(stored * (self.context_counts + self.mu)).astype(np.int64)
+            ends, seen = np.full(len(self.ids), UNKNOWN, dtype=np.int64), np.zeros(len(self.ids), dtype=np.int64)
+            ends[self.known], seen[self.known] = node[self.where], times[self.where]
+            self._open(ends, seen, UNKNOWN, 0)
+
+    def by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, places of its n-grams in order); an n-gram's shard depends on the n-gram
+        and its context's count alone."""
+        context, word = self.contexts[self.grams >> 32], self.grams & LOW
         spread = -(-self.context_counts * SPREAD // SHARD)
         mixed = (context * 1_000_003 + word % np.maximum(spread, 1)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        shard = ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+        shard = ((mixed >> np.uint64(33)) % np.uint64(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         for start, stop in zip(cuts, np.append(cuts[1:], len(order))):
@@ -156,9 +189,12 @@ class Bigrams:
         return np.add.reduceat(values, self.first) if len(self.first) else np.empty(0)
 
 
-def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", mu: float = MU) -> DataFrame:
+def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str = "text", mu: float = MU, order: int = 2) -> DataFrame:
     """``key, train, n_tokens, n_known, train_tokens, base_score, score``: a row for each row
-    of ``docs``, scores as log10; learns where the boolean column ``train`` holds."""
+    of ``docs``, scores as log10; learns n-grams up to ``order`` (2 or more) where the boolean
+    column ``train`` holds."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     rows = docs.select(
         F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), F.coalesce(F.col(f"`{train}`"), F.lit(False)).alias("train")
     )
@@ -205,62 +241,88 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
     for done in (chunks, counted, vocabulary):
         unstash(done)
 
-    def bigrams(row) -> Bigrams:
-        return Bigrams(row, starts, mu, total, kinds)
+    def grams(row, levels: list) -> Grams:
+        return Grams(row, levels, starts, mu, total, kinds, shards)
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The distinct bigrams of each chunk, by shard."""
+        """The distinct n-grams of each chunk, by shard, as contexts and their words."""
         for frame in frames:
             for row in frame.itertuples():
-                own, out = bigrams(row), []
-                for shard, mine in own.by_shard(shards):
-                    pairs = own.pairs[mine]
-                    first = np.flatnonzero(np.diff(pairs >> 32, prepend=-1))
-                    packed = _pack_sorted(pairs), _pack(own.trained[mine].astype("<i4")), _pack(own.context_counts[mine][first])
+                own, out = grams(row, [getattr(row, name) for name in names(frame.columns)]), []
+                for shard, mine in own.by_shard():
+                    keys = own.grams[mine]
+                    first = np.flatnonzero(np.diff(keys >> 32, prepend=-1))
+                    packed = (
+                        _pack_sorted(own.contexts[keys[first] >> 32]), _pack(np.diff(first, append=len(keys)).astype("<i4")),
+                        _pack((keys & LOW).astype("<i4")), _pack(own.trained[mine].astype("<i4")), _pack(own.context_counts[mine][first]),
+                    )
                     out.append((shard, row.chunk, *packed))
                 if out:
-                    yield pd.DataFrame(out, columns=["shard", "chunk", "pairs", "trained", "contexts"])
-
-    def answer(frame: pd.DataFrame) -> pd.DataFrame:
-        """A shard's trie from all chunks' counts, and the codes of each chunk's bigrams."""
-        keys, sums, held = [], [], []
-        for pairs, trained, contexts in zip(frame["pairs"], frame["trained"], frame["contexts"]):
-            pairs, trained = _unpack_sorted(pairs), _unpack(trained, "<i4")
-            group = np.cumsum(np.diff(pairs >> 32, prepend=-1) != 0) - 1
-            keys.append(pairs[trained > 0])
-            sums.append(trained[trained > 0])
-            held.append(_unpack(contexts, "<i8")[group[trained > 0]])
-        keys, sums, held = (np.concatenate(x) for x in (keys, sums, held))
-        keys, index, where = np.unique(keys, return_index=True, return_inverse=True)
-        log10 = np.log10(np.maximum(np.bincount(where, weights=sums, minlength=len(keys)), 1) / (held[index] + mu))
-        trie = Trie.mapped(Trie.encode(keys >> 32, keys & LOW, log10))
-        codes = []
-        for pairs in map(_unpack_sorted, frame["pairs"]):
-            codes.append(_pack(trie.lookup(pairs >> 32, pairs & LOW)))
-        return pd.DataFrame({"chunk": frame["chunk"], "shard": frame["shard"], "codes": codes})
-
-    asked = resolved.mapInPandas(ask, "shard int, chunk long, pairs binary, trained binary, contexts binary")
-    answers = asked.groupBy("shard").applyInPandas(answer, "chunk long, shard int, codes binary")
+                    yield pd.DataFrame(out, columns=["shard", "chunk", "contexts", "sizes", "words", "trained", "held"])
+
+    def names(columns) -> list[str]:
+        return sorted(c for c in columns if c.startswith("level"))
+
+    def answer(last: bool):
+        def run(frame: pd.DataFrame) -> pd.DataFrame:
+            """A shard's trie from all chunks' counts; the codes (and, but for the last level,
+            the places) of each chunk's n-grams."""
+
+            def asked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                sizes = _unpack(row.sizes, "<i4")
+                return np.repeat(_unpack_sorted(row.contexts), sizes), _unpack(row.words, "<i4").astype(np.int64), sizes
+
+            contexts, words, sums, held = [], [], [], []
+            for row in frame.itertuples():
+                context, word, sizes = asked(row)
+                trained = _unpack(row.trained, "<i4")
+                taught = trained > 0
+                contexts.append(context[taught])
+                words.append(word[taught])
+                sums.append(trained[taught])
+                held.append(np.repeat(_unpack(row.held, "<i8"), sizes)[taught])
+            each, number = np.unique(np.concatenate(contexts), return_inverse=True)
+            keys, index, where = np.unique((number.astype(np.int64) << 32) | np.concatenate(words), return_index=True, return_inverse=True)
+            times = np.maximum(np.bincount(where, weights=np.concatenate(sums), minlength=len(keys)), 1)
+            log10 = np.log10(times / (np.concatenate(held)[index] + mu))
+            del contexts, words, sums, held, number, index, where
+            trie = Trie.mapped(Trie.encode(each[keys >> 32], keys & LOW, log10))
+            codes, places = [], []
+            for row in frame.itertuples():
+                context, word, _ = asked(row)
+                found, at = trie.locate(context, word)
+                codes.append(_pack(found))
+                places.append(None if last else _pack_sorted(at[found > 0]))
+            return pd.DataFrame({"chunk": frame["chunk"], "shard": frame["shard"], "codes": codes, "places": places})
+
+        return run
+
+    def records(answers: pd.DataFrame) -> list:
+        return answers[["shard", "codes", "places"]].to_dict("records")
+
+    def attach(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """A chunk with a level's answers."""
+        return left.assign(**{f"level{len(names(left.columns)) + 2}": [records(right)]})
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         row = next(left.itertuples())
-        own, codes = bigrams(row), dict(zip(right["shard"], right["codes"]))
-        stored = np.zeros(len(own.pairs))
-        for shard, mine in own.by_shard(shards):
-            got = _unpack(codes[shard], "<u2")
-            stored[mine] = np.where(got > 0, 10.0 ** dequantise(got), 0.0)
-        p = own.backed
-        p[own.known] += stored[own.where]
+        own = grams(row, [*[getattr(row, name) for name in names(left.columns)], records(right)])
         return pd.DataFrame({
             "doc_id": pd.array(row.doc_ids, dtype="Int64"), "train": own.train, "n_tokens": own.lengths,
             "n_known": own.sums((own.counts > 0).astype(np.int64)),
-            "base_score": own.sums(np.log10((own.counts + 1.0) / (total + kinds + 1.0))),
-            "score": own.sums(np.log10(np.minimum(p, 1.0))),
+            "base_score": own.sums(np.log10(own.base)), "score": own.sums(np.log10(np.minimum(own.p, 1.0))),
         })
 
-    done = resolved.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        score, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
-    )
+    state, rows_of = resolved, RESOLVED_ROWS
+    for level in range(2, order + 1):
+        asks = state.mapInPandas(ask, "shard int, chunk long, contexts binary, sizes binary, words binary, trained binary, held binary")
+        answers = asks.groupBy("shard").applyInPandas(answer(level == order), "chunk long, shard int, codes binary, places binary")
+        met = state.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+        if level < order:
+            rows_of = f"{rows_of}, level{level} {LEVEL}"
+            before, state = state, stash(met.applyInPandas(attach, rows_of), f"lm-level{level}")
+            unstash(before)
+    done = met.applyInPandas(score, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     return done.select(
         F.col("doc_id").alias(key), "train", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

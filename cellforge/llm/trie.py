@@ -1,4 +1,5 @@
-"""An Elias-Fano n-gram trie of two levels in one memory-mapped buffer.
+"""An Elias-Fano n-gram trie of two levels in one memory-mapped buffer.  (Deeper levels are
+further tries, whose contexts are the places of the level above.)
 
 Level 1 holds the contexts' ids, level 2 the successors' ids, context after context.  The
 pointers from level 1 into level 2 are a monotone sequence.  A context's successors are
@@ -144,9 +145,13 @@ class Trie:
 
     def lookup(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Codes of pairs; 0 where the trie has none.  Contexts sorted, for speed only."""
-        out = np.zeros(len(contexts), dtype=np.uint16)
+        return self.locate(contexts, words)[0]
+
+    def locate(self, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(codes as ``lookup``, places in the level of words; 0 where the trie has none)."""
+        out, places = np.zeros(len(contexts), dtype=np.uint16), np.zeros(len(contexts), dtype=np.int64)
         if not len(contexts) or not self.words.n:
-            return out
+            return out, places
         each, where = np.unique(contexts, return_inverse=True)
         place, known = self.contexts.successor(each, np.zeros(len(each), dtype=np.int64), np.full(len(each), self.contexts.n))
         place = np.where(known, place, 0)
@@ -154,5 +159,5 @@ class Trie:
         ask = np.flatnonzero(known[where])
         c = where[ask]
         at, found = self.words.successor(base[c] + words[ask], start[c], stop[c])
-        out[ask[found]] = self.codes[at[found]]
-        return out
+        out[ask[found]], places[ask[found]] = self.codes[at[found]], at[found]
+        return out, places

@@ -43,36 +43,43 @@ def test_trie_lookup():
     assert (none.lookup(keys >> 32, keys & 0xFFFFFFFF) == 0).all()
 
 
-def brute_scores(rows, mu):
+def brute_scores(rows, mu, order=2):
     texts = [[*(t or "").encode().lower().split(), 0] for _, t, _ in rows]
-    c, pairs, contexts = Counter(), Counter(), Counter()
+    c, grams, contexts = Counter(), Counter(), Counter()
     for line, (_, _, train) in zip(texts, rows):
         if train:
             c.update(line)
-            pairs.update(zip([1, *line], line))
-            contexts.update([1, *line[:-1]])
+            whole = [1, *line]
+            for k in range(2, order + 1):
+                for at in range(len(whole) - k + 1):
+                    grams[tuple(whole[at : at + k])] += 1
+                    contexts[tuple(whole[at : at + k - 1])] += 1
     n, v = sum(c.values()), len(c)
     out = []
     for line in texts:
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in line)
-        score = 0.0
-        for a, w in zip([1, *line], line):
-            lower = (c[w] + 1) / (n + v + 1)
-            score += math.log10((pairs[a, w] + mu * lower) / (contexts[a] + mu) if contexts[a] else lower)
+        score, whole = 0.0, [1, *line]
+        for at in range(1, len(whole)):
+            p = (c[whole[at]] + 1) / (n + v + 1)
+            for k in range(2, min(order, at + 1) + 1):
+                h = tuple(whole[at - k + 1 : at])
+                if contexts[h]:
+                    p = (grams[(*h, whole[at])] + mu * p) / (contexts[h] + mu)
+            score += math.log10(p)
         out.append((len(line), sum(c[w] > 0 for w in line), n, base, score))
     return out
 
 
-@pytest.mark.parametrize("chunk,shard", [(2_500_000, 2_000_000), (300, 400)])
-def test_scores_by_brute_force(spark, clashing, monkeypatch, chunk, shard):
+@pytest.mark.parametrize("chunk,shard,order", [(2_500_000, 2_000_000, 2), (300, 400, 2), (2_500_000, 2_000_000, 3), (300, 400, 3), (500, 300, 4)])
+def test_scores_by_brute_force(spark, clashing, monkeypatch, chunk, shard, order):
     monkeypatch.setattr(lm, "CHUNK", chunk)
     monkeypatch.setattr(lm, "SHARD", shard)
     rows = [(r[0], r[1], i % 3 != 0) for i, r in enumerate(edge_rows()) if r[1] is None or len(r[1]) < 50_000]
     frame = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
-    got = lm.score_documents(frame, "train").toPandas()
+    got = lm.score_documents(frame, "train", order=order).toPandas()
     rank = lambda x: (-1 if x[0] is None or x[0] != x[0] else x[0], x[1], round(x[2], 6))
     have = sorted(((r.doc_id, r.n_tokens, r.base_score, r.n_known, r.train_tokens, r.score) for r in got.itertuples()), key=rank)
-    want = sorted(((r[0], b[0], b[3], b[1], b[2], b[4]) for r, b in zip(rows, brute_scores(rows, lm.MU))), key=rank)
+    want = sorted(((r[0], b[0], b[3], b[1], b[2], b[4]) for r, b in zip(rows, brute_scores(rows, lm.MU, order))), key=rank)
     assert len(have) == len(want)
     for a, b in zip(have, want):
         assert (a[1], a[3], a[4]) == (b[1], b[3], b[4]) and a[2] == pytest.approx(b[2]) and a[5] == pytest.approx(b[5], rel=1e-3, abs=1e-3)
@@ -83,7 +90,19 @@ def test_lm_edges(spark, nothing, clashing):
     assert len(whole) == len(edge_rows()) and (whole["score"] <= 0).all()
     untaught = lm.score_documents(clashing.withColumn("train", F.lit(None).cast("boolean")), "train").toPandas()
     assert (untaught["score"] == 0).all() and (untaught["n_known"] == 0).all() and (untaught["train_tokens"] == 0).all()
-    assert lm.score_documents(nothing.withColumn("train", F.lit(True)), "train").count() == 0
+    for order in (2, 3):
+        assert lm.score_documents(nothing.withColumn("train", F.lit(True)), "train", order=order).count() == 0
+    with pytest.raises(ValueError):
+        lm.score_documents(nothing.withColumn("train", F.lit(True)), "train", order=1)
+
+
+def test_lm_third_level_tells_what_pairs_cannot(spark):
+    """x y is followed by 1, z y by 2: only the third level knows which."""
+    taught = [(i, "x y 1" if i % 2 else "z y 2", True) for i in range(1000)]
+    asked = [(2000, "x y 1", False), (2001, "x y 2", False)]
+    frame = spark.createDataFrame(taught + asked, "doc_id long, text string, train boolean")
+    told = {k: lm.score_documents(frame, "train", order=k).where("doc_id >= 2000").toPandas().set_index("doc_id")["score"] for k in (2, 3)}
+    assert abs(told[2][2000] - told[2][2001]) < 0.01 and told[3][2000] - told[3][2001] > 0.5
 
 
 def test_lm_beats_the_base_on_held_out(spark):
