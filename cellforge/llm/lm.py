@@ -126,35 +126,43 @@ class Grams:
     distinct known n-grams of the next level, in order."""
 
     def __init__(self, row, levels: list, starts: int, mu: float, total: int, kinds: int, shards: int) -> None:
-        tokens, self.lengths = _unpack(row.tokens, "<i4"), _unpack(row.lengths, "<i4").astype(np.int64)
+        self.tokens, self.lengths = _unpack(row.tokens, "<i4"), _unpack(row.lengths, "<i4").astype(np.int64)
         self.train = np.frombuffer(row.train, dtype=np.uint8).astype(bool)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.mu, self.shards = mu, shards
-        self.ids, self.counts = _unpack(row.ids, "<i4")[tokens], _unpack(row.counts, "<i8")[tokens]
-        del tokens
-        self.base = (self.counts + 1.0) / (total + kinds + 1.0)
-        self.p = self.base.copy()
-        self._open(self.ids.astype(np.int64), self.counts, START, starts)
+        ids, self.kind_counts = _unpack(row.ids, "<i4"), _unpack(row.counts, "<i8")
+        self.ids, self.kind_base = ids[self.tokens], (self.kind_counts + 1.0) / (total + kinds + 1.0)
+        self.p = self.kind_base[self.tokens]
+        contexts, held = np.append(ids, START).astype(np.int64), np.append(self.kind_counts, starts)
+        number = self._contexts(np.where(held > 0, contexts, UNKNOWN), held)
+        self._open(number[self.tokens], number[-1])
         for level in levels:
             self._read(level)
 
-    def _open(self, ends: np.ndarray, times: np.ndarray, start: int, starts: int) -> None:
+    def _contexts(self, nodes: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Sets the next level's contexts, in order, with their occurrences; the number of
+        each of ``nodes`` among them (UNKNOWN has none)."""
+        there = np.flatnonzero(nodes >= 0)
+        there = there[np.argsort(nodes[there], kind="stable")]
+        self.contexts, self.held = nodes[there], held[there]
+        number = np.full(len(nodes), UNKNOWN, dtype=np.int32)
+        number[there] = np.arange(len(there))
+        return number
+
+    def _open(self, ends: np.ndarray, start: int) -> None:
         """The next level: a token's context is what ends at the token before."""
-        context, seen = np.empty_like(ends), np.empty_like(times)
-        context[1:], seen[1:] = ends[:-1], times[:-1]
-        context[self.first], seen[self.first] = start, starts
-        self.known = (self.ids >= 0) & (context >= 0) & (seen > 0)
-        self.contexts, number = np.unique(context[self.known], return_inverse=True)
+        context = np.empty_like(ends)
+        context[1:] = ends[:-1]
+        context[self.first] = start
+        self.p *= np.append(self.mu / (self.held + self.mu), 1.0)[context]  # the last one where there is no context
+        self.known = (self.ids >= 0) & (context >= 0)
+        keys = (context[self.known].astype(np.int64) << 32) | self.ids[self.known]
         del context
-        keys = (number.astype(np.int64) << 32) | self.ids[self.known]
-        del number
-        self.grams, index, self.where = np.unique(keys, return_index=True, return_inverse=True)
+        self.grams, where = np.unique(keys, return_inverse=True)
         del keys
-        self.where = self.where.astype(np.int32)
-        self.context_counts = seen[self.known][index]
+        self.where = where.astype(np.int32)
         trained = np.repeat(self.train, self.lengths)[self.known]
         self.trained = np.bincount(self.where[trained], minlength=len(self.grams))
-        self.p *= np.where(seen > 0, self.mu / (seen + self.mu), 1.0)
 
     def _read(self, answers: list) -> None:
         """Adds the level's probabilities; opens the next one where the answers have places."""
@@ -167,16 +175,18 @@ class Grams:
                 node[mine[codes > 0]] = (shard << 32) | _unpack_sorted(told[shard]["places"])
         self.p[self.known] += stored[self.where]
         if any(x["places"] is not None for x in answers):
-            times = np.rint(stored * (self.context_counts + self.mu)).astype(np.int64)
-            ends, seen = np.full(len(self.ids), UNKNOWN, dtype=np.int64), np.zeros(len(self.ids), dtype=np.int64)
-            ends[self.known], seen[self.known] = node[self.where], times[self.where]
-            self._open(ends, seen, UNKNOWN, 0)
+            times = np.rint(stored * (self.held[self.grams >> 32] + self.mu)).astype(np.int64)
+            del stored, self.grams, self.trained
+            ends = np.full(len(self.ids), UNKNOWN, dtype=np.int32)
+            ends[self.known] = self._contexts(node, times)[self.where]
+            del node, times, self.where
+            self._open(ends, UNKNOWN)
 
     def by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
         """(shard, places of its n-grams in order); an n-gram's shard depends on the n-gram
         and its context's count alone."""
         context, word = self.contexts[self.grams >> 32], self.grams & LOW
-        spread = -(-self.context_counts * SPREAD // SHARD)
+        spread = (-(-self.held * SPREAD // SHARD))[self.grams >> 32]
         mixed = (context * 1_000_003 + word % np.maximum(spread, 1)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         shard = ((mixed >> np.uint64(33)) % np.uint64(self.shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
@@ -254,7 +264,7 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
                     first = np.flatnonzero(np.diff(keys >> 32, prepend=-1))
                     packed = (
                         _pack_sorted(own.contexts[keys[first] >> 32]), _pack(np.diff(first, append=len(keys)).astype("<i4")),
-                        _pack((keys & LOW).astype("<i4")), _pack(own.trained[mine].astype("<i4")), _pack(own.context_counts[mine][first]),
+                        _pack((keys & LOW).astype("<i4")), _pack(own.trained[mine].astype("<i4")), _pack(own.held[keys[first] >> 32]),
                     )
                     out.append((shard, row.chunk, *packed))
                 if out:
@@ -268,29 +278,30 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
             """A shard's trie from all chunks' counts; the codes (and, but for the last level,
             the places) of each chunk's n-grams."""
 
-            def asked(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                sizes = _unpack(row.sizes, "<i4")
-                return np.repeat(_unpack_sorted(row.contexts), sizes), _unpack(row.words, "<i4").astype(np.int64), sizes
+            nodes = [_unpack_sorted(x) for x in frame["contexts"]]
+            contexts, index, number = np.unique(np.concatenate(nodes), return_index=True, return_inverse=True)
+            held = np.concatenate([_unpack(x, "<i8") for x in frame["held"]])[index]
+            cuts = np.cumsum([len(x) for x in nodes])[:-1]
+            del nodes, index
 
-            contexts, words, sums, held = [], [], [], []
-            for row in frame.itertuples():
-                context, word, sizes = asked(row)
+            def keys_of(row, number: np.ndarray) -> np.ndarray:
+                return (np.repeat(number, _unpack(row.sizes, "<i4")) << 32) | _unpack(row.words, "<i4")
+
+            keys, times = [], []
+            for row, numbers in zip(frame.itertuples(), np.split(number, cuts)):
                 trained = _unpack(row.trained, "<i4")
-                taught = trained > 0
-                contexts.append(context[taught])
-                words.append(word[taught])
-                sums.append(trained[taught])
-                held.append(np.repeat(_unpack(row.held, "<i8"), sizes)[taught])
-            each, number = np.unique(np.concatenate(contexts), return_inverse=True)
-            keys, index, where = np.unique((number.astype(np.int64) << 32) | np.concatenate(words), return_index=True, return_inverse=True)
-            times = np.maximum(np.bincount(where, weights=np.concatenate(sums), minlength=len(keys)), 1)
-            log10 = np.log10(times / (np.concatenate(held)[index] + mu))
-            del contexts, words, sums, held, number, index, where
-            trie = Trie.mapped(Trie.encode(each[keys >> 32], keys & LOW, log10))
+                keys.append(keys_of(row, numbers)[trained > 0])
+                times.append(trained[trained > 0])
+            keys, where = np.unique(np.concatenate(keys), return_inverse=True)
+            times = np.bincount(where, weights=np.concatenate(times), minlength=len(keys))
+            log10 = np.log10(np.maximum(times, 1) / (held[keys >> 32] + mu))
+            del where, times, held
+            trie = Trie.mapped(Trie.encode(contexts[keys >> 32], keys & LOW, log10))
+            del keys, log10
             codes, places = [], []
-            for row in frame.itertuples():
-                context, word, _ = asked(row)
-                found, at = trie.locate(context, word)
+            for row, numbers in zip(frame.itertuples(), np.split(number, cuts)):
+                asked = keys_of(row, numbers)
+                found, at = trie.locate(contexts[asked >> 32], asked & LOW)
                 codes.append(_pack(found))
                 places.append(None if last else _pack_sorted(at[found > 0]))
             return pd.DataFrame({"chunk": frame["chunk"], "shard": frame["shard"], "codes": codes, "places": places})
@@ -309,8 +320,8 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
         own = grams(row, [*[getattr(row, name) for name in names(left.columns)], records(right)])
         return pd.DataFrame({
             "doc_id": pd.array(row.doc_ids, dtype="Int64"), "train": own.train, "n_tokens": own.lengths,
-            "n_known": own.sums((own.counts > 0).astype(np.int64)),
-            "base_score": own.sums(np.log10(own.base)), "score": own.sums(np.log10(np.minimum(own.p, 1.0))),
+            "n_known": own.sums((own.kind_counts > 0).astype(np.int64)[own.tokens]),
+            "base_score": own.sums(np.log10(own.kind_base)[own.tokens]), "score": own.sums(np.log10(np.minimum(own.p, 1.0))),
         })
 
     state, rows_of = resolved, RESOLVED_ROWS
