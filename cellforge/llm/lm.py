@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellforge.llm.tables import ranked, stash, unstash
+from cellforge.llm.tables import ranked, release, stash, unstash
 from cellforge.llm.trie import Trie, dequantise
 
 MU = 100.0
@@ -162,7 +162,7 @@ class Grams:
         del keys
         self.where = where.astype(np.int32)
         trained = np.repeat(self.train, self.lengths)[self.known]
-        self.trained = np.bincount(self.where[trained], minlength=len(self.grams))
+        self.trained = np.bincount(self.where[trained], minlength=len(self.grams)).astype("<i4")
 
     def _read(self, answers: list) -> None:
         """Adds the level's probabilities; opens the next one where the answers have places."""
@@ -182,13 +182,19 @@ class Grams:
             del node, times, self.where
             self._open(ends, UNKNOWN)
 
+    def _shard(self, contexts: np.ndarray, part) -> np.ndarray:
+        mixed = (contexts * 1_000_003 + part).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed >> np.uint64(33)) % np.uint64(self.shards)).astype(np.int32)
+
     def by_shard(self) -> Iterator[tuple[int, np.ndarray]]:
         """(shard, places of its n-grams in order); an n-gram's shard depends on the n-gram
         and its context's count alone."""
-        context, word = self.contexts[self.grams >> 32], self.grams & LOW
-        spread = (-(-self.held * SPREAD // SHARD))[self.grams >> 32]
-        mixed = (context * 1_000_003 + word % np.maximum(spread, 1)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        shard = ((mixed >> np.uint64(33)) % np.uint64(self.shards)).astype(np.int64)
+        spread = -(-self.held * SPREAD // SHARD)
+        shard = self._shard(self.contexts, 0)[self.grams >> 32]
+        if (spread > 1).any():
+            hot = np.flatnonzero((spread > 1)[self.grams >> 32])
+            number = self.grams[hot] >> 32
+            shard[hot] = self._shard(self.contexts[number], (self.grams[hot] & LOW) % spread[number])
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         for start, stop in zip(cuts, np.append(cuts[1:], len(order))):
@@ -250,6 +256,7 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
     resolved = stash(resolved, "lm-resolved")
     for done in (chunks, counted, vocabulary):
         unstash(done)
+    release(docs.sparkSession)
 
     def grams(row, levels: list) -> Grams:
         return Grams(row, levels, starts, mu, total, kinds, shards)
@@ -259,12 +266,13 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
         for frame in frames:
             for row in frame.itertuples():
                 own, out = grams(row, [getattr(row, name) for name in names(frame.columns)]), []
+                del own.tokens, own.ids, own.p, own.known, own.where  # what only scores need
                 for shard, mine in own.by_shard():
                     keys = own.grams[mine]
                     first = np.flatnonzero(np.diff(keys >> 32, prepend=-1))
                     packed = (
                         _pack_sorted(own.contexts[keys[first] >> 32]), _pack(np.diff(first, append=len(keys)).astype("<i4")),
-                        _pack((keys & LOW).astype("<i4")), _pack(own.trained[mine].astype("<i4")), _pack(own.held[keys[first] >> 32]),
+                        _pack((keys & LOW).astype("<i4")), _pack(own.trained[mine]), _pack(own.held[keys[first] >> 32]),
                     )
                     out.append((shard, row.chunk, *packed))
                 if out:
@@ -333,6 +341,7 @@ def score_documents(docs: DataFrame, train: str, key: str = "doc_id", text: str
             rows_of = f"{rows_of}, level{level} {LEVEL}"
             before, state = state, stash(met.applyInPandas(attach, rows_of), f"lm-level{level}")
             unstash(before)
+            release(docs.sparkSession)
     done = met.applyInPandas(score, "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double")
     return done.select(
         F.col("doc_id").alias(key), "train", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
