@@ -47,12 +47,6 @@ def unstash(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Has Spark's cleaner delete the shuffle files of finished steps now: it waits for the
-    driver's JVM to collect what refers to them.  What comes later reads written tables."""
-    spark._jvm.System.gc()
-
-
 def ranked(df: DataFrame, keys: list, name: str) -> tuple[DataFrame, int]:
     """``df`` with ``_rank`` (0 to n-1 in the order of ``keys``), and n.
 
