@@ -240,22 +240,28 @@ def family_bags(pairs: DataFrame, bag_col: str = "bag") -> DataFrame:
     )
 
 
+STRETCH = 4096  # cells of a row, at most, that go to one task together before they are paged
+
+
 def scan_pages(cells: DataFrame, family: str | Sequence[str], size: int, gt=None, gte=None, lt=None, lte=None) -> DataFrame:
     """Whole families of rows of any width, in pages: ``(row, family, page, bag, cursor)``, a bag
     of ``size`` (qualifier, value) pairs at most, in qualifier order; ``cursor`` is the page's
     last qualifier, after which the next page goes on.
 
     Cells are numbered over the whole table by ranges (``audit.with_row_number``), and a row's
-    pages are cut by the number less that of its first cell, so a row that holds a third of
-    all cells is no one task's."""
+    pages are cut by the number less that of its first cell.  A row's numbers are consecutive, so
+    it is met by stretches of ``STRETCH`` numbers, each with the row's first, and the pages are
+    gathered by page: a row that holds a third of all cells is no one task's."""
     from cellforge.operators.audit import with_row_number
 
     if size < 1:
         raise ValueError("size must be >= 1")
     pairs = scan_family(cells, family, gt, gte, lt, lte)
-    numbered = with_row_number(pairs, ["row", "family", "qualifier"], "_n")
-    first = numbered.groupBy("row", "family").agg(F.min("_n").alias("_first"))
-    paged = numbered.join(first, ["row", "family"]).withColumn("page", F.floor((F.col("_n") - F.col("_first")) / size).cast("int"))
+    stretch = lambda n: F.floor(F.col(n) / STRETCH)
+    numbered = with_row_number(pairs, ["row", "family", "qualifier"], "_n").withColumn("_stretch", stretch("_n"))
+    ends = numbered.groupBy("row", "family").agg(F.min("_n").alias("_first"), F.max("_n").alias("_last"))
+    first = ends.select("row", "family", "_first", F.explode(F.sequence(stretch("_first"), stretch("_last"))).alias("_stretch"))
+    paged = numbered.join(first, ["row", "family", "_stretch"]).withColumn("page", F.floor((F.col("_n") - F.col("_first")) / size).cast("int"))
     bag = F.sort_array(F.collect_list(F.struct("qualifier", "value"))).alias("bag")
     return paged.groupBy("row", "family", "page").agg(bag, F.max("qualifier").alias("cursor"))
 

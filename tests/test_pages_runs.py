@@ -60,3 +60,27 @@ def test_sketches_of_loads_merge(spark):
     exact = {r["prefix"]: r["cdf"] for r in keyspace.sampled_cdf(every, "key").collect()}
     assert told.keys() == exact.keys() and max(abs(told[p] - exact[p]) for p in exact) <= keyspace.SKETCH_ERROR
     assert keyspace.sketch_cdf(keyspace.key_sketch(every.limit(0), "key")).count() == 0
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 50])
+def test_pages_of_rows_over_several_stretches(spark, monkeypatch, stretch):
+    monkeypatch.setattr(scan, "STRETCH", stretch)
+    rows = [(row, "f", f"q{i:03d}", 1, str(i)) for row, n in (("a", 1), ("b", 50), ("c", 49), ("d", 7), ("e", 120)) for i in range(n)]
+    pages = scan.scan_pages(cells_df(spark, [*rows, (None, "f", "q", 1, "v")]).repartition(5), "f", 8).collect()
+    found = sorted((p["row"], 8 * p["page"] + i, c["qualifier"], c["value"]) for p in pages for i, c in enumerate(p["bag"]))
+    assert found == [(row, int(value), qualifier, value) for row, _, qualifier, _, value in rows]
+
+
+def test_a_wide_row_is_no_one_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scan, "STRETCH", 50, raising=False)
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        cells = cells_df(spark, [("wide", "f", f"q{i:05d}", 1, "v") for i in range(4000)]).repartition(5)
+        pages = scan.scan_pages(cells, "f", 10).groupBy(F.spark_partition_id().alias("at")).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(p["count"] for p in pages) == 400 and len(pages) == 8 and max(p["count"] for p in pages) < 100
