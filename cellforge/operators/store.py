@@ -111,6 +111,20 @@ def _bits() -> Column:
     return F.array(*[((one + two.bitwiseOR(F.lit(1)) * i) % BLOCK_BITS).cast("int") for i in range(BITS_SET)])
 
 
+def _bitmaps(sized: DataFrame) -> DataFrame:
+    """``file, block, bits`` of (file, row, blocks): the bit of place p is bit p % 8 of byte p div 8.
+
+    Bits are first combined to words of eight bytes, as numbers, whose aggregate keeps a value for
+    each word and sorts nothing; a task thus holds the words of its filters, not the bits of its cells."""
+    bit = sized.select("file", _block(F.col("blocks")).alias("block"), F.explode(_bits()).alias("bit"))
+    mask = F.expr("shiftleft(1L, cast(56 - 8 * (bit div 8 % 8) + bit % 8 as int))")  # the word's first byte is its highest
+    words = bit.groupBy("file", "block", F.expr("cast(bit div 64 as int)").alias("word")).agg(F.bit_or(mask).alias("set"))
+    held = words.groupBy("file", "block").agg(F.map_from_entries(F.collect_list(F.struct("word", "set"))).alias("held"))
+    places = F.sequence(F.lit(0), F.lit(BLOCK_BITS // 64 - 1))
+    texts = F.transform(places, lambda w: F.lpad(F.hex(F.coalesce(F.try_element_at("held", w), F.lit(0).cast("long"))), 16, "0"))
+    return held.select("file", "block", F.unhex(F.array_join(texts, "")).alias("bits"))
+
+
 def _describe(store_path: str, spark: SparkSession, data: str, version: int) -> DataFrame:
     """Manifest rows of the files in ``data``, whose bloom filters it writes."""
     stored = spark.read.parquet(data).select(
@@ -127,9 +141,8 @@ def _describe(store_path: str, spark: SparkSession, data: str, version: int) ->
     folder = f"{store_path}/described/{uuid.uuid4().hex}"
     described.write.parquet(folder)
     described = spark.read.schema(described.schema).parquet(folder)
-    sized = stored.select("file", "row").join(described.select("file", "blocks"), "file")
-    bit = sized.select("file", _block(F.col("blocks")).alias("block"), F.explode(_bits()).alias("bit"))
-    bit.groupBy("file", "block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits")).write.parquet(blooms)
+    sized = stored.select("file", "row").join(F.broadcast(described.select("file", "blocks")), "file")  # a row for each file
+    _bitmaps(sized).write.parquet(blooms)
     return described
 
 

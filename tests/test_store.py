@@ -186,3 +186,15 @@ def test_indexed_audit_is_the_lookup_audit(spark, made):
     one = audit.lookup_audit(listed, cells)
     two = audit.lookup_audit(listed, cells_df(spark, first))
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+
+
+def test_filters_are_combined_without_a_sort(spark):
+    keys = [("one", str(i), 3) for i in range(4000)] * 2 + [("two", f"k{i}", 1) for i in range(20)] + [("two", None, 1)]
+    sized = spark.createDataFrame(keys, "file string, row string, blocks int").repartition(4)
+    told = store._bitmaps(sized)
+    plan = physical_plan(told)
+    assert "SortAggregate" not in plan and "Sort " not in plan
+    bit = sized.select("file", store._block(F.col("blocks")).alias("block"), F.explode(store._bits()).alias("bit"))
+    want = bit.groupBy("file", "block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
+    found = [{(r["file"], r["block"]): bytes(r["bits"]) for r in df.collect()} for df in (told, want)]
+    assert found[0] == found[1] and len(found[0]) == 4
