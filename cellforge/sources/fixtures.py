@@ -225,13 +225,18 @@ union all
 select cast(c_custkey as varchar) from customer where cast(c_custkey as varchar) like '7%'"""
 
 
+LINES_A_TASK = 500_000
+
+
 def line_item_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of very different width: a row for each return flag, and one for each order."""
-    li = table(spark, sf_dir, "lineitem")
+    """Rows of very different width: a row for each return flag, and one for each order.  A line
+    becomes two cells, so lines are dealt out first: the cells of a task don't go by the file's splits."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // LINES_A_TASK))
     place = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     cell = lambda row, family: F.struct(row.alias("row"), F.lit(family).alias("family"))
     both = F.array(cell(F.concat(F.lit("flag-"), F.col("l_returnflag")), "li"), cell(F.col("l_orderkey").cast("string"), "li"))
-    return li.select(
+    return li.repartition(parts, *li.columns).select(
         F.inline(both), place.alias("qualifier"), F.lit(LOAD_TS).cast("bigint").alias("ts"), F.col("l_partkey").cast("string").alias("value")
     )
 

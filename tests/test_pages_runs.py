@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cellforge.operators import files, keyspace, scan
 from cellforge.session import shared_path
+from cellforge.sources import fixtures as fx
 from tests.conftest import cells_df
 
 
@@ -84,3 +85,21 @@ def test_a_wide_row_is_no_one_tasks(spark, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert sum(p["count"] for p in pages) == 400 and len(pages) == 8 and max(p["count"] for p in pages) < 100
+
+
+def test_line_items_are_dealt_out_before_they_are_cells(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(fx, "LINES_A_TASK", 50, raising=False)
+    lines = [(i // 3, i % 3 + 1, "ANR"[i % 3], i * 7) for i in range(2000)] * 2
+    lines += [(None, 1, "A", 1), (1, None, None, 2), (5, 5, "N", None)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int, l_returnflag string, l_partkey bigint").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    cells = fx.line_item_cells(spark, str(tmp_path))
+    sizes = cells.groupBy(F.spark_partition_id().alias("at")).count().collect()
+    assert len(sizes) > 70 and max(s["count"] for s in sizes) <= 2 * 2 * 50
+
+    def text(x):
+        return None if x is None else str(x)
+
+    found = sorted(map(tuple, cells.select("row", "qualifier", "value").collect()), key=str)
+    name = lambda k, n: "-".join(str(x) for x in (k, n) if x is not None)
+    want = [(row, name(k, n), text(v)) for k, n, flag, v in lines for row in (None if flag is None else f"flag-{flag}", text(k))]
+    assert found == sorted(want, key=str)
